@@ -285,6 +285,7 @@ SELECT key, rec_no, start_offset, byte_len, header, seq, plus, qual, CAST(NULL A
 FROM reads""",
 
     "fastq_boundaries": f"""WITH {BOUNDARIES} SELECT key, node, start, "end" FROM bounds""",
+    "locate_boundaries": f"""WITH {BOUNDARIES} SELECT key, node, start, "end" FROM bounds""",
 
     "fastq_split": f"""WITH {BOUNDARIES}
 SELECT r.key, rec_no, start_offset, read_id, mate, max(b.node) AS node
@@ -299,6 +300,7 @@ FROM pairs""",
 
     "copy_objects": COPIES,
     "copy_multipart": COPIES,
+    "copy_plan": COPIES,
 
     "write_split": f"""WITH {DOCS}, {plan_cte('docs', 1024, 5)}, bytes AS (
   SELECT key, node, input_offset, part_size,

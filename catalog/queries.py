@@ -247,6 +247,13 @@ def fastq_boundaries(spark, sf_dir) -> DataFrame:
     return drayage.fastq_boundaries(records, assigned, READ_CHUNK)
 
 
+def locate_boundaries(spark, sf_dir) -> DataFrame:
+    root = views.fastq_tree(spark, sf_dir)
+    objects = drayage.list_objects(spark, root)
+    assigned = drayage.grid_assign(drayage.build_plan(objects, chunk_size=READ_CHUNK, unique_keys=True), READ_NODES)
+    return drayage.locate_boundaries(objects, assigned, root, READ_CHUNK)
+
+
 def fastq_split(spark, sf_dir) -> DataFrame:
     _, records, assigned = _reads(spark, sf_dir)
     boundaries = drayage.fastq_boundaries(records, assigned, READ_CHUNK)
@@ -279,6 +286,16 @@ def copy_multipart(spark, sf_dir) -> DataFrame:
     return views.digests(spark, dest)
 
 
+def copy_plan(spark, sf_dir) -> DataFrame:
+    """Documents above one chunk are copied by chunk, the others whole."""
+    root, dest = views.docs_tree(spark, sf_dir), fresh_file_root(spark, "copies")
+    objects = drayage.list_objects(spark, root)
+    plan = drayage.build_plan(objects, chunk_size=SMALL, unique_keys=True)
+    targets = drayage.map_download_targets(objects, "corpus/", "mybucket", "mirror")
+    drayage.copy_plan(plan, targets, root, dest, on_failure="fail")
+    return views.digests(spark, dest)
+
+
 def write_split(spark, sf_dir) -> DataFrame:
     root, dest = views.docs_tree(spark, sf_dir), fresh_file_root(spark, "slices")
     plan = drayage.build_plan(drayage.list_objects(spark, root), chunk_size=SMALL, unique_keys=True)
@@ -313,5 +330,5 @@ QUERIES = {query.__name__: query for query in (
     upload_keys, attach_metadata, bind_targets, classify_transfer, plan_parts, build_plan, grid_assign, grid_slice,
     split_rebase, node_summary, transfer_summary, plan_transfer, read_ranges, slice_bodies, complete_manifest,
     reassemble, verify_transfer, attempt_accounting, remaining_ranges, throughput, progress_ticks,
-    progress_ticks_stream, incomplete_uploads, stale_uploads, read_fastq, fastq_boundaries, fastq_split, pair_mates,
-    copy_objects, copy_multipart, write_split, write_fastq_split, incremental_copy)}
+    progress_ticks_stream, incomplete_uploads, stale_uploads, read_fastq, fastq_boundaries, locate_boundaries,
+    fastq_split, pair_mates, copy_objects, copy_multipart, copy_plan, write_split, write_fastq_split, incremental_copy)}

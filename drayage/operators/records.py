@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions import int_div
 from ..materialize import broadcast_if_bounded, snapshot
 from ..settings import effective_chunk_size
+from ..sources.fastq import line_positions, parse_records
 
 SPAN = 1 << 30
 
@@ -36,6 +37,33 @@ def fastq_boundaries(records: DataFrame, assigned: DataFrame, chunk_size=None) -
                          F.coalesce(F.lead("start").over(in_key), F.col("object_size")).alias("end"))
 
 
+def locate_boundaries(objects: DataFrame, assigned: DataFrame, source, chunk_size=None) -> DataFrame:
+    """:func:`fastq_boundaries` straight from files: counts all lines, but parses only chunks before a node's start.
+
+    A chunk without a usable record start (inside a very long record) sends the search to the chunk before it, so the
+    result is that of parsing everything. ``chunk_size`` is that of the plan.
+    """
+    chunk = effective_chunk_size(chunk_size)
+    positions = line_positions(objects, source, chunk)
+    firsts = snapshot(assigned.groupBy("key", "node").agg(F.min("part_number").alias("first")), "node-starts")
+    wanted = firsts.where(F.col("first") > 1).select("key", (F.col("first") - 1).alias("part_number")).distinct()
+    candidates = None
+    while True:
+        records = parse_records(positions.join(wanted, ["key", "part_number"], "left_semi"), source, ("header",))
+        part = (int_div(F.col("start_offset"), F.lit(chunk).cast("bigint")) + 1).cast("int")
+        found = records.where(~F.col("mate").eqNullSafe("2")).select("key", "start_offset", "mate", part.alias("part"))
+        latest = found.groupBy("key", "part").agg(F.max("start_offset").alias("start_offset"))
+        latest = snapshot(latest, "record-starts")
+        candidates = latest if candidates is None else candidates.unionByName(latest)
+        missed = wanted.join(latest, (wanted["key"] == latest["key"]) & (wanted["part_number"] == latest["part"]),
+                             "left_anti").where(F.col("part_number") > 1)
+        wanted = snapshot(missed.select("key", (F.col("part_number") - 1).alias("part_number")), "record-search")
+        if wanted.isEmpty():
+            break
+    starts = candidates.select("key", "start_offset", F.lit(None).cast("string").alias("mate"))
+    return fastq_boundaries(starts, assigned, chunk)
+
+
 def fastq_split(records: DataFrame, boundaries: DataFrame) -> DataFrame:
     """``records`` + node: the last node whose aligned start is at or before the record.
 
@@ -49,13 +77,13 @@ def fastq_split(records: DataFrame, boundaries: DataFrame) -> DataFrame:
     low = F.col("span") * SPAN
     lists = spans.select(
         "key", "span",
-        F.get(F.reverse(F.filter("starts", lambda s: s["start"] < low)), F.lit(0))["node"].alias("entered"),
+        F.try_element_at(F.filter("starts", lambda s: s["start"] < low), F.lit(-1))["node"].alias("entered"),
         F.filter("starts", lambda s: (s["start"] >= low) & (s["start"] < low + SPAN)).alias("inside"))
     lists = broadcast_if_bounded(snapshot(lists, "record-spans"))
 
     located = records.withColumn("span", int_div(F.col("start_offset"), SPAN)).join(lists, ["key", "span"])
     passed = F.filter("inside", lambda s: s["start"] <= F.col("start_offset"))
-    node = F.coalesce(F.get(passed, F.size(passed) - 1)["node"], F.col("entered"))
+    node = F.coalesce(F.try_element_at(passed, F.lit(-1))["node"], F.col("entered"))
     return located.withColumn("node", node).drop("span", "inside", "entered")
 
 

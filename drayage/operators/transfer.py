@@ -14,7 +14,7 @@ from ..materialize import io_tasks, snapshot
 from ..plans.chunking import plan_parts
 from ..plans.grid import split_rebase
 from ..settings import MAX_RESPONSES_PER_TRY, MAX_TRIES, STAGING_DIR
-from ..sources.files import FileRanges, batch, below, local_path, open_root
+from ..sources.files import FileRanges, batch, below, end_run, local_path, new_file, open_root
 
 STATUS = pa.schema([("key", pa.string()), ("target", pa.string()), ("upload_id", pa.string()),
                     ("part_number", pa.int32()), ("n_parts", pa.int32()), ("target_size", pa.int64()),
@@ -77,7 +77,7 @@ def _checked(result: DataFrame, on_failure: str) -> DataFrame:
     if on_failure not in ("report", "fail"):
         raise ValueError("on_failure is 'report' or 'fail'")
     if on_failure == "fail":
-        failed = result.where("status not in ('done', 'marker', 'skipped_directory')").limit(5).collect()
+        failed = result.where("status not in ('done', 'marker', 'skipped_directory', 'partial')").limit(5).collect()
         if failed:
             raise TransferFailed("; ".join(f"{row['target']}: {row['error']}" for row in failed))
     return result
@@ -97,7 +97,8 @@ def copy_objects(objects: DataFrame, targets: DataFrame, source, dest_root: str,
                  on_failure: str = "report") -> DataFrame:
     """Copies whole objects, one row each: key, target, bytes, status, tries, error, finished.
 
-    Parents are created and existing files replaced, in one step when the copy is complete. A folder marker becomes a
+    Parents are created and existing files replaced, in one step when the copy is complete; until then the bytes are
+    in the staging folder of the target root. A folder marker becomes a
     directory (``marker``), a target that is a directory keeps its content (``skipped_directory``). Wrong sizes and
     errors are tried again, six times in all, and then reported as ``failed``. Bodies are streamed in pieces and never
     enter a table. ``source`` is a root URI or a reader.
@@ -118,6 +119,7 @@ def copy_objects(objects: DataFrame, targets: DataFrame, source, dest_root: str,
         return {**status, "finished": _now()}
 
     result = _run(_plain_work(objects, targets), copy, threads, "copied", "key")
+    end_run(dest_root, run_id)
     return _checked(result, on_failure).select("key", "target", "bytes", "status", "tries", "error", "finished")
 
 
@@ -127,21 +129,17 @@ def _copy_whole(reader, row, dest_root, run_id):
     if _is_marker(row):
         fs.create_dir(path, recursive=True)
         return {"status": "marker"}
-    fs.create_dir(os.path.dirname(path), recursive=True)
     if fs.get_file_info(path).type == pafs.FileType.Directory:
         return {"status": "skipped_directory"}
-    local = local_path(dest_root) is not None
-    # Stores show an object when its stream is closed; on file systems a rename does it. Each attempt of a task has a
-    # name of its own.
-    unfinished = f"{path}.{run_id}-{uuid.uuid4().hex[:8]}" if local else path
     for attempt in range(1, MAX_TRIES + 1):
-        with fs.open_output_stream(unfinished) as out:
-            got = fetch(reader, row["key"], 0, row["target_size"], lambda _, piece: out.write(piece), 1, 1)
+        try:
+            with new_file(dest_root, row["target"], run_id) as out:
+                got = fetch(reader, row["key"], 0, row["target_size"], lambda _, piece: out.write(piece), 1, 1)
+                out.keep = got["status"] == "done"
+        except OSError as error:
+            got = {"bytes": 0, "status": "failed", "error": str(error)}
         if got["status"] == "done":
-            if local:
-                os.replace(unfinished, path)
             return {**got, "tries": attempt, "responses": attempt}
-    fs.delete_file(unfinished)
     return {**got, "tries": MAX_TRIES, "responses": MAX_TRIES}
 
 
@@ -151,8 +149,12 @@ def copy_multipart(plan: DataFrame, targets: DataFrame, source, dest_root: str,
 
     Chunks are written at their offsets into an unfinished file below ``.uploads``, which is renamed at the end, so no
     task ever handles more than one chunk at a time, however large an object is. The same bytes at the same place
-    make retried, speculative and restarted tasks harmless: call it again with the same ``run_id`` to resume.
+    make retried and speculative tasks harmless.
     The target root has to be a local path or a file system that all executors mount.
+
+    Work can be cut: a plan with some of the chunks of an object leaves it ``partial``. Calls with the same ``run_id``
+    add to the same unfinished file, and :func:`publish_copies` on the union of their ``parts`` completes it. That is
+    also how failed parts are sent again.
     """
     targets = targets.groupBy("key").agg(F.max("target").alias("target"))
     work = plan.join(targets, "key", "left").select(
@@ -161,6 +163,15 @@ def copy_multipart(plan: DataFrame, targets: DataFrame, source, dest_root: str,
     return _copy_ranges(work, source, dest_root, run_id, threads, on_failure)
 
 
+def copy_plan(plan: DataFrame, targets: DataFrame, source, dest_root: str, threads: int = 4,
+              on_failure: str = "report") -> DataFrame:
+    """Runs a whole plan: single objects as they are, multipart ones by chunk. One row per object."""
+    singles = copy_objects(plan.where(~F.col("is_multipart")), targets, source, dest_root, threads, on_failure)
+    many = copy_multipart(plan.where(F.col("is_multipart")), targets, source, dest_root, None, threads, on_failure)
+    columns = ["key", "target", "bytes", "status", "error", "finished"]
+    return singles.select(*columns).unionByName(many.objects.select(*columns))
+
+
 def _copy_ranges(work, source, dest_root, run_id, threads, on_failure) -> CopyResult:
     if local_path(dest_root) is None:
         raise ValueError("multipart targets are written at offsets and need a mounted file system; "
@@ -174,8 +185,8 @@ def _copy_ranges(work, source, dest_root, run_id, threads, on_failure) -> CopyRe
         offset, place, length = row["input_offset"], row["output_offset"], row["part_size"]
         status = {name: row[name] for name in ("key", "target", "upload_id", "part_number", "n_parts", "target_size")}
         if row["target"] is None:
-            status.update(bytes=0, status="failed", tries=0, responses=0, error="missing_target")
-            return {**status, "finished": _now()}
+            return {**status, "bytes": 0, "status": "failed", "tries": 0, "responses": 0, "error": "missing_target",
+                    "finished": _now()}
         try:
             below(root, row["target"])
             os.makedirs(_staging(root, row["upload_id"]), exist_ok=True)
@@ -190,28 +201,49 @@ def _copy_ranges(work, source, dest_root, run_id, threads, on_failure) -> CopyRe
             status.update(bytes=0, status="failed", tries=0, responses=0, error=str(error))
         return {**status, "finished": _now()}
 
+    parts = _run(work, copy, threads, "copied-parts", "key", "part_number", "target")
+    return CopyResult(parts, publish_copies(parts, dest_root, threads, on_failure))
+
+
+def publish_copies(parts: DataFrame, dest_root: str, threads: int = 4, on_failure: str = "report") -> DataFrame:
+    """Makes targets visible whose parts are all done, given the ``parts`` of one or more copy calls of one run.
+
+    key, target, upload_id, n_parts, bytes, status, error, finished. ``partial`` means that nothing failed but parts
+    are missing. A part that was sent again counts once.
+    """
+    root = local_path(dest_root)
+
     def publish(row):
-        done = row.pop("done_parts")
         row.pop("part_size")
+        done, failed = row.pop("done_parts"), row.pop("failed_parts")
         status = {**row, "tries": 1, "part_number": row["n_parts"]}
-        if done < row["n_parts"] or row["bytes"] != row["target_size"]:
-            return {**status, "status": "failed", "error": row["error"] or f"{done} of {row['n_parts']} parts",
-                    "finished": _now()}
         try:
-            return {**status, **_publish(root, row), "finished": _now()}
-        except OSError as error:
-            return {**status, "status": "failed", "error": str(error), "finished": _now()}
+            if done == row["n_parts"] and row["bytes"] == row["target_size"]:
+                status.update(error=None)
+                status.update(_publish(root, row))
+            elif failed:
+                status.update(status="failed")
+            else:
+                status.update(status="partial", error=f"{done} of {row['n_parts']} parts")
+        except (OSError, ValueError) as error:
+            status.update(status="failed", error=str(error))
+        return {**status, "finished": _now()}
 
-    parts = _run(work, copy, threads, "copied-parts", "key", "part_number", "target")
     is_done = F.col("status") == "done"
-    whole = parts.groupBy("key", "target", "upload_id").agg(
-        F.max("n_parts").alias("n_parts"), F.max("target_size").alias("target_size"), F.sum("bytes").alias("bytes"),
-        F.count(F.when(is_done, 1)).cast("int").alias("done_parts"), F.max("error").alias("error"),
+    upload = ["key", "target", "upload_id"]
+    one_each = parts.groupBy(*upload, "part_number").agg(
+        F.max(is_done).alias("done"), F.max(F.when(is_done, F.col("bytes"))).alias("bytes"),
+        F.max("n_parts").alias("n_parts"), F.max("target_size").alias("target_size"), F.max("error").alias("error"),
+        F.sum("responses").alias("responses"))
+    whole = one_each.groupBy(*upload).agg(
+        F.max("n_parts").alias("n_parts"), F.max("target_size").alias("target_size"),
+        F.coalesce(F.sum("bytes"), F.lit(0).cast("bigint")).alias("bytes"),
+        F.count(F.when(F.col("done"), 1)).cast("int").alias("done_parts"),
+        F.count(F.when(~F.col("done"), 1)).cast("int").alias("failed_parts"),
+        F.max(F.when(~F.col("done"), F.col("error"))).alias("error"),
         F.sum("responses").cast("int").alias("responses"), F.lit(0).cast("bigint").alias("part_size"))
-    objects = _run(whole, publish, threads, "published", "target")
-    _checked(objects, on_failure)
-    return CopyResult(parts.drop("target_size"),
-                      objects.select("key", "target", "upload_id", "n_parts", "bytes", "status", "error", "finished"))
+    objects = _checked(_run(whole, publish, threads, "published", "target"), on_failure)
+    return objects.select("key", "target", "upload_id", "n_parts", "bytes", "status", "error", "finished")
 
 
 def _staging(root, upload_id):
@@ -278,26 +310,25 @@ def write_split(assigned: DataFrame, n_nodes: int, source, dest_root: str, bound
 
 
 def write_objects(objects: DataFrame, dest_root: str) -> DataFrame:
-    """Writes bodies held in a table as files below a root: key, bytes, status. Names are final only when complete."""
+    """Writes bodies held in a table as files below a root: key, bytes, status. Files appear when they are complete."""
+    run_id = uuid.uuid4().hex[:12]
+
     def write(batches):
         fs, root = open_root(dest_root)
-        local = local_path(dest_root) is not None
         for rows in batches:
             written = []
             for key, body in zip(rows.column("key").to_pylist(), rows.column("body").to_pylist()):
-                path = below(root, key)
                 if key.endswith("/") and not body:
-                    fs.create_dir(path, recursive=True)
+                    fs.create_dir(below(root, key), recursive=True)
                 else:
-                    fs.create_dir(os.path.dirname(path), recursive=True)
-                    unfinished = f"{path}.{uuid.uuid4().hex[:12]}" if local else path
-                    with fs.open_output_stream(unfinished) as out:
+                    with new_file(dest_root, key, run_id) as out:
                         out.write(body)
-                    if local:
-                        os.replace(unfinished, path)
+                        out.keep = True
                 written.append({"key": key, "bytes": len(body), "status": "done"})
             yield pa.RecordBatch.from_pylist(written, schema=pa.schema(
                 [("key", pa.string()), ("bytes", pa.int64()), ("status", pa.string())]))
 
     bodies = objects.select("key", F.col("body").cast("binary").alias("body"))
-    return snapshot(bodies.mapInArrow(write, "key string, bytes bigint, status string"), "written")
+    written = snapshot(bodies.mapInArrow(write, "key string, bytes bigint, status string"), "written")
+    end_run(dest_root, run_id)
+    return written

@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import ceil_div
+from ..functions import ceil_div, int_div
 from ..settings import MIN_UPLOAD_CHUNK_SIZE, check_direction, effective_chunk_size
 
 PART_BLOCK = 65_536
@@ -45,7 +45,7 @@ def explode_parts(df: DataFrame, max_parts=None, spread=None) -> DataFrame:
     """
     if max_parts is not None and max_parts <= PART_BLOCK and not spread:
         return df.withColumn("part", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n_parts"))))
-    last_block = F.floor((F.col("n_parts") - 1) / PART_BLOCK)
+    last_block = int_div(F.col("n_parts") - 1, F.lit(PART_BLOCK).cast("bigint"))
     blocks = df.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), last_block)))
     if spread:
         blocks = blocks.repartition(spread, "key", "block")

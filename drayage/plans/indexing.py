@@ -40,10 +40,9 @@ def build_plan(objects: DataFrame, direction: str = "download", chunk_size=None,
     """
     check_direction(direction)
     chunk = effective_chunk_size(chunk_size, direction)
-    if unique_keys:
-        sized = objects.select("key", F.col("size").cast("bigint").alias("size"))
-    else:
-        sized = snapshot(unique_objects(objects), "objects")
+    listed = objects.select("key", F.col("size").cast("bigint").alias("size"))
+    # Sizes may come from bodies; the snapshot reads them once and all later passes see the same inventory.
+    sized = snapshot(listed if unique_keys else unique_objects(objects), "objects")
 
     n_objects = sized.count()
     bounds = _key_bounds(sized, n_objects)

@@ -12,6 +12,7 @@ from .listing import list_objects
 READ_CHUNK = 64 << 20
 OVERHANG = 64 << 10
 RECORDS_PER_BATCH = 50_000
+LINES = ("header", "seq", "plus", "qual")
 
 RECORD = pa.schema([("key", pa.string()), ("rec_no", pa.int64()), ("start_offset", pa.int64()),
                     ("byte_len", pa.int64()), ("header", pa.string()), ("seq", pa.string()), ("plus", pa.string()),
@@ -24,13 +25,13 @@ MATE_SUFFIX = r"^@\S*?/([12])(?:\s|$)"
 MATE_COMMENT = r"^@\S+\s+([12]):"
 
 
-def read_fastq(spark, root_uri: str, prefix: str = "", chunk_size: int = READ_CHUNK,
+def read_fastq(spark, root_uri: str, prefix: str = "", chunk_size: int = READ_CHUNK, lines=LINES,
                comment_mates: bool = False) -> DataFrame:
     """Records of all files below a root that start with ``prefix``; see :func:`read_fastq_objects`."""
-    return read_fastq_objects(list_objects(spark, root_uri, prefix), root_uri, chunk_size, comment_mates)
+    return read_fastq_objects(list_objects(spark, root_uri, prefix), root_uri, chunk_size, lines, comment_mates)
 
 
-def read_fastq_objects(objects: DataFrame, source, chunk_size: int = READ_CHUNK,
+def read_fastq_objects(objects: DataFrame, source, chunk_size: int = READ_CHUNK, lines=LINES,
                        comment_mates: bool = False) -> DataFrame:
     """key, rec_no, start_offset, byte_len, header, seq, plus, qual, problem, read_id, mate.
 
@@ -39,26 +40,45 @@ def read_fastq_objects(objects: DataFrame, source, chunk_size: int = READ_CHUNK,
     no special case. A record belongs to the chunk it starts in, its task reads on until the record is complete, and
     no record is shuffled. What isn't four lines with '@' and '+' has a ``problem``: header, plus or truncated.
     ``byte_len`` counts the final newline, so the lengths of a file's records add up to its size.
+
+    ``lines`` names the text columns to fill; the others are null and don't leave the task. The read id and the mate
+    need the header.
     """
     reader = FileRanges(source) if isinstance(source, str) else source
-    spark = objects.sparkSession
-    chunks = snapshot(plan_parts(objects.where(F.col("size") > 0), chunk_size), "fastq-chunks")
-    amount = chunks.agg(F.coalesce(F.sum("part_size"), F.lit(0)).alias("n_bytes"), F.count("*").alias("n_rows")).first()
-    tasks = io_tasks(spark, amount["n_bytes"], amount["n_rows"], bytes_per_task=4 * chunk_size)
+    return parse_records(line_positions(objects, reader, chunk_size), reader, lines, comment_mates)
 
-    counted = chunks.select("key", "part_number", "input_offset", "part_size").repartition(tasks, "key", "part_number")
-    counted = snapshot(counted.mapInArrow(
+
+def line_positions(objects: DataFrame, source, chunk_size: int) -> DataFrame:
+    """Chunks of text files with the number of lines that end before them: key, part_number, input_offset, part_size,
+    lines_before, at_line_start. The files are read once to count; the result is kept."""
+    reader = FileRanges(source) if isinstance(source, str) else source
+    chunks = snapshot(plan_parts(objects.where(F.col("size") > 0), chunk_size), "fastq-chunks")
+    counted = _spread(chunks.select("key", "part_number", "input_offset", "part_size")).mapInArrow(
         _counter(reader), "key string, part_number int, input_offset bigint, part_size bigint, newlines bigint, "
-                          "ends_line boolean"), "fastq-lines")
-    # One row per chunk of a file, not per line.
+                          "ends_line boolean")
+    # The windows order one row per chunk of a file, not per line. The counts pass through the shuffle once.
     in_file = Window.partitionBy("key").orderBy("part_number")
-    lines = F.sum("newlines").over(in_file.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("newlines")
-    placed = snapshot(counted.select("key", "part_number", "input_offset", "part_size", lines.alias("lines_before"),
-                                     F.lag("ends_line", 1, True).over(in_file).alias("at_line_start")), "fastq-plan")
-    records = placed.repartition(tasks, "key", "part_number").mapInArrow(_parser(reader), RECORD_DDL)
+    before = F.sum("newlines").over(in_file.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("newlines")
+    return snapshot(counted.select("key", "part_number", "input_offset", "part_size", before.alias("lines_before"),
+                                   F.lag("ends_line", 1, True).over(in_file).alias("at_line_start")), "fastq-plan")
+
+
+def parse_records(positions: DataFrame, source, lines=LINES, comment_mates: bool = False) -> DataFrame:
+    """Records that start in the given chunks of :func:`line_positions`, all of them or some."""
+    unknown = set(lines) - set(LINES)
+    if unknown:
+        raise ValueError(f"no such lines: {sorted(unknown)}")
+    reader = FileRanges(source) if isinstance(source, str) else source
+    records = _spread(positions).mapInArrow(_parser(reader, tuple(lines)), RECORD_DDL)
     return with_read_ids(records, comment_mates)
 
 
+def _spread(chunks: DataFrame) -> DataFrame:
+    amount = chunks.agg(F.coalesce(F.sum("part_size"), F.lit(0)).alias("n_bytes"), F.count("*").alias("n_rows")).first()
+    tasks = io_tasks(chunks.sparkSession, amount["n_bytes"], amount["n_rows"], bytes_per_task=256 << 20)
+    return chunks.repartition(tasks, "key", "part_number")
+
+
 def with_read_ids(records: DataFrame, comment_mates: bool = False) -> DataFrame:
     """+ read_id (header up to the first blank, without '@' and mate mark) and mate ('1', '2' or null).
 
@@ -98,14 +118,14 @@ def _counter(reader):
     return count
 
 
-def _parser(reader):
+def _parser(reader, lines):
     def parse(batches):
         for chunks in batches:
             for chunk in chunks.to_pylist():
                 start, data = _own_records(reader, chunk)
                 if len(data):
                     rec_no = -(-(chunk["lines_before"] + (not chunk["at_line_start"])) // 4)
-                    yield from _record_batches(chunk["key"], rec_no, start, data)
+                    yield from _record_batches(chunk["key"], rec_no, start, data, lines)
     return parse
 
 
@@ -142,7 +162,7 @@ def _own_records(reader, chunk):
     return offset + begin, data[begin:] + b"".join(tail)
 
 
-def _record_batches(key, rec_no, offset, data):
+def _record_batches(key, rec_no, offset, data, lines):
     """Cuts complete records out of a byte string without touching single lines in Python."""
     values = np.frombuffer(data, np.uint8)
     ends = np.flatnonzero(values == 10).astype(np.int32)
@@ -161,7 +181,10 @@ def _record_batches(key, rec_no, offset, data):
         numbers = np.arange(low, min(low + RECORDS_PER_BATCH, count))
         heads, lasts = 4 * numbers, np.minimum(4 * numbers + 3, len(starts) - 1)
         columns = []
-        for line in range(4):
+        for line, name in enumerate(LINES):
+            if name not in lines:
+                columns.append(pa.nulls(len(numbers), pa.string()))
+                continue
             index = 4 * numbers + line
             columns.append(pieces.take(pa.array(2 * index, mask=index >= len(starts))))
         pluses = np.minimum(4 * numbers + 2, len(starts) - 1)

@@ -1,10 +1,14 @@
 """Small helpers that open, list and write files inside tasks."""
 
+import contextlib
 import os
+import uuid
 
 import pyarrow as pa
 import pyarrow.fs as pafs
 
+from ..settings import STAGING_DIR
+
 PIECE = 8 << 20
 
 
@@ -35,6 +39,48 @@ def below(root: str, relative: str) -> str:
     return os.path.join(root, clean)
 
 
+class _Unfinished:
+    def __init__(self, stream):
+        self.write = stream.write
+        self.keep = False
+
+
+@contextlib.contextmanager
+def new_file(root_uri: str, relative: str, run_id: str):
+    """A file that appears below the root, replacing what was there, only if ``keep`` is set when it is closed.
+
+    Each attempt writes to a name of its own in the staging folder, so killed and speculative tasks leave nothing in
+    the tree. Object stores show an object when its stream is closed, they need no such name.
+    """
+    root = local_path(root_uri)
+    if root is None:
+        fs, path = open_root(root_uri)
+        with fs.open_output_stream(below(path, relative)) as stream:
+            yield _Unfinished(stream)
+        return
+    path, staging = below(root, relative), os.path.join(root, STAGING_DIR, run_id)
+    os.makedirs(staging, exist_ok=True)
+    unfinished = os.path.join(staging, uuid.uuid4().hex)
+    try:
+        with open(unfinished, "wb") as stream:
+            out = _Unfinished(stream)
+            yield out
+        if out.keep:
+            os.makedirs(os.path.dirname(path), exist_ok=True)
+            os.replace(unfinished, path)
+    finally:
+        with contextlib.suppress(FileNotFoundError):
+            os.unlink(unfinished)
+
+
+def end_run(root_uri: str, run_id: str):
+    """Removes the staging folder of a run if nothing is left in it."""
+    root = local_path(root_uri)
+    if root is not None:
+        with contextlib.suppress(OSError):
+            os.rmdir(os.path.join(root, STAGING_DIR, run_id))
+
+
 class FileRanges:
     """Reads byte ranges below a root. Other sources only need the same ``read`` method."""
 

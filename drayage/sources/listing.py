@@ -7,7 +7,7 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, functions as F
 
-from ..materialize import fresh_dir
+from ..materialize import fresh_dir, snapshot
 from ..settings import STAGING_DIR
 from .files import batch, below, local_path, open_root
 
@@ -88,7 +88,7 @@ def walk(spark, root_uri: str, prefix: str = "", tasks: int = None) -> DataFrame
     """Everything below ``root_uri`` whose key starts with ``prefix``: key, kind, size, mtime, error.
 
     One level of directories per round; the directories of a level are spread over tasks and each is read once. The
-    walk starts at the directory of the prefix. On mounted file systems names are listed first and then spread for
+    walk starts at the directory of the prefix, and its result is kept, so all later jobs see one inventory. On mounted file systems names are listed first and then spread for
     reading sizes, so one directory with most of the files doesn't keep one task busy with them.
     """
     tasks = tasks or 4 * spark.sparkContext.defaultParallelism
@@ -110,7 +110,7 @@ def walk(spark, root_uri: str, prefix: str = "", tasks: int = None) -> DataFrame
         return entries.where("kind <> 'dir'")
     stated = (entries.where("kind = 'name'").select("key").repartition(tasks, "key")
               .mapInArrow(_stat(root_uri), ENTRY_DDL))
-    return entries.where("kind in ('marker', 'error')").unionByName(stated)
+    return snapshot(entries.where("kind in ('marker', 'error')").unionByName(stated), "inventory")
 
 
 def list_objects(spark, root_uri: str, prefix: str = "", tasks: int = None) -> DataFrame:
