@@ -1,5 +1,7 @@
 """Record-aligned splits of FASTQ files and mate pairs."""
 
+import functools
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import int_div
@@ -20,9 +22,18 @@ def fastq_boundaries(records: DataFrame, assigned: DataFrame, chunk_size=None) -
     are ordered.
     """
     chunk = effective_chunk_size(chunk_size)
+    return _ranges_of_nodes(_last_starts(records, chunk), assigned, chunk)
+
+
+def _last_starts(records: DataFrame, chunk: int) -> DataFrame:
+    """Latest start per chunk of a record that isn't a second mate: key, part_number, candidate."""
     part = (int_div(F.col("start_offset"), F.lit(chunk).cast("bigint")) + 1).cast("int")
-    candidates = (records.where(~F.col("mate").eqNullSafe("2"))
-                  .groupBy("key", part.alias("part_number")).agg(F.max("start_offset").alias("candidate")))
+    return (records.where(~F.col("mate").eqNullSafe("2"))
+            .groupBy("key", part.alias("part_number")).agg(F.max("start_offset").alias("candidate")))
+
+
+def _ranges_of_nodes(candidates: DataFrame, assigned: DataFrame, chunk: int) -> DataFrame:
+    candidates = candidates.groupBy("key", "part_number").agg(F.max("candidate").alias("candidate"))
     misaligned = F.raise_error(F.lit("chunk_size isn't that of the plan"))
     chunks = assigned.select("key", "node", "object_size", F.when(
         F.col("input_offset") == (F.col("part_number") - 1).cast("bigint") * chunk, F.col("part_number"))
@@ -40,28 +51,25 @@ def fastq_boundaries(records: DataFrame, assigned: DataFrame, chunk_size=None) -
 def locate_boundaries(objects: DataFrame, assigned: DataFrame, source, chunk_size=None) -> DataFrame:
     """:func:`fastq_boundaries` straight from files: counts all lines, but parses only chunks before a node's start.
 
-    A chunk without a usable record start (inside a very long record) sends the search to the chunk before it, so the
-    result is that of parsing everything. ``chunk_size`` is that of the plan.
+    Where the chunk before a start holds no usable record start (it is inside a very long record), twice as many chunks
+    before it are searched, and so on, so the result is that of parsing everything. ``chunk_size`` is that of the plan.
     """
     chunk = effective_chunk_size(chunk_size)
     positions = line_positions(objects, source, chunk)
-    firsts = snapshot(assigned.groupBy("key", "node").agg(F.min("part_number").alias("first")), "node-starts")
-    wanted = firsts.where(F.col("first") > 1).select("key", (F.col("first") - 1).alias("part_number")).distinct()
-    candidates = None
-    while True:
-        records = parse_records(positions.join(wanted, ["key", "part_number"], "left_semi"), source, ("header",))
-        part = (int_div(F.col("start_offset"), F.lit(chunk).cast("bigint")) + 1).cast("int")
-        found = records.where(~F.col("mate").eqNullSafe("2")).select("key", "start_offset", "mate", part.alias("part"))
-        latest = found.groupBy("key", "part").agg(F.max("start_offset").alias("start_offset"))
-        latest = snapshot(latest, "record-starts")
-        candidates = latest if candidates is None else candidates.unionByName(latest)
-        missed = wanted.join(latest, (wanted["key"] == latest["key"]) & (wanted["part_number"] == latest["part"]),
-                             "left_anti").where(F.col("part_number") > 1)
-        wanted = snapshot(missed.select("key", (F.col("part_number") - 1).alias("part_number")), "record-search")
-        if wanted.isEmpty():
-            break
-    starts = candidates.select("key", "start_offset", F.lit(None).cast("string").alias("mate"))
-    return fastq_boundaries(starts, assigned, chunk)
+    firsts = assigned.groupBy("key", "node").agg(F.min("part_number").alias("first"))
+    wanted = snapshot(firsts.where(F.col("first") > 1).select("key", (F.col("first") - 1).alias("upto")), "node-starts")
+    found, width = [], 1
+    while not found or not wanted.isEmpty():
+        low = F.greatest(F.lit(1), F.col("upto") - (width - 1))
+        searched = wanted.select("key", "upto", F.explode(F.sequence(low, F.col("upto"))).alias("part_number"))
+        near = positions.join(searched, ["key", "part_number"], "left_semi")
+        latest = snapshot(_last_starts(parse_records(near, source, ("header",)), chunk), "record-starts")
+        found.append(latest)
+        hits = searched.join(latest, ["key", "part_number"], "left_semi").select("key", "upto")
+        missed = wanted.join(hits, ["key", "upto"], "left_anti").where(F.col("upto") > width)
+        wanted = snapshot(missed.select("key", (F.col("upto") - width).alias("upto")).distinct(), "record-search")
+        width *= 2
+    return _ranges_of_nodes(functools.reduce(DataFrame.unionByName, found), assigned, chunk)
 
 
 def fastq_split(records: DataFrame, boundaries: DataFrame) -> DataFrame:

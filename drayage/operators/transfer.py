@@ -2,6 +2,7 @@
 
 import datetime
 import os
+import shutil
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
@@ -265,8 +266,7 @@ def _publish(root, row):
     path, unfinished = below(root, row["target"]), _unfinished(root, row["upload_id"])
     if _is_marker(row):
         os.makedirs(path, exist_ok=True)
-        os.unlink(unfinished)
-        os.rmdir(_staging(root, row["upload_id"]))
+        shutil.rmtree(_staging(root, row["upload_id"]), ignore_errors=True)
         return {"status": "marker"}
     if not os.path.exists(unfinished):
         # A task that was run again after it had renamed the file.

@@ -95,21 +95,20 @@ def walk(spark, root_uri: str, prefix: str = "", tasks: int = None) -> DataFrame
     start = prefix[:prefix.rfind("/") + 1]
     path = fresh_dir(spark, "listing")
     frontier = spark.createDataFrame([(start,)], "key string")
-    level = 0
-    while True:
-        target = f"{path}/level={level}"
-        found = frontier.repartition(tasks, "key") if level else frontier
-        found.mapInArrow(_scanner(root_uri, prefix), ENTRY_DDL).write.parquet(target)
-        frontier = spark.read.schema(ENTRY_DDL).parquet(target).where("kind = 'dir'").select("key")
-        if frontier.isEmpty():
-            break
-        level += 1
-
-    entries = spark.read.schema(ENTRY_DDL).parquet(*[f"{path}/level={n}" for n in range(level + 1)])
+    levels, directories = [], 1
+    while directories:
+        levels.append(f"{path}/level={len(levels)}")
+        spread = frontier.repartition(min(tasks, directories), "key")
+        spread.mapInArrow(_scanner(root_uri, prefix), ENTRY_DDL).write.parquet(levels[-1])
+        frontier = spark.read.schema(ENTRY_DDL).parquet(levels[-1]).where("kind = 'dir'").select("key")
+        directories = frontier.count()
+
+    entries = spark.read.schema(ENTRY_DDL).parquet(*levels)
     if local_path(root_uri) is None:
         return entries.where("kind <> 'dir'")
-    stated = (entries.where("kind = 'name'").select("key").repartition(tasks, "key")
-              .mapInArrow(_stat(root_uri), ENTRY_DDL))
+    names = entries.where("kind = 'name'").select("key")
+    spread = names.repartition(max(1, min(tasks, names.count() // 100)), "key")
+    stated = spread.mapInArrow(_stat(root_uri), ENTRY_DDL)
     return snapshot(entries.where("kind in ('marker', 'error')").unionByName(stated), "inventory")
 
 
