@@ -59,11 +59,13 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataF
     return df
 
 
-def io_tasks(spark: SparkSession, n_bytes: int, n_rows: int, bytes_per_task: int = 512 << 20) -> int:
-    """Number of tasks for a byte-moving stage.
+def spread_io(work: DataFrame, size: str = "part_size", bytes_per_task: int = 256 << 20) -> DataFrame:
+    """Deals the rows of a byte-moving stage out to tasks evenly, by number.
 
-    The count is given to ``repartition`` explicitly: plan rows are tiny, and a size-based coalesce would put all of
-    them, with all their I/O, into one task.
+    The number of tasks follows from the bytes behind the rows and is given explicitly: the rows themselves are tiny,
+    and a coalesce by their size would put all of them, with all their I/O, into one task. Several tasks per core let
+    fast ones take over from slow ones.
     """
-    wanted = max(-(-n_bytes // bytes_per_task), spark.sparkContext.defaultParallelism)
-    return int(max(1, min(wanted, n_rows, 100_000)))
+    amount = work.agg(F.coalesce(F.sum(size), F.lit(0)).alias("n_bytes"), F.count("*").alias("n_rows")).first()
+    wanted = max(-(-amount["n_bytes"] // bytes_per_task), 3 * work.sparkSession.sparkContext.defaultParallelism)
+    return work.repartition(int(max(1, min(wanted, amount["n_rows"], 100_000))))

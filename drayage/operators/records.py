@@ -63,7 +63,7 @@ def locate_boundaries(objects: DataFrame, assigned: DataFrame, source, chunk_siz
         low = F.greatest(F.lit(1), F.col("upto") - (width - 1))
         searched = wanted.select("key", "upto", F.explode(F.sequence(low, F.col("upto"))).alias("part_number"))
         near = positions.join(searched, ["key", "part_number"], "left_semi")
-        latest = snapshot(_last_starts(parse_records(near, source, ("header",)), chunk), "record-starts")
+        latest = snapshot(_last_starts(parse_records(near, source, lines=()), chunk), "record-starts")
         found.append(latest)
         hits = searched.join(latest, ["key", "part_number"], "left_semi").select("key", "upto")
         missed = wanted.join(hits, ["key", "upto"], "left_anti").where(F.col("upto") > width)

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, functions as F
 
-from ..materialize import io_tasks, snapshot
+from ..materialize import snapshot, spread_io
 from ..plans.chunking import plan_parts
 from ..plans.grid import split_rebase
 from ..settings import MAX_RESPONSES_PER_TRY, MAX_TRIES, STAGING_DIR
@@ -62,16 +62,14 @@ def _is_marker(row):
     return row["key"].endswith("/") and row["target_size"] == 0
 
 
-def _run(work: DataFrame, action, threads: int, label: str, *spread_by) -> DataFrame:
+def _run(work: DataFrame, action, threads: int, label: str) -> DataFrame:
     """One status row per work row. The rows are kept, so the action isn't repeated when they are read."""
     def run(batches):
         with ThreadPoolExecutor(threads) as pool:
             for rows in batches:
                 yield batch(list(pool.map(action, rows.to_pylist())), STATUS)
 
-    amount = work.agg(F.coalesce(F.sum("part_size"), F.lit(0)).alias("n_bytes"), F.count("*").alias("n_rows")).first()
-    tasks = io_tasks(work.sparkSession, amount["n_bytes"], amount["n_rows"])
-    return snapshot(work.repartition(tasks, *spread_by).mapInArrow(run, STATUS_DDL), label)
+    return snapshot(spread_io(work).mapInArrow(run, STATUS_DDL), label)
 
 
 def _checked(result: DataFrame, on_failure: str) -> DataFrame:
@@ -119,7 +117,7 @@ def copy_objects(objects: DataFrame, targets: DataFrame, source, dest_root: str,
                 status.update(status="failed", error=str(error))
         return {**status, "finished": _now()}
 
-    result = _run(_plain_work(objects, targets), copy, threads, "copied", "key")
+    result = _run(_plain_work(objects, targets), copy, threads, "copied")
     end_run(dest_root, run_id)
     return _checked(result, on_failure).select("key", "target", "bytes", "status", "tries", "error", "finished")
 
@@ -202,7 +200,7 @@ def _copy_ranges(work, source, dest_root, run_id, threads, on_failure) -> CopyRe
             status.update(bytes=0, status="failed", tries=0, responses=0, error=str(error))
         return {**status, "finished": _now()}
 
-    parts = _run(work, copy, threads, "copied-parts", "key", "part_number", "target")
+    parts = _run(work, copy, threads, "copied-parts")
     return CopyResult(parts, publish_copies(parts, dest_root, threads, on_failure))
 
 
@@ -243,7 +241,7 @@ def publish_copies(parts: DataFrame, dest_root: str, threads: int = 4, on_failur
         F.count(F.when(~F.col("done"), 1)).cast("int").alias("failed_parts"),
         F.max(F.when(~F.col("done"), F.col("error"))).alias("error"),
         F.sum("responses").cast("int").alias("responses"), F.lit(0).cast("bigint").alias("part_size"))
-    objects = _checked(_run(whole, publish, threads, "published", "target"), on_failure)
+    objects = _checked(_run(whole, publish, threads, "published"), on_failure)
     return objects.select("key", "target", "upload_id", "n_parts", "bytes", "status", "error", "finished")
 
 

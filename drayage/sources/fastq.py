@@ -2,27 +2,27 @@
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from ..materialize import io_tasks, snapshot
+from ..materialize import snapshot, spread_io
 from ..plans.chunking import plan_parts
 from .files import FileRanges
 from .listing import list_objects
 
-READ_CHUNK = 64 << 20
+READ_CHUNK = 16 << 20
 OVERHANG = 64 << 10
 RECORDS_PER_BATCH = 50_000
 LINES = ("header", "seq", "plus", "qual")
 
 RECORD = pa.schema([("key", pa.string()), ("rec_no", pa.int64()), ("start_offset", pa.int64()),
                     ("byte_len", pa.int64()), ("header", pa.string()), ("seq", pa.string()), ("plus", pa.string()),
-                    ("qual", pa.string()), ("problem", pa.string())])
+                    ("qual", pa.string()), ("problem", pa.string()), ("read_id", pa.string()), ("mate", pa.string())])
 RECORD_DDL = ("key string, rec_no bigint, start_offset bigint, byte_len bigint, header string, seq string, "
-              "plus string, qual string, problem string")
+              "plus string, qual string, problem string, read_id string, mate string")
 
 READ_ID = r"^@(\S*?)(?:/[12])?(?:\s|$)"
 MATE_SUFFIX = r"^@\S*?/([12])(?:\s|$)"
-MATE_COMMENT = r"^@\S+\s+([12]):"
+MATE_COMMENT = r"^@\S+\s([12]):"
 
 
 def read_fastq(spark, root_uri: str, prefix: str = "", chunk_size: int = READ_CHUNK, lines=LINES,
@@ -41,8 +41,7 @@ def read_fastq_objects(objects: DataFrame, source, chunk_size: int = READ_CHUNK,
     no record is shuffled. What isn't four lines with '@' and '+' has a ``problem``: header, plus or truncated.
     ``byte_len`` counts the final newline, so the lengths of a file's records add up to its size.
 
-    ``lines`` names the text columns to fill; the others are null and don't leave the task. The read id and the mate
-    need the header.
+    ``lines`` names the text columns to fill; the others are null and don't leave the task.
     """
     reader = FileRanges(source) if isinstance(source, str) else source
     return parse_records(line_positions(objects, reader, chunk_size), reader, lines, comment_mates)
@@ -53,7 +52,7 @@ def line_positions(objects: DataFrame, source, chunk_size: int) -> DataFrame:
     lines_before, at_line_start. The files are read once to count; the result is kept."""
     reader = FileRanges(source) if isinstance(source, str) else source
     chunks = snapshot(plan_parts(objects.where(F.col("size") > 0), chunk_size), "fastq-chunks")
-    counted = _spread(chunks.select("key", "part_number", "input_offset", "part_size")).mapInArrow(
+    counted = spread_io(chunks.select("key", "part_number", "input_offset", "part_size")).mapInArrow(
         _counter(reader), "key string, part_number int, input_offset bigint, part_size bigint, newlines bigint, "
                           "ends_line boolean")
     # The windows order one row per chunk of a file, not per line. The counts pass through the shuffle once.
@@ -69,14 +68,7 @@ def parse_records(positions: DataFrame, source, lines=LINES, comment_mates: bool
     if unknown:
         raise ValueError(f"no such lines: {sorted(unknown)}")
     reader = FileRanges(source) if isinstance(source, str) else source
-    records = _spread(positions).mapInArrow(_parser(reader, tuple(lines)), RECORD_DDL)
-    return with_read_ids(records, comment_mates)
-
-
-def _spread(chunks: DataFrame) -> DataFrame:
-    amount = chunks.agg(F.coalesce(F.sum("part_size"), F.lit(0)).alias("n_bytes"), F.count("*").alias("n_rows")).first()
-    tasks = io_tasks(chunks.sparkSession, amount["n_bytes"], amount["n_rows"], bytes_per_task=256 << 20)
-    return chunks.repartition(tasks, "key", "part_number")
+    return spread_io(positions).mapInArrow(_parser(reader, tuple(lines), comment_mates), RECORD_DDL)
 
 
 def with_read_ids(records: DataFrame, comment_mates: bool = False) -> DataFrame:
@@ -84,7 +76,7 @@ def with_read_ids(records: DataFrame, comment_mates: bool = False) -> DataFrame:
 
     ``comment_mates`` also reads the mate from a comment like ``1:N:0:ACGT``.
     """
-    def group(pattern) -> Column:
+    def group(pattern):
         return F.nullif(F.regexp_extract("header", pattern, 1), F.lit(""))
 
     mate = group(MATE_SUFFIX)
@@ -118,14 +110,14 @@ def _counter(reader):
     return count
 
 
-def _parser(reader, lines):
+def _parser(reader, lines, comment_mates):
     def parse(batches):
         for chunks in batches:
             for chunk in chunks.to_pylist():
                 start, data = _own_records(reader, chunk)
                 if len(data):
                     rec_no = -(-(chunk["lines_before"] + (not chunk["at_line_start"])) // 4)
-                    yield from _record_batches(chunk["key"], rec_no, start, data, lines)
+                    yield from _record_batches(chunk["key"], rec_no, start, data, lines, comment_mates)
     return parse
 
 
@@ -162,7 +154,7 @@ def _own_records(reader, chunk):
     return offset + begin, data[begin:] + b"".join(tail)
 
 
-def _record_batches(key, rec_no, offset, data, lines):
+def _record_batches(key, rec_no, offset, data, lines, comment_mates):
     """Cuts complete records out of a byte string without touching single lines in Python."""
     values = np.frombuffer(data, np.uint8)
     ends = np.flatnonzero(values == 10).astype(np.int32)
@@ -176,6 +168,7 @@ def _record_batches(key, rec_no, offset, data, lines):
     limits[0:-1:2], limits[1::2], limits[-1] = starts, ends, len(data)
     pieces = pa.StringArray.from_buffers(len(limits) - 1, pa.py_buffer(limits), pa.py_buffer(data))
 
+    names, mates = _names(data, values, starts[::4], ends[::4], comment_mates)
     count = -(-len(starts) // 4)
     for low in range(0, count, RECORDS_PER_BATCH):
         numbers = np.arange(low, min(low + RECORDS_PER_BATCH, count))
@@ -195,5 +188,30 @@ def _record_batches(key, rec_no, offset, data, lines):
         yield pa.RecordBatch.from_arrays(
             [pa.array([key] * len(numbers), pa.string()), pa.array(rec_no + numbers, pa.int64()),
              pa.array(offset + starts[heads].astype(np.int64), pa.int64()),
-             pa.array((after[lasts] - starts[heads]).astype(np.int64)), *columns, pa.array(problem, pa.string())],
+             pa.array((after[lasts] - starts[heads]).astype(np.int64)), *columns, pa.array(problem, pa.string()),
+             names.slice(low, len(numbers)), mates.slice(low, len(numbers))],
             schema=RECORD)
+
+
+def _names(data, values, starts, ends, comment_mates):
+    """Read ids and mates of all headers of a byte string, as Arrow arrays."""
+    blanks = np.append(np.flatnonzero((values == 32) | (values == 9) | (values == 13)), len(data)).astype(np.int32)
+    stops = np.minimum(blanks[np.searchsorted(blanks, starts)], ends)
+    at = np.append(values, np.zeros(4, np.uint8))
+    marked = at[starts] == ord("@")
+    mate = at[np.maximum(stops - 1, 0)]
+    suffix = marked & (stops - starts > 2) & (at[np.maximum(stops - 2, 0)] == ord("/")) & np.isin(mate, (49, 50))
+    if comment_mates:
+        comment = ~suffix & marked & (stops - starts > 1) & (stops + 3 <= ends) & (at[stops + 2] == ord(":")) & np.isin(at[stops + 1], (49, 50))
+        mate = np.where(comment, at[stops + 1], mate)
+    else:
+        comment = np.zeros(len(starts), bool)
+    firsts, lasts = starts + marked, np.where(suffix, stops - 2, stops)
+    unnamed = ~marked | (lasts <= firsts)
+
+    limits = np.empty(2 * len(starts) + 1, np.int32)
+    limits[0:-1:2], limits[1::2], limits[-1] = firsts, np.maximum(lasts, firsts), len(data)
+    pieces = pa.StringArray.from_buffers(len(limits) - 1, pa.py_buffer(limits), pa.py_buffer(data))
+    names = pieces.take(pa.array(2 * np.arange(len(starts)), mask=unnamed))
+    mates = pa.array(["1", "2"]).take(pa.array(np.clip(mate, 49, 50).astype(np.int64) - 49, mask=~(suffix | comment)))
+    return names, mates

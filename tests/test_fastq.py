@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import drayage
 from drayage.materialize import snapshot
+from drayage.sources.fastq import LINES, _record_batches
 
 
 def make(rng, n_pairs, single=False, longest=60):
@@ -83,15 +84,17 @@ def test_odd_files(spark, tmp_path, content, expected, chunk):
 
 @pytest.mark.parametrize("header,read_id,mate", [
     ("@r1/1", "r1", "1"), ("@r1/2 c", "r1", "2"), ("@r1", "r1", None), ("@r/3", "r/3", None), ("@a/b/2", "a/b", "2"),
-    ("@r1 2:N:0:A", "r1", None), ("@r1 x/2", "r1", None)])
-def test_read_ids(spark, header, read_id, mate):
-    row = drayage.with_read_ids(spark.createDataFrame([(header,)], "header string")).first()
-    assert (row["read_id"], row["mate"]) == (read_id, mate)
-
-
-def test_mates_in_comments(spark):
-    df = spark.createDataFrame([("@r1 2:N:0:A",)], "header string")
-    assert drayage.with_read_ids(df, comment_mates=True).first()["mate"] == "2"
+    ("@r1 2:N:0:A", "r1", "c2"), ("@r1 x/2", "r1", None), ("@", None, None), ("@/1", None, "1"), ("x/1", None, None),
+    ("@r\t1:Y", "r", "c1"), ("@r 1", "r", None), ("@r 3:", "r", None), ("@r/1 2:", "r", "1"), ("", None, None),
+    ("@ 1:", None, None), ("@r/1\r", "r", "1"), ("@é/2", "é", "2")])
+@pytest.mark.parametrize("comments", [False, True])
+def test_read_ids(spark, tmp_path, header, read_id, mate, comments):
+    expected = (read_id, mate[-1] if mate and (comments or mate[0] != "c") else None)
+    row = drayage.with_read_ids(spark.createDataFrame([(header,)], "header string"), comments).first()
+    assert (row["read_id"], row["mate"]) == expected
+    batches = _record_batches("k", 0, 0, f"{header}\nA\n+\nI\n".encode(), LINES, comments)
+    parsed = [row for batch in batches for row in batch.to_pylist()]
+    assert [(r["read_id"], r["mate"], r["header"]) for r in parsed] == [(*expected, header)]
 
 
 def test_lines_that_nobody_needs(spark, reads):
