@@ -133,6 +133,8 @@ bounds AS (
 COPIES = f"""WITH {DOCS}
 SELECT 'mirror/' || substring(key, 8) AS key, size, md5(body) AS md5 FROM docs"""
 
+ONCE = f"WITH {DOCS} SELECT key, size, md5(body) AS md5, CAST(1 AS BIGINT) AS n_copies FROM docs"
+
 ORACLES = {
     "objects_docs": f"WITH {DOCS} SELECT key, size, false AS is_marker, md5(body) AS md5 FROM docs",
 
@@ -222,6 +224,9 @@ FROM totals""",
   FROM objects)
 SELECT *, {bytes_text('total_bytes')} AS total_text FROM summed""",
 
+    "upload_plan": f"""WITH {ORDERS}, {plan_cte('objects', 26214400)}
+SELECT key, part_number, input_offset, part_size, n_parts, size >= 5242880 AS is_multipart, chunk_idx FROM plan""",
+
     "plan_transfer": f"""WITH {DOCS}, {plan_cte('docs', 1024, 5)}
 SELECT key, part_number, input_offset, input_offset - min(input_offset) OVER w AS output_offset, part_size, chunk_idx,
        node, CAST(sum(part_size) OVER w AS BIGINT) AS node_size, './corpus/' || substring(key, 8) AS target
@@ -301,6 +306,11 @@ FROM pairs""",
     "copy_objects": COPIES,
     "copy_multipart": COPIES,
     "copy_plan": COPIES,
+    "grid_copy": COPIES,
+
+    "clean_parts": f"""WITH {DOCS}
+SELECT md5('stopped' || chr(10) || 'mirror/' || substring(key, 8)) AS upload_id, 'removed' AS action
+FROM docs WHERE size > 1024""",
 
     "write_split": f"""WITH {DOCS}, {plan_cte('docs', 1024, 5)}, bytes AS (
   SELECT key, node, input_offset, part_size,
@@ -315,5 +325,6 @@ SELECT 'node=' || CAST(node AS VARCHAR) || '/' || key AS key, "end" - start AS s
        md5(substring(body, start + 1, "end" - start)) AS md5
 FROM bounds JOIN lanes USING (key) WHERE "end" > start""",
 
-    "incremental_copy": f"WITH {DOCS} SELECT key, size, md5(body) AS md5, CAST(1 AS BIGINT) AS n_copies FROM docs",
+    "incremental_copy": ONCE,
+    "copy_new": ONCE,
 }

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 import drayage
-from drayage.materialize import fresh_dir, fresh_file_root
+from drayage.materialize import fresh_dir, fresh_file_root, snapshot
 
 from . import views
 
@@ -133,6 +133,12 @@ def transfer_summary(spark, sf_dir) -> DataFrame:
     return drayage.transfer_summary(_orders_plan(spark, sf_dir))
 
 
+def upload_plan(spark, sf_dir) -> DataFrame:
+    """Parts of an upload: single below 5 MiB, else multipart, even with one part."""
+    plan = drayage.build_plan(views.objects_orders(spark, sf_dir), "upload", CHUNK)
+    return plan.select("key", "part_number", "input_offset", "part_size", "n_parts", "is_multipart", "chunk_idx")
+
+
 def plan_transfer(spark, sf_dir) -> DataFrame:
     docs = views.objects_docs(spark, sf_dir)
     targets = drayage.map_download_targets(docs, "corpus/", "mybucket", ".")
@@ -296,6 +302,29 @@ def copy_plan(spark, sf_dir) -> DataFrame:
     return views.digests(spark, dest)
 
 
+def grid_copy(spark, sf_dir) -> DataFrame:
+    """Three nodes copy their slices of the plan into one shared tree; the targets appear when all are done."""
+    root, dest = views.docs_tree(spark, sf_dir), fresh_file_root(spark, "copies")
+    objects = drayage.list_objects(spark, root)
+    plan = snapshot(drayage.build_plan(objects, chunk_size=SMALL, unique_keys=True), "plan")
+    targets = drayage.map_download_targets(objects, "corpus/", "mybucket", "mirror")
+    parts = [drayage.copy_multipart(drayage.grid_slice(plan, 3, node), targets, root, dest, "grid").parts
+             for node in (1, 2, 3)]
+    drayage.publish_copies(parts[0].unionByName(parts[1]).unionByName(parts[2]), dest)
+    return views.digests(spark, dest)
+
+
+def clean_parts(spark, sf_dir) -> DataFrame:
+    """All last parts of multipart copies are held back; eight days later the unfinished copies are removed."""
+    root, dest = views.docs_tree(spark, sf_dir), fresh_file_root(spark, "copies")
+    objects = drayage.list_objects(spark, root)
+    plan = drayage.build_plan(objects, chunk_size=SMALL, unique_keys=True).where("part_number < n_parts or n_parts = 1")
+    targets = drayage.map_download_targets(objects, "corpus/", "mybucket", "mirror")
+    drayage.copy_multipart(plan, targets, root, dest, "stopped")
+    stale = drayage.stale_uploads(drayage.list_uploads(spark, dest), F.current_timestamp() + F.expr("interval 8 days"))
+    return drayage.clean_parts(stale, dest, dry_run=False).select("upload_id", "action")
+
+
 def write_split(spark, sf_dir) -> DataFrame:
     root, dest = views.docs_tree(spark, sf_dir), fresh_file_root(spark, "slices")
     plan = drayage.build_plan(drayage.list_objects(spark, root), chunk_size=SMALL, unique_keys=True)
@@ -320,6 +349,21 @@ def incremental_copy(spark, sf_dir) -> DataFrame:
         if lot:
             drayage.write_objects(docs.where(lot), source)
         copied = drayage.incremental_copy(spark, source, dest, checkpoint)
+    return _copied_once(spark, dest, copied)
+
+
+def copy_new(spark, sf_dir) -> DataFrame:
+    """The same two lots, found by comparing the inventory with the ledger."""
+    source, dest = fresh_file_root(spark, "arrivals"), fresh_file_root(spark, "copies")
+    checkpoint = fresh_file_root(spark, "incremental")
+    docs = views.objects_docs(spark, sf_dir)
+    for lot in ("key like 'corpus/en/%'", "key not like 'corpus/en/%'"):
+        drayage.write_objects(docs.where(lot), source)
+        copied = drayage.copy_new(spark, source, dest, checkpoint)
+    return _copied_once(spark, dest, copied)
+
+
+def _copied_once(spark, dest, copied) -> DataFrame:
     stored = views.digests(spark, dest)
     times = copied.groupBy("key").agg(F.count("*").alias("n_copies"))
     return stored.join(times, "key", "full").select("key", "size", "md5", "n_copies")
@@ -328,7 +372,8 @@ def incremental_copy(spark, sf_dir) -> DataFrame:
 QUERIES = {query.__name__: query for query in (
     objects_docs, objects_pages, list_objects, head_objects, path_list, parse_uri, prefix_filter, download_targets,
     upload_keys, attach_metadata, bind_targets, classify_transfer, plan_parts, build_plan, grid_assign, grid_slice,
-    split_rebase, node_summary, transfer_summary, plan_transfer, read_ranges, slice_bodies, complete_manifest,
-    reassemble, verify_transfer, attempt_accounting, remaining_ranges, throughput, progress_ticks,
+    split_rebase, node_summary, transfer_summary, upload_plan, plan_transfer, read_ranges, slice_bodies,
+    complete_manifest, reassemble, verify_transfer, attempt_accounting, remaining_ranges, throughput, progress_ticks,
     progress_ticks_stream, incomplete_uploads, stale_uploads, read_fastq, fastq_boundaries, locate_boundaries,
-    fastq_split, pair_mates, copy_objects, copy_multipart, copy_plan, write_split, write_fastq_split, incremental_copy)}
+    fastq_split, pair_mates, copy_objects, copy_multipart, copy_plan, grid_copy, clean_parts, write_split,
+    write_fastq_split, incremental_copy, copy_new)}

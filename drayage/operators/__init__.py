@@ -8,7 +8,8 @@ from .transfer import (CopyResult, TransferFailed, copy_multipart, copy_objects,
                        write_objects, write_split)
 
 __all__ = ["CopyResult", "TransferFailed", "attach_metadata", "attempt_accounting", "bind_targets", "clean_parts",
-           "complete_manifest", "copy_multipart", "copy_objects", "copy_plan", "fastq_boundaries", "fastq_split", "filter_prefix",
-           "incomplete_uploads", "list_uploads", "locate_boundaries", "map_download_targets", "map_upload_keys", "node_summary",
-           "pair_mates", "parse_object_uri", "publish_copies", "reassemble", "remaining_ranges", "stale_uploads", "throughput",
-           "transfer_summary", "verify_transfer", "write_objects", "write_split"]
+           "complete_manifest", "copy_multipart", "copy_objects", "copy_plan", "fastq_boundaries", "fastq_split",
+           "filter_prefix", "incomplete_uploads", "list_uploads", "locate_boundaries", "map_download_targets",
+           "map_upload_keys", "node_summary", "pair_mates", "parse_object_uri", "publish_copies", "reassemble",
+           "remaining_ranges", "stale_uploads", "throughput", "transfer_summary", "verify_transfer", "write_objects",
+           "write_split"]

@@ -83,16 +83,18 @@ def fastq_split(records: DataFrame, boundaries: DataFrame) -> DataFrame:
     per_key = boundaries.groupBy("key").agg(ordered.alias("starts"), F.max("end").alias("size"))
     spans = per_key.withColumn("span", F.explode(F.sequence(F.lit(0).cast("bigint"), int_div(F.col("size"), SPAN))))
     low = F.col("span") * SPAN
+    inside = F.filter("starts", lambda s: (s["start"] >= low) & (s["start"] < low + SPAN))
     lists = spans.select(
         "key", "span",
         F.try_element_at(F.filter("starts", lambda s: s["start"] < low), F.lit(-1))["node"].alias("entered"),
-        F.filter("starts", lambda s: (s["start"] >= low) & (s["start"] < low + SPAN)).alias("inside"))
+        F.transform(inside, lambda s: s["start"]).alias("inside"),
+        F.transform(inside, lambda s: s["node"]).alias("inside_nodes"))
     lists = broadcast_if_bounded(snapshot(lists, "record-spans"))
 
     located = records.withColumn("span", int_div(F.col("start_offset"), SPAN)).join(lists, ["key", "span"])
-    passed = F.filter("inside", lambda s: s["start"] <= F.col("start_offset"))
-    node = F.coalesce(F.try_element_at(passed, F.lit(-1))["node"], F.col("entered"))
-    return located.withColumn("node", node).drop("span", "inside", "entered")
+    passed = F.size(F.filter("inside", lambda start: start <= F.col("start_offset")))
+    node = F.coalesce(F.get("inside_nodes", passed - 1), F.col("entered"))
+    return located.withColumn("node", node).drop("span", "entered", "inside", "inside_nodes")
 
 
 def pair_mates(records: DataFrame) -> DataFrame:

@@ -16,7 +16,8 @@ LINES = ("header", "seq", "plus", "qual")
 
 RECORD = pa.schema([("key", pa.string()), ("rec_no", pa.int64()), ("start_offset", pa.int64()),
                     ("byte_len", pa.int64()), ("header", pa.string()), ("seq", pa.string()), ("plus", pa.string()),
-                    ("qual", pa.string()), ("problem", pa.string()), ("read_id", pa.string()), ("mate", pa.string())])
+                    ("qual", pa.string()), ("problem", pa.string()), ("read_id", pa.string()),
+                    ("mate", pa.string())])
 RECORD_DDL = ("key string, rec_no bigint, start_offset bigint, byte_len bigint, header string, seq string, "
               "plus string, qual string, problem string, read_id string, mate string")
 
@@ -57,8 +58,9 @@ def line_positions(objects: DataFrame, source, chunk_size: int) -> DataFrame:
                           "ends_line boolean")
     # The windows order one row per chunk of a file, not per line. The counts pass through the shuffle once.
     in_file = Window.partitionBy("key").orderBy("part_number")
-    before = F.sum("newlines").over(in_file.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("newlines")
-    return snapshot(counted.select("key", "part_number", "input_offset", "part_size", before.alias("lines_before"),
+    so_far = F.sum("newlines").over(in_file.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return snapshot(counted.select("key", "part_number", "input_offset", "part_size",
+                                   (so_far - F.col("newlines")).alias("lines_before"),
                                    F.lag("ends_line", 1, True).over(in_file).alias("at_line_start")), "fastq-plan")
 
 
@@ -97,7 +99,8 @@ def _counter(reader):
     def count(batches):
         for chunks in batches:
             newlines, ends = [], []
-            for key, offset, length in zip(*(chunks.column(c).to_pylist() for c in ("key", "input_offset", "part_size"))):
+            ranges = zip(*(chunks.column(c).to_pylist() for c in ("key", "input_offset", "part_size")))
+            for key, offset, length in ranges:
                 found, last = 0, 0
                 for piece in reader.read(key, offset, length):
                     data = np.frombuffer(piece, np.uint8)
@@ -202,7 +205,8 @@ def _names(data, values, starts, ends, comment_mates):
     mate = at[np.maximum(stops - 1, 0)]
     suffix = marked & (stops - starts > 2) & (at[np.maximum(stops - 2, 0)] == ord("/")) & np.isin(mate, (49, 50))
     if comment_mates:
-        comment = ~suffix & marked & (stops - starts > 1) & (stops + 3 <= ends) & (at[stops + 2] == ord(":")) & np.isin(at[stops + 1], (49, 50))
+        after = marked & ~suffix & (stops - starts > 1) & (stops + 3 <= ends)
+        comment = after & (at[stops + 2] == ord(":")) & np.isin(at[stops + 1], (49, 50))
         mate = np.where(comment, at[stops + 1], mate)
     else:
         comment = np.zeros(len(starts), bool)

@@ -88,8 +88,9 @@ def walk(spark, root_uri: str, prefix: str = "", tasks: int = None) -> DataFrame
     """Everything below ``root_uri`` whose key starts with ``prefix``: key, kind, size, mtime, error.
 
     One level of directories per round; the directories of a level are spread over tasks and each is read once. The
-    walk starts at the directory of the prefix, and its result is kept, so all later jobs see one inventory. On mounted file systems names are listed first and then spread for
-    reading sizes, so one directory with most of the files doesn't keep one task busy with them.
+    walk starts at the directory of the prefix, and its result is kept, so all later jobs see one inventory. On mounted
+    file systems names are listed first and then spread for reading sizes, so one directory with most of the files
+    doesn't keep one task busy with them.
     """
     tasks = tasks or 4 * spark.sparkContext.defaultParallelism
     start = prefix[:prefix.rfind("/") + 1]

@@ -1,9 +1,13 @@
 """Continuous copying: each new object once, across restarts."""
 
+import uuid
+
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, functions as F
 
+from ..materialize import snapshot
 from ..operators.transfer import copy_objects
-from ..sources.files import local_path
+from ..sources.files import local_path, open_root
 from ..sources.listing import list_objects
 
 SEEN_FILE = "path string, modificationTime timestamp, length bigint, content binary"
@@ -12,47 +16,59 @@ LEDGER = "key string, target string, bytes bigint, status string, tries int, err
 
 def ledger(spark, checkpoint: str) -> DataFrame:
     """What was copied so far, one row per object."""
-    return spark.read.schema(LEDGER + ", batch string").parquet(f"{checkpoint.rstrip('/')}/ledger")
+    schema = f"{LEDGER}, batch string"
+    path = f"{checkpoint.rstrip('/')}/ledger"
+    fs, local = open_root(path)
+    if fs.get_file_info(local).type != pafs.FileType.Directory:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
+def _copy(objects: DataFrame, source_root, dest_root, checkpoint, batch, on_failure):
+    """Copies and enters the copies into the ledger, in a part that a second run of the same batch replaces."""
+    named = objects.select("key", "size", F.col("key").alias("target"))
+    done = copy_objects(named, named.select("key", "target"), source_root, dest_root, on_failure=on_failure)
+    done.where("status in ('done', 'marker', 'skipped_directory')").write.mode("overwrite").parquet(
+        f"{checkpoint}/ledger/batch={batch}")
+
+
+def copy_new(spark, source_root: str, dest_root: str, checkpoint: str, only: str = "true",
+             on_failure: str = "fail") -> DataFrame:
+    """Copies what is below ``source_root`` and not in the ledger; returns the ledger.
+
+    The inventory is listed by tasks and compared with the ledger in a join, so nothing about single files is held on
+    the driver. ``only`` narrows the inventory by a condition.
+    """
+    checkpoint = checkpoint.rstrip("/")
+    known = ledger(spark, checkpoint).select("key").distinct()
+    unseen = list_objects(spark, source_root).where(only).select("key", "size").join(known, "key", "left_anti")
+    unseen = snapshot(unseen, "unseen")
+    if not unseen.isEmpty():
+        _copy(unseen, source_root, dest_root, checkpoint, uuid.uuid4().hex, on_failure)
+    return ledger(spark, checkpoint)
 
 
 def incremental_copy(spark, source_root: str, dest_root: str, checkpoint: str, max_files_per_batch: int = 100_000,
-                     on_failure: str = "fail") -> DataFrame:
+                     empty_files: bool = True, on_failure: str = "fail") -> DataFrame:
     """Copies what is new below ``source_root`` since the last call with this checkpoint; returns the ledger.
 
-    New files come from a file stream that reads names and lengths only. A batch writes its own part of the ledger, so
-    a batch that runs again replaces it. File streams leave out empty files; those are listed and checked against the
-    ledger after the stream has caught up.
+    New files come from a file stream that reads names and lengths only. Such streams leave out empty files; with
+    ``empty_files`` these are listed and compared with the ledger after the stream has caught up. A file stream keeps
+    the names it has seen on the driver: for trees of very many files use :func:`copy_new`.
     """
     checkpoint = checkpoint.rstrip("/")
     root = local_path(source_root) or source_root.rstrip("/")
 
-    def copy(objects: DataFrame, batch_id: str):
-        named = objects.select("key", "size", F.col("key").alias("target"))
-        done = copy_objects(named, named.select("key", "target"), source_root, dest_root, on_failure=on_failure)
-        done.write.mode("overwrite").parquet(f"{checkpoint}/ledger/batch={batch_id}")
-
     def copy_batch(files: DataFrame, batch_id: int):
         path = F.regexp_replace(F.col("path"), "^file:/+", "/")
-        copy(files.select(F.substring(path, len(root) + 2, 2**31 - 1).alias("key"), F.col("length").alias("size")),
-             str(batch_id))
+        objects = files.select(F.substring(path, len(root) + 2, 2**31 - 1).alias("key"), F.col("length").alias("size"))
+        _copy(objects, source_root, dest_root, checkpoint, batch_id, on_failure)
 
     files = (spark.readStream.format("binaryFile").schema(SEEN_FILE).option("recursiveFileLookup", "true")
              .option("maxFilesPerTrigger", max_files_per_batch).load(source_root).select("path", "length"))
     query = (files.writeStream.option("checkpointLocation", f"{checkpoint}/stream").trigger(availableNow=True)
              .foreachBatch(copy_batch).start())
     query.awaitTermination()
-
-    empty = list_objects(spark, source_root).where("size = 0").select("key", "size")
-    if _has_ledger(checkpoint):
-        empty = empty.join(ledger(spark, checkpoint).select("key").distinct(), "key", "left_anti")
-    if not empty.isEmpty():
-        number = 0 if not _has_ledger(checkpoint) else ledger(spark, checkpoint).select("batch").distinct().count()
-        copy(empty, f"empty-{number}")
+    if empty_files:
+        return copy_new(spark, source_root, dest_root, checkpoint, "size = 0", on_failure)
     return ledger(spark, checkpoint)
-
-
-def _has_ledger(checkpoint: str) -> bool:
-    from ..sources.files import open_root
-    import pyarrow.fs as pafs
-    fs, path = open_root(f"{checkpoint}/ledger")
-    return fs.get_file_info(path).type == pafs.FileType.Directory

@@ -43,7 +43,8 @@ def run_progress_stream(executed: DataFrame, interval: str, tick_path: str, chec
     batch (complete mode); it holds one row per interval.
     """
     tick_stream = ticks(executed, interval, watermark)
-    writer = tick_stream.writeStream.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True}))
+    writer = tick_stream.writeStream.option("checkpointLocation", checkpoint)
+    writer = writer.trigger(**(trigger or {"availableNow": True}))
     if watermark:
         return writer.outputMode("append").format("parquet").option("path", tick_path).start()
     return (writer.outputMode("complete")

@@ -10,7 +10,7 @@ from drayage.materialize import snapshot
 
 FILES = {"list_objects", "read_ranges", "read_fastq", "fastq_boundaries", "locate_boundaries", "fastq_split",
          "pair_mates", "copy_objects", "copy_multipart", "copy_plan", "write_split", "write_fastq_split",
-         "incremental_copy", "progress_ticks_stream", "path_list"}
+         "incremental_copy", "copy_new", "grid_copy", "clean_parts", "progress_ticks_stream", "path_list"}
 TABLE_QUERIES = sorted(set(spark_entry.queries()) - FILES)
 
 

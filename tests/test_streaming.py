@@ -47,6 +47,18 @@ def test_each_object_is_copied_once(spark, tmp_path):
     assert sorted(os.listdir(dest)) == [".uploads", "a", "b", "empty", "empty2", "sub dir"]
 
 
+def test_new_objects_by_listing(spark, tmp_path):
+    source, dest, state = (str(tmp_path / n) for n in ("src", "dst", "state"))
+    os.makedirs(source + "/d")
+    for name, count in (("d/a", 1), ("d/b", 2), ("e", 3)):
+        with open(f"{source}/{name}", "w") as out:
+            out.write("x")
+        assert drayage.copy_new(spark, source, dest, state).count() == count
+    assert drayage.copy_new(spark, source, dest, state).count() == 3
+    os.unlink(source + "/e")
+    assert drayage.copy_new(spark, source, dest, state).count() == 3 and os.path.exists(dest + "/e")
+
+
 def test_only_empty_objects(spark, tmp_path):
     source, dest, state = (str(tmp_path / n) for n in ("src", "dst", "state"))
     os.makedirs(source)
