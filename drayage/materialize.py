@@ -11,6 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 BROADCAST_ROWS = 200_000
+SMALL_TASK_BYTES, SMALL_TASK_ROWS = 4 << 20, 50
 
 _local_dirs = {}
 
@@ -64,8 +65,10 @@ def spread_io(work: DataFrame, size: str = "part_size", bytes_per_task: int = 25
 
     The number of tasks follows from the bytes behind the rows and is given explicitly: the rows themselves are tiny,
     and a coalesce by their size would put all of them, with all their I/O, into one task. Several tasks per core let
-    fast ones take over from slow ones.
+    fast ones take over from slow ones; small jobs get fewer.
     """
     amount = work.agg(F.coalesce(F.sum(size), F.lit(0)).alias("n_bytes"), F.count("*").alias("n_rows")).first()
-    wanted = max(-(-amount["n_bytes"] // bytes_per_task), 3 * work.sparkSession.sparkContext.defaultParallelism)
-    return work.repartition(int(max(1, min(wanted, amount["n_rows"], 100_000))))
+    n_bytes, n_rows = amount["n_bytes"], amount["n_rows"]
+    useful = max(n_bytes // SMALL_TASK_BYTES, n_rows // SMALL_TASK_ROWS)
+    wanted = max(n_bytes // bytes_per_task, min(useful, 3 * work.sparkSession.sparkContext.defaultParallelism))
+    return work.repartition(int(max(1, min(wanted, n_rows, 100_000))))

@@ -56,7 +56,8 @@ def attempt_accounting(attempts: DataFrame, part_size, on: str = "chunk_id") ->
     one partitioning and one sort order.
     """
     size = part_size if isinstance(part_size, Column) else F.lit(part_size).cast("bigint")
-    log = attempts.select(on, "attempt_ts", "failed", F.col("bytes_read").cast("bigint").alias("bytes_read"),
+    log = attempts.select(on, "attempt_ts", F.coalesce("failed", F.lit(False)).alias("failed"),
+                          F.coalesce(F.col("bytes_read").cast("bigint"), F.lit(0)).alias("bytes_read"),
                           size.alias("part_size"))
     in_order = Window.partitionBy(on).orderBy("attempt_ts", "failed", "bytes_read")
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)

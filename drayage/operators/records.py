@@ -73,7 +73,7 @@ def locate_boundaries(objects: DataFrame, assigned: DataFrame, source, chunk_siz
 
 
 def fastq_split(records: DataFrame, boundaries: DataFrame) -> DataFrame:
-    """``records`` + node: the last node whose aligned start is at or before the record.
+    """``records`` + node: the last node whose aligned start is at or before the record; null for files without nodes.
 
     A record is compared with the starts inside its own GiB of the file only. These small lists are the joined table,
     one row per key and GiB: broadcast if they are counted to be few, else shuffled by key and GiB, which also cuts a
@@ -91,7 +91,7 @@ def fastq_split(records: DataFrame, boundaries: DataFrame) -> DataFrame:
         F.transform(inside, lambda s: s["node"]).alias("inside_nodes"))
     lists = broadcast_if_bounded(snapshot(lists, "record-spans"))
 
-    located = records.withColumn("span", int_div(F.col("start_offset"), SPAN)).join(lists, ["key", "span"])
+    located = records.withColumn("span", int_div(F.col("start_offset"), SPAN)).join(lists, ["key", "span"], "left")
     passed = F.size(F.filter("inside", lambda start: start <= F.col("start_offset")))
     node = F.coalesce(F.get("inside_nodes", passed - 1), F.col("entered"))
     return located.withColumn("node", node).drop("span", "entered", "inside", "inside_nodes")
@@ -100,7 +100,8 @@ def fastq_split(records: DataFrame, boundaries: DataFrame) -> DataFrame:
 def pair_mates(records: DataFrame) -> DataFrame:
     """Mates by read id within a file: key, read_id, r1, r2 (start offsets), status.
 
-    ``paired``, ``orphan_1``, ``orphan_2`` or ``unpaired`` (no mate mark).
+    ``paired``, ``orphan_1``, ``orphan_2`` or ``unpaired`` (no mate mark). Text lines aren't needed: records read with
+    ``lines=()`` will do.
     """
     def start(mate):
         return F.max(F.when(F.col("mate") == mate, F.col("start_offset")))

@@ -1,6 +1,8 @@
 """Recursive inventory of a file tree."""
 
+import collections
 import datetime
+import itertools
 import os
 
 import pyarrow as pa
@@ -15,20 +17,35 @@ ENTRY = pa.schema([("key", pa.string()), ("kind", pa.string()), ("size", pa.int6
                    ("mtime", pa.timestamp("us", "UTC")), ("error", pa.string())])
 ENTRY_DDL = "key string, kind string, size bigint, mtime timestamp, error string"
 ROWS_PER_BATCH = 10_000
+DIRECTORIES_PER_ROUND = 100
+SIZES_PER_DIRECTORY = 1_000
 
 
-def _scan_local(root, directory):
-    """Names and types only, streamed from the directory; sizes are read later, in parallel."""
-    empty = True
+def _scan_local(root, directory, sizes):
+    """Streams a directory. The sizes of a very large one are left to be read in parallel: rows of kind ``name``."""
+    count = 0
     with os.scandir(os.path.join(root, directory) if directory else root) as entries:
         for entry in entries:
-            empty = False
-            is_dir = entry.is_dir(follow_symlinks=False)
-            yield {"key": directory + entry.name + ("/" if is_dir else ""), "kind": "dir" if is_dir else "name"}
-    if empty and directory:
+            count += 1
+            if entry.is_dir(follow_symlinks=False):
+                yield {"key": directory + entry.name + "/", "kind": "dir"}
+            elif count > sizes:
+                yield {"key": directory + entry.name, "kind": "name"}
+            else:
+                yield _sized(root, directory + entry.name)
+    if not count and directory:
         yield {"key": directory, "kind": "marker", "size": 0}
 
 
+def _sized(root, key):
+    try:
+        info = os.stat(below(root, key))
+        mtime = datetime.datetime.fromtimestamp(info.st_mtime, datetime.timezone.utc)
+        return {"key": key, "kind": "file", "size": info.st_size, "mtime": mtime}
+    except (OSError, ValueError) as error:
+        return {"key": key, "kind": "error", "error": str(error)}
+
+
 def _scan_remote(fs, root, directory):
     infos = fs.get_file_info(pafs.FileSelector(f"{root}/{directory}".rstrip("/")))
     for info in infos:
@@ -40,7 +57,7 @@ def _scan_remote(fs, root, directory):
         yield {"key": directory, "kind": "marker", "size": 0}
 
 
-def _scanner(root_uri, prefix):
+def _scanner(root_uri, prefix, per_round, sizes):
     def wanted(entry):
         key = entry["key"]
         if key == STAGING_DIR + "/":
@@ -51,18 +68,26 @@ def _scanner(root_uri, prefix):
         local = local_path(root_uri)
         fs, root = (None, local) if local is not None else open_root(root_uri)
         for frontier in batches:
-            for directory in frontier.column("key").to_pylist():
-                rows = []
-                try:
-                    found = _scan_local(root, directory) if fs is None else _scan_remote(fs, root, directory)
-                    for entry in filter(wanted, found):
-                        rows.append(entry)
-                        if len(rows) == ROWS_PER_BATCH:
-                            yield batch(rows, ENTRY)
-                            rows = []
-                except OSError as error:
-                    rows.append({"key": directory, "kind": "error", "error": str(error)})
+            for start in frontier.column("key").to_pylist():
+                waiting, rows, scanned = collections.deque([start]), [], 0
+                while waiting and scanned < per_round:
+                    directory, scanned = waiting.popleft(), scanned + 1
+                    try:
+                        found = _scan_remote(fs, root, directory) if fs else _scan_local(root, directory, sizes)
+                        for entry in filter(wanted, found):
+                            if entry["kind"] == "dir":
+                                waiting.append(entry["key"])
+                            else:
+                                rows.append(entry)
+                            if len(rows) == ROWS_PER_BATCH:
+                                yield batch(rows, ENTRY)
+                                rows = []
+                    except OSError as error:
+                        rows.append({"key": directory, "kind": "error", "error": str(error)})
                 yield batch(rows, ENTRY)
+                for low in range(0, len(waiting), ROWS_PER_BATCH):
+                    some = itertools.islice(waiting, low, low + ROWS_PER_BATCH)
+                    yield batch([{"key": directory, "kind": "dir"} for directory in some], ENTRY)
 
     return scan
 
@@ -71,15 +96,7 @@ def _stat(root_uri):
     def stat(batches):
         root = local_path(root_uri)
         for names in batches:
-            rows = []
-            for key in names.column("key").to_pylist():
-                try:
-                    info = os.stat(below(root, key))
-                    mtime = datetime.datetime.fromtimestamp(info.st_mtime, datetime.timezone.utc)
-                    rows.append({"key": key, "kind": "file", "size": info.st_size, "mtime": mtime})
-                except (OSError, ValueError) as error:
-                    rows.append({"key": key, "kind": "error", "error": str(error)})
-            yield batch(rows, ENTRY)
+            yield batch([_sized(root, key) for key in names.column("key").to_pylist()], ENTRY)
 
     return stat
 
@@ -87,10 +104,11 @@ def _stat(root_uri):
 def walk(spark, root_uri: str, prefix: str = "", tasks: int = None) -> DataFrame:
     """Everything below ``root_uri`` whose key starts with ``prefix``: key, kind, size, mtime, error.
 
-    One level of directories per round; the directories of a level are spread over tasks and each is read once. The
-    walk starts at the directory of the prefix, and its result is kept, so all later jobs see one inventory. On mounted
-    file systems names are listed first and then spread for reading sizes, so one directory with most of the files
-    doesn't keep one task busy with them.
+    In each round a task walks on from the directory it was given, through 100 directories at most; what it hasn't read
+    by then is spread over all tasks in the next round. The walk starts at the directory of the prefix, and its result
+    is kept, so all later jobs see one inventory. Directories of mounted file systems with very many files are read for
+    names only, and these are spread for reading the sizes, so one directory with most of the files doesn't keep one
+    task busy with them.
     """
     tasks = tasks or 4 * spark.sparkContext.defaultParallelism
     start = prefix[:prefix.rfind("/") + 1]
@@ -100,17 +118,20 @@ def walk(spark, root_uri: str, prefix: str = "", tasks: int = None) -> DataFrame
     while directories:
         levels.append(f"{path}/level={len(levels)}")
         spread = frontier.repartition(min(tasks, directories), "key")
-        spread.mapInArrow(_scanner(root_uri, prefix), ENTRY_DDL).write.parquet(levels[-1])
+        scan = _scanner(root_uri, prefix, DIRECTORIES_PER_ROUND, SIZES_PER_DIRECTORY)
+        spread.mapInArrow(scan, ENTRY_DDL).write.parquet(levels[-1])
         frontier = spark.read.schema(ENTRY_DDL).parquet(levels[-1]).where("kind = 'dir'").select("key")
         directories = frontier.count()
 
     entries = spark.read.schema(ENTRY_DDL).parquet(*levels)
     if local_path(root_uri) is None:
         return entries.where("kind <> 'dir'")
-    names = entries.where("kind = 'name'").select("key")
-    spread = names.repartition(max(1, min(tasks, names.count() // 100)), "key")
-    stated = spread.mapInArrow(_stat(root_uri), ENTRY_DDL)
-    return snapshot(entries.where("kind in ('marker', 'error')").unionByName(stated), "inventory")
+    known, names = entries.where("kind not in ('dir', 'name')"), entries.where("kind = 'name'").select("key")
+    unsized = names.count()
+    if not unsized:
+        return known
+    spread = names.repartition(max(1, min(tasks, unsized // 100)), "key")
+    return snapshot(known.unionByName(spread.mapInArrow(_stat(root_uri), ENTRY_DDL)), "inventory")
 
 
 def list_objects(spark, root_uri: str, prefix: str = "", tasks: int = None) -> DataFrame:

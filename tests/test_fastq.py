@@ -167,9 +167,10 @@ def test_split_over_several_spans(spark, monkeypatch):
     monkeypatch.setattr("drayage.operators.records.SPAN", 10)
     bounds = spark.createDataFrame([("k", 1, 0, 3), ("k", 2, 3, 3), ("k", 4, 3, 47), ("k", 5, 47, 60)],
                                    "key string, node int, start bigint, end bigint")
-    records = spark.createDataFrame([("k", s) for s in (0, 2, 3, 9, 10, 30, 46, 47, 59)], "key string, start_offset bigint")
+    records = spark.createDataFrame([("k", s) for s in (0, 2, 3, 9, 10, 30, 46, 47, 59)] + [("other", 60)],
+                                    "key string, start_offset bigint")
     got = {r["start_offset"]: r["node"] for r in drayage.fastq_split(records, bounds).collect()}
-    assert got == {0: 1, 2: 1, 3: 4, 9: 4, 10: 4, 30: 4, 46: 4, 47: 5, 59: 5}
+    assert got == {0: 1, 2: 1, 3: 4, 9: 4, 10: 4, 30: 4, 46: 4, 47: 5, 59: 5, 60: None}
 
 
 def test_pairs(spark):

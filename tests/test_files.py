@@ -1,10 +1,14 @@
 import os
 import random
 
+import pyarrow as pa
+import pyarrow.fs as pafs
 import pytest
 from pyspark.sql import functions as F
 
 import drayage
+from drayage.operators import transfer
+from drayage.sources import files as sources_files, listing
 from drayage.sources.files import below, local_path
 
 
@@ -31,6 +35,46 @@ def test_listing(spark, tree):
     assert listed(drayage.list_objects(spark, "file://" + root)) == expected
 
 
+def test_listing_in_many_rounds(spark, tree, monkeypatch):
+    root, files = tree
+    monkeypatch.setattr(listing, "DIRECTORIES_PER_ROUND", 1)
+    monkeypatch.setattr(listing, "SIZES_PER_DIRECTORY", 0)
+    plan = drayage.walk(spark, root)
+    expected = {key: (len(body), False) for key, body in files.items()} | {"a/void/": (0, True)}
+    assert listed(drayage.objects_of(plan)) == expected
+
+
+@pytest.mark.parametrize("per_round,sizes", [(1, 0), (2, 1), (100, 1000)])
+def test_scanning_in_one_process(tree, per_round, sizes):
+    root, files = tree
+    frontier, found = [""], []
+    while frontier:
+        rows = [r for b in listing._scanner(root, "", per_round, sizes)([pa.RecordBatch.from_pydict({"key": frontier})])
+                for r in b.to_pylist()]
+        found += [r for r in rows if r["kind"] != "dir"]
+        frontier = [r["key"] for r in rows if r["kind"] == "dir"]
+    assert sorted(r["key"] for r in found) == sorted([*files, "a/void/"])
+    names = [r["key"] for r in found if r["kind"] == "name"]
+    sized = [r for b in listing._stat(root)([pa.RecordBatch.from_pydict({"key": names})]) for r in b.to_pylist()]
+    assert {r["key"]: r["size"] for r in [*found, *sized] if r["kind"] == "file"} == {k: len(b) for k, b in files.items()}
+
+
+def test_remote_stores_are_listed_and_written_through_their_file_system(tree, tmp_path_factory, monkeypatch):
+    """The code for URIs that aren't mounted, on a file system of pyarrow."""
+    root, files = tree
+    for module in (listing, sources_files, transfer):
+        monkeypatch.setattr(module, "local_path", lambda uri: None)
+        monkeypatch.setattr(module, "open_root", lambda uri: (pafs.LocalFileSystem(), uri))
+    start = [pa.RecordBatch.from_pydict({"key": [""]})]
+    rows = [r for b in listing._scanner(root, "", 100, 0)(start) for r in b.to_pylist()]
+    assert {r["key"]: r["size"] for r in rows} == {k: len(b) for k, b in files.items()} | {"a/void/": 0}
+    dest = str(tmp_path_factory.mktemp("dest"))
+    row = {"key": "a/b/x.txt", "target": "x", "target_size": 3}
+    assert transfer._copy_whole(sources_files.FileRanges(root), row, dest, "run")["status"] == "done"
+    with open(f"{dest}/x", "rb") as copied:
+        assert copied.read() == b"xyz"
+
+
 @pytest.mark.parametrize("prefix", ["a/", "a/b", "a/b/", "top", "a/void/", "nothing/", "z"])
 def test_listing_below_a_prefix(spark, tree, prefix):
     root, files = tree
