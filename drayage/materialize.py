@@ -10,7 +10,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 100_000
 SMALL_TASK_BYTES, SMALL_TASK_ROWS = 4 << 20, 50
 
 _local_dirs = {}
@@ -50,14 +50,13 @@ def snapshot(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_ROWS, weight=None) -> DataFrame:
     """Mark ``df`` for broadcast if it is counted to be small; otherwise leave the join to shuffle.
 
-    ``df`` should be cheap to count: a snapshot, or an aggregate of one.
+    ``weight`` is what a row counts, for rows with arrays. ``df`` should be cheap to count: a snapshot, for example.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    total = df.agg(F.sum(F.lit(1) if weight is None else weight)).first()[0] or 0
+    return F.broadcast(df) if total <= max_rows else df
 
 
 def spread_io(work: DataFrame, size: str = "part_size", bytes_per_task: int = 256 << 20) -> DataFrame:

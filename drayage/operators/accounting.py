@@ -96,10 +96,12 @@ def attempt_accounting(attempts: DataFrame, part_size, on: str = "chunk_id") ->
 def throughput(executed: DataFrame, *group) -> DataFrame:
     """Bytes over whole seconds from the first to the last ``ts``: n_bytes, seconds, bytes_per_second, speed_text.
 
-    Below one second the speed is null and its text ``unknown``.
+    Where rows know when they ``started``, the time runs from the first start. Below one second the speed is null and
+    its text ``unknown``.
     """
+    first = F.min("started") if "started" in executed.columns else F.min("ts")
     summed = executed.groupBy(*group).agg(F.coalesce(F.sum("bytes"), F.lit(0).cast("bigint")).alias("n_bytes"),
-                                          F.min("ts").alias("_first"), F.max("ts").alias("_last"))
+                                          first.alias("_first"), F.max("ts").alias("_last"))
     millis = (F.unix_millis(F.col("_last").cast("timestamp")) - F.unix_millis(F.col("_first").cast("timestamp")))
     seconds = F.coalesce(int_div(millis, F.lit(1000).cast("bigint")), F.lit(0).cast("bigint"))
     timed = summed.withColumn("seconds", seconds)

@@ -89,7 +89,7 @@ def fastq_split(records: DataFrame, boundaries: DataFrame) -> DataFrame:
         F.try_element_at(F.filter("starts", lambda s: s["start"] < low), F.lit(-1))["node"].alias("entered"),
         F.transform(inside, lambda s: s["start"]).alias("inside"),
         F.transform(inside, lambda s: s["node"]).alias("inside_nodes"))
-    lists = broadcast_if_bounded(snapshot(lists, "record-spans"))
+    lists = broadcast_if_bounded(snapshot(lists, "record-spans"), weight=F.size("inside") + 1)
 
     located = records.withColumn("span", int_div(F.col("start_offset"), SPAN)).join(lists, ["key", "span"], "left")
     passed = F.size(F.filter("inside", lambda start: start <= F.col("start_offset")))

@@ -20,9 +20,11 @@ from ..sources.files import FileRanges, batch, below, end_run, local_path, new_f
 STATUS = pa.schema([("key", pa.string()), ("target", pa.string()), ("upload_id", pa.string()),
                     ("part_number", pa.int32()), ("n_parts", pa.int32()), ("target_size", pa.int64()),
                     ("bytes", pa.int64()), ("status", pa.string()), ("tries", pa.int32()), ("responses", pa.int32()),
-                    ("error", pa.string()), ("finished", pa.timestamp("us", "UTC"))])
+                    ("error", pa.string()), ("started", pa.timestamp("us", "UTC")),
+                    ("finished", pa.timestamp("us", "UTC"))])
 STATUS_DDL = ("key string, target string, upload_id string, part_number int, n_parts int, target_size bigint, "
-              "bytes bigint, status string, tries int, responses int, error string, finished timestamp")
+              "bytes bigint, status string, tries int, responses int, error string, started timestamp, "
+              "finished timestamp")
 
 
 class CopyResult(NamedTuple):
@@ -31,6 +33,12 @@ class CopyResult(NamedTuple):
     objects: DataFrame
 
 
+def finished_chunks(statuses: DataFrame) -> DataFrame:
+    """Chunks or objects that were done, as ``throughput`` and ``progress_ticks`` take them: key, bytes, started, ts."""
+    done = statuses.where(F.col("status") == "done")
+    return done.select("key", "bytes", "started", F.col("finished").alias("ts"))
+
+
 class TransferFailed(RuntimeError):
     pass
 
@@ -54,20 +62,21 @@ def fetch(reader, key, offset, length, write, max_responses=MAX_RESPONSES_PER_TR
     return {"bytes": done, "status": "failed", "tries": max_tries, "responses": responses, "error": error}
 
 
-def _now():
-    return datetime.datetime.now(datetime.timezone.utc)
-
-
 def _is_marker(row):
     return row["key"].endswith("/") and row["target_size"] == 0
 
 
 def _run(work: DataFrame, action, threads: int, label: str) -> DataFrame:
     """One status row per work row. The rows are kept, so the action isn't repeated when they are read."""
+    def act(row):
+        started = datetime.datetime.now(datetime.timezone.utc)
+        status = action(row)
+        return {**status, "started": started, "finished": datetime.datetime.now(datetime.timezone.utc)}
+
     def run(batches):
         with ThreadPoolExecutor(threads) as pool:
             for rows in batches:
-                yield batch(list(pool.map(action, rows.to_pylist())), STATUS)
+                yield batch(list(pool.map(act, rows.to_pylist())), STATUS)
 
     return snapshot(spread_io(work).mapInArrow(run, STATUS_DDL), label)
 
@@ -94,7 +103,7 @@ def _plain_work(objects: DataFrame, targets: DataFrame) -> DataFrame:
 
 def copy_objects(objects: DataFrame, targets: DataFrame, source, dest_root: str, threads: int = 4,
                  on_failure: str = "report") -> DataFrame:
-    """Copies whole objects, one row each: key, target, bytes, status, tries, error, finished.
+    """Copies whole objects, one row each: key, target, bytes, status, tries, error, started, finished.
 
     Parents are created and existing files replaced, in one step when the copy is complete; until then the bytes are
     in the staging folder of the target root. A folder marker becomes a
@@ -115,11 +124,12 @@ def copy_objects(objects: DataFrame, targets: DataFrame, source, dest_root: str,
                 status.update(_copy_whole(reader, row, dest_root, run_id))
             except (OSError, ValueError) as error:
                 status.update(status="failed", error=str(error))
-        return {**status, "finished": _now()}
+        return status
 
     result = _run(_plain_work(objects, targets), copy, threads, "copied")
     end_run(dest_root, run_id)
-    return _checked(result, on_failure).select("key", "target", "bytes", "status", "tries", "error", "finished")
+    return _checked(result, on_failure).select("key", "target", "bytes", "status", "tries", "error", "started",
+                                               "finished")
 
 
 def _copy_whole(reader, row, dest_root, run_id):
@@ -167,7 +177,7 @@ def copy_plan(plan: DataFrame, targets: DataFrame, source, dest_root: str, threa
     """Runs a whole plan: single objects as they are, multipart ones by chunk. One row per object."""
     singles = copy_objects(plan.where(~F.col("is_multipart")), targets, source, dest_root, threads, on_failure)
     many = copy_multipart(plan.where(F.col("is_multipart")), targets, source, dest_root, None, threads, on_failure)
-    columns = ["key", "target", "bytes", "status", "error", "finished"]
+    columns = ["key", "target", "bytes", "status", "error", "started", "finished"]
     return singles.select(*columns).unionByName(many.objects.select(*columns))
 
 
@@ -184,8 +194,7 @@ def _copy_ranges(work, source, dest_root, run_id, threads, on_failure) -> CopyRe
         offset, place, length = row["input_offset"], row["output_offset"], row["part_size"]
         status = {name: row[name] for name in ("key", "target", "upload_id", "part_number", "n_parts", "target_size")}
         if row["target"] is None:
-            return {**status, "bytes": 0, "status": "failed", "tries": 0, "responses": 0, "error": "missing_target",
-                    "finished": _now()}
+            return {**status, "bytes": 0, "status": "failed", "tries": 0, "responses": 0, "error": "missing_target"}
         try:
             below(root, row["target"])
             os.makedirs(_staging(root, row["upload_id"]), exist_ok=True)
@@ -198,7 +207,7 @@ def _copy_ranges(work, source, dest_root, run_id, threads, on_failure) -> CopyRe
                 os.close(handle)
         except (OSError, ValueError) as error:
             status.update(bytes=0, status="failed", tries=0, responses=0, error=str(error))
-        return {**status, "finished": _now()}
+        return status
 
     parts = _run(work, copy, threads, "copied-parts")
     return CopyResult(parts, publish_copies(parts, dest_root, threads, on_failure))
@@ -207,8 +216,8 @@ def _copy_ranges(work, source, dest_root, run_id, threads, on_failure) -> CopyRe
 def publish_copies(parts: DataFrame, dest_root: str, threads: int = 4, on_failure: str = "report") -> DataFrame:
     """Makes targets visible whose parts are all done, given the ``parts`` of one or more copy calls of one run.
 
-    key, target, upload_id, n_parts, bytes, status, error, finished. ``partial`` means that nothing failed but parts
-    are missing. A part that was sent again counts once.
+    key, target, upload_id, n_parts, bytes, status, error, started, finished. ``partial`` means that nothing failed but
+    parts are missing. A part that was sent again counts once.
     """
     root = local_path(dest_root)
 
@@ -226,7 +235,7 @@ def publish_copies(parts: DataFrame, dest_root: str, threads: int = 4, on_failur
                 status.update(status="partial", error=f"{done} of {row['n_parts']} parts")
         except (OSError, ValueError) as error:
             status.update(status="failed", error=str(error))
-        return {**status, "finished": _now()}
+        return status
 
     is_done = F.col("status") == "done"
     upload = ["key", "target", "upload_id"]
@@ -242,7 +251,7 @@ def publish_copies(parts: DataFrame, dest_root: str, threads: int = 4, on_failur
         F.max(F.when(~F.col("done"), F.col("error"))).alias("error"),
         F.sum("responses").cast("int").alias("responses"), F.lit(0).cast("bigint").alias("part_size"))
     objects = _checked(_run(whole, publish, threads, "published"), on_failure)
-    return objects.select("key", "target", "upload_id", "n_parts", "bytes", "status", "error", "finished")
+    return objects.select("key", "target", "upload_id", "n_parts", "bytes", "status", "error", "started", "finished")
 
 
 def _staging(root, upload_id):

@@ -11,7 +11,8 @@ from ..sources.files import local_path, open_root
 from ..sources.listing import list_objects
 
 SEEN_FILE = "path string, modificationTime timestamp, length bigint, content binary"
-LEDGER = "key string, target string, bytes bigint, status string, tries int, error string, finished timestamp"
+LEDGER = ("key string, target string, bytes bigint, status string, tries int, error string, started timestamp, "
+          "finished timestamp")
 
 
 def ledger(spark, checkpoint: str) -> DataFrame:

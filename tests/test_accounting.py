@@ -83,6 +83,11 @@ def test_speed_below_a_second_is_unknown(spark):
     assert got == {"a": (0, None, "unknown"), "b": (2, 3000, "3.00KB/s")}
 
 
+def test_time_runs_from_the_first_start(spark):
+    done = spark.sql("select timestamp'2024-01-01 00:00:10' ts, timestamp'2024-01-01 00:00:00' started, 500L bytes")
+    assert drayage.throughput(done).first()["bytes_per_second"] == 50
+
+
 def test_manifest(spark):
     parts = spark.createDataFrame([("a", 2, 2, "t2"), ("a", 1, 2, "t1"), ("a", 1, 2, "t1"), ("b", 1, 2, "x"),
                                    ("c", 1, 2, "y"), ("c", 2, 2, None)],

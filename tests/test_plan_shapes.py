@@ -75,6 +75,18 @@ def test_broadcasts_are_counted_first(spark, objects, monkeypatch):
     few = snapshot(objects([("a", 1), ("b", 2)]), "few")
     assert "ResolvedHint" in materialize.broadcast_if_bounded(few, 2)._jdf.queryExecution().toString()
     assert "ResolvedHint" not in materialize.broadcast_if_bounded(few, 1)._jdf.queryExecution().toString()
+    heavy = materialize.broadcast_if_bounded(few, 2, weight=F.col("size"))
+    assert "ResolvedHint" not in heavy._jdf.queryExecution().toString()
+
+
+def test_records_split_the_same_way_without_a_broadcast(spark, monkeypatch):
+    from drayage.operators import records
+    bounds = spark.createDataFrame([("k", 1, 0, 30), ("k", 2, 30, 60)], "key string, node int, start bigint, end bigint")
+    reads = spark.createDataFrame([("k", 0), ("k", 29), ("k", 30)], "key string, start_offset bigint")
+    expected = sorted(drayage.fastq_split(reads, bounds).collect())
+    monkeypatch.setattr(records, "broadcast_if_bounded", lambda df, **_: df.hint("merge"))
+    split = drayage.fastq_split(reads, bounds)
+    assert "SortMergeJoin [key" in plan_of(split) and sorted(split.collect()) == expected
 
 
 def test_shared_folder_is_the_configured_one(spark, tmp_path):

@@ -82,6 +82,10 @@ def test_multipart(planned, tmp_path, store):
     assert stored(tmp_path) == EXPECTED and (tmp_path / "out/dir").is_dir()
     assert os.listdir(tmp_path / ".uploads") == []
     assert result.parts.count() == plan.count()
+    chunks = drayage.finished_chunks(result.parts)
+    assert drayage.throughput(chunks).first()["n_bytes"] == sum(map(len, BODIES.values()))
+    ticks = drayage.progress_ticks(chunks, "1 hour", 7000, 99).orderBy("tick_start").collect()
+    assert ticks[-1]["finished_text"] == f"{plan.count()} / 99"
 
 
 def test_whole_objects(planned, tmp_path):
