@@ -54,10 +54,11 @@ def explode_parts(df: DataFrame, max_parts=None, spread=None) -> DataFrame:
     return blocks.withColumn("part", F.explode(F.sequence(first, last))).drop("block")
 
 
-def plan_parts(objects: DataFrame, chunk_size=None, base_offset=0) -> DataFrame:
+def plan_parts(objects: DataFrame, chunk_size=None, base_offset=0, spread: int = None) -> DataFrame:
     """Parts of each object: key, part_number, input_offset, output_offset, part_size, n_parts.
 
-    ``base_offset`` (number or column) shifts both offsets when the object is a window of a larger one.
+    ``base_offset`` (number or column) shifts both offsets when the object is a window of a larger one. ``spread``
+    deals blocks of 65,536 parts out to that many tasks, for inventories in which few objects hold most of the parts.
     """
     chunk = effective_chunk_size(chunk_size)
     if isinstance(base_offset, Column):
@@ -67,6 +68,6 @@ def plan_parts(objects: DataFrame, chunk_size=None, base_offset=0) -> DataFrame:
     else:
         sized = objects.select("key", F.col("size").cast("bigint").alias("size"))
         base = base_offset
-    parts = explode_parts(sized.withColumn("n_parts", part_count(F.col("size"), chunk)))
+    parts = explode_parts(sized.withColumn("n_parts", part_count(F.col("size"), chunk)), spread=spread)
     return parts.select("key", *part_columns(F.col("size"), F.col("part"), chunk, base),
                         F.col("n_parts").cast("int").alias("n_parts"))

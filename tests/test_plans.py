@@ -33,6 +33,12 @@ def test_parts_of_edge_sizes(objects):
     assert got == sorted(p[1:] for p in brute_plan(EDGES, C))
 
 
+def test_spread_parts_are_the_same(objects):
+    some = objects([("giant", 70_000), ("b", 3)])
+    columns = ("key", "part_number", "input_offset", "part_size", "n_parts")
+    assert rows(drayage.plan_parts(some, 1, spread=3), *columns) == rows(drayage.plan_parts(some, 1), *columns)
+
+
 def test_parts_with_base_offset(objects):
     parts = drayage.plan_parts(objects([("w", 2500)]), C, base_offset=10_000)
     assert rows(parts, "part_number", "input_offset", "output_offset", "part_size") == [
