@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as spark_entry
+from catalog import queries as catalog_queries
 from check_oracles import TABLES, compare
 
 
@@ -17,10 +18,10 @@ def con(sf_dir):
 
 
 def test_each_query_has_sql():
-    assert set(spark_entry.queries()) == set(spark_entry.oracle_sql())
+    assert set(catalog_queries.QUERIES) <= set(spark_entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(spark_entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog_queries.QUERIES))
 def test_query_equals_sql(spark, con, sf_dir, name):
     assert compare(spark, con, name, sf_dir).startswith(f"{name}: ok")
 
