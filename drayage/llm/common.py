@@ -4,6 +4,8 @@ import zlib
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..materialize import broadcast_if_bounded
+
 LOWEST_ID = -(1 << 63)
 
 
@@ -24,3 +26,17 @@ def bucket(doc_id, modulus: int) -> Column:
 
 def bucket_of(doc_id: int, modulus: int) -> int:
     return zlib.crc32(str(doc_id).encode()) % modulus
+
+
+def row_key(docs: DataFrame) -> list[Column]:
+    """What tells documents apart, also where an id is null or occurs twice: the id and a hash of the text."""
+    return [F.coalesce(docs["doc_id"].cast("bigint"), F.lit(LOWEST_ID)).alias("key_id"),
+            F.hash(utf8(docs["text"])).cast("bigint").alias("key_hash")]
+
+
+def matching(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """Rows of ``docs`` that are in ``keys(key_id, key_hash)``, distinct, or aren't: ``semi`` or ``anti``. Keys are
+    broadcast if they are counted to be few, else both sides are shuffled."""
+    key_id, key_hash = row_key(docs)
+    few = broadcast_if_bounded(keys)
+    return docs.join(few, (key_id == few["key_id"]) & (key_hash == few["key_hash"]), f"left_{how}")

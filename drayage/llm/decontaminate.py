@@ -11,7 +11,7 @@ import functools
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..materialize import BROADCAST_ROWS, snapshot
-from .common import table
+from .common import matching, row_key, table
 
 WINDOW, GRAM = 13, 5
 SHARE = 20          # contaminated: at least one word in so many is hit
@@ -77,7 +77,7 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM,
                   max_broadcast: int = BROADCAST_ROWS) -> DataFrame:
-    """``docs(doc_id, text)``, ``benchmark(item_id, text)`` -> ``(doc_id, n_words, n_hit, n_items, item_ids)``.
+    """``docs(doc_id, text)``, ``benchmark(item_id, text)`` -> ``(doc_id, n_words, n_hit, item_ids, key_id, key_hash)``.
 
     One row per row of ``docs``; rows that repeat are judged one by one. A word is hit if it lies in an occurrence of an
     item's window. Null and empty texts have no words and no hits; a null item_id takes part but isn't listed in
@@ -95,8 +95,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
     marks = snapshot(marks, "item-marks")
     small = marks.count() <= max_broadcast
 
-    read = _winnowed(docs.select("doc_id", F.col("text").alias("_text"), F.monotonically_increasing_id().alias("_row")),
-                     window, gram)
+    read = _winnowed(docs.select("doc_id", docs["text"].alias("_text"), F.monotonically_increasing_id().alias("_row"),
+                                 *row_key(docs)), window, gram)
     # one entry of length 0 stands for the document itself, so that it is kept without hits
     entries = [F.array(F.struct(F.lit(0).alias("n"), F.lit(0).alias("at"), F.lit(0).alias("to"), F.col("_row").alias("mark"))),
                F.transform("_runs", lambda r, i: F.struct(
@@ -104,10 +104,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
                    F.coalesce(F.get(F.col("_runs"), i + 1)["at"], F.size("_m")).alias("to"), r["mark"].alias("mark")))]
     for n in short:
         entries.append(F.transform(_upto(F.size("_w") - n), functools.partial(_short_entry, n=n)))
-    spread = read.select("doc_id", "_row", "_w", F.explode(F.concat(*entries)).alias("e")).select(
-        "doc_id", "_row", "_w", "e.*")
+    own = ["doc_id", "_row", "key_id", "key_hash"]
+    spread = read.select(*own, "_w", F.explode(F.concat(*entries)).alias("e")).select(*own, "_w", "e.*")
     context = F.slice("_w", F.col("at") + 1, F.col("to") - F.col("at") + F.col("n") - 1)
-    entry = ["doc_id", "_row", "n", "at", "mark", F.when(F.col("n") == 0, F.size("_w")).alias("n_words")]
+    entry = [*own, "n", "at", "mark", F.when(F.col("n") == 0, F.size("_w")).alias("n_words")]
     marked = marks.select("n", "mark", F.lit(True).alias("marked"))
     if small:
         met = spread.join(F.broadcast(marked), ["n", "mark"], "left").where("marked or n = 0").select(
@@ -135,10 +135,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
                                  F.greatest(done["to"], s["at"] + s["n"]).alias("to")))["n"].alias("n_hit"))
     hit_items = found.select("_row", "line").distinct().join(items, "line").groupBy("_row").agg(
         F.sort_array(F.collect_set("item_id")).alias("item_ids"))
-    return met.where("n = 0").select("doc_id", "_row", "n_words").join(covered, "_row", "left").join(
+    return met.where("n = 0").select(*own, "n_words").join(covered, "_row", "left").join(
         hit_items, "_row", "left").select(
         "doc_id", F.col("n_words").cast("bigint"), F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
-        F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"), "_row")
+        F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"), "key_id", "key_hash")
 
 
 def _short_entry(i, n):
@@ -150,6 +150,13 @@ def is_contaminated(n_words="n_words", n_hit="n_hit", share: int = SHARE) -> Col
     return (F.col(n_hit) > 0) & (F.lit(share) * F.col(n_hit) >= F.col(n_words))
 
 
+def uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that aren't contaminated."""
+    judged = contamination(docs, benchmark)
+    hit = snapshot(judged.where(is_contaminated()).select("key_id", "key_hash").distinct(), "contaminated")
+    return matching(docs, hit, "anti")
+
+
 def op4_decontaminate(spark, sf_dir):
     judged = contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return judged.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"),

@@ -225,21 +225,26 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_
             counts.get(1, 0) / sum(counts.values()))
 
 
-def with_scores(docs: DataFrame, net: Net) -> DataFrame:
-    """All columns of ``docs(text, ...)`` and the struct ``quality(score)``. Null and empty texts have one score."""
-    @F.arrow_udf("struct<score:double>")
-    def score(text: pa.Array) -> pa.Array:
-        return pa.StructArray.from_arrays([pa.array(scores(text.to_pylist(), net))], names=["score"])
-    return docs.select("*", score(utf8(docs["text"])).alias("quality"))
+def score_of(text, net: Net):
+    """The score of a text as a column. Null and empty texts have one score, that of no bytes."""
+    @F.arrow_udf("double")
+    def score(batch: pa.Array) -> pa.Array:
+        return pa.array(scores(batch.to_pylist(), net))
+    return score(utf8(text))
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Net:
     return fit(*labelled_sample(docs, labels))
 
 
+def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose score reaches the threshold."""
+    return docs.where(score_of(docs["text"], learn(docs, labels)) >= threshold)
+
+
 def op6_quality(spark, sf_dir):
+    """One row per row of documents, repeated ones too; a null doc_id isn't held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    score = F.col("quality.score")
-    return with_scores(docs, learn(docs, table(spark, sf_dir, "labels"))).select(
-        "doc_id", (bucket("doc_id", FOLDS) == 0).alias("held_out"), score.alias("score"),
-        (score >= THRESHOLD).cast("int").alias("predicted"))
+    net = learn(docs, table(spark, sf_dir, "labels"))
+    return docs.select("doc_id", (bucket("doc_id", FOLDS) == 0).alias("held_out"), score_of("text", net).alias("score")
+                       ).select("*", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

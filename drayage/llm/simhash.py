@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ..materialize import snapshot
-from .common import table, utf8
+from .common import matching, row_key, table, utf8
 from .components import components
 
 SEED, SHINGLE, MAX_BITS, BLOCKS = 42, 3, 2, 5
@@ -41,7 +41,8 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``(doc_id, fp)`` of each row of ``docs(doc_id, text)``; fp as a signed long. A null text has no words."""
+    """``(doc_id, fp, key_id, key_hash)`` of each row of ``docs(doc_id, text)``; fp as a signed long. A null text has no
+    words."""
     def read(batches):
         for batch in batches:
             known, out = {}, []
@@ -50,10 +51,10 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                 if value is None:
                     value = known[text] = fingerprint(text, shingle)
                 out.append(value)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(out, np.uint64).view(np.int64))],
-                                             names=["doc_id", "fp"])
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), utf8("text").alias("t")).mapInArrow(
-        read, "doc_id bigint, fp bigint")
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(out, np.uint64).view(np.int64)),
+                                              batch.column(2), batch.column(3)], names=["doc_id", "fp", "key_id", "key_hash"])
+    return docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), utf8(docs["text"]).alias("t"), *row_key(docs)
+                       ).mapInArrow(read, "doc_id bigint, fp bigint, key_id bigint, key_hash bigint")
 
 
 def block_masks(blocks: int = BLOCKS, bits: int = MAX_BITS) -> list[int]:
@@ -89,11 +90,12 @@ def close_links(fps: DataFrame, pairwise: int = PAIRWISE) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``docs(doc_id, text)`` -> ``(doc_id, fp, component_id)``, one row per row of ``docs``.
+    """``docs(doc_id, text)`` -> ``(doc_id, fp, component_id, component, key_id, key_hash)``, one row per row of ``docs``.
 
     ``component_id`` is the smallest doc_id that can be reached by links at two or fewer bits. Equal texts, and repeated
     rows, have equal fingerprints and so one component. Texts that are null or have no words share fingerprint zero.
     A null doc_id is never the smallest; a component of such rows only has a null id. An empty table gives no rows.
+    ``component`` names a component too, also where ids are null or occur twice; the keys are those of ``row_key``.
     """
     prints = snapshot(fingerprints(docs, shingle), "fingerprints")
     classes = snapshot(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fingerprint-classes")
@@ -101,8 +103,28 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     placed = classes.join(found.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first_id", F.coalesce("component", "fp").alias("component"))
     smallest = placed.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    by_print = snapshot(placed.join(smallest, "component").select("fp", "component_id"), "fingerprint-components")
-    return prints.join(by_print, "fp").select("doc_id", "fp", "component_id")
+    by_print = snapshot(placed.join(smallest, "component").select("fp", "component_id", "component"), "fingerprint-components")
+    return prints.join(by_print, "fp").select("doc_id", "fp", "component_id", "component", "key_id", "key_hash")
+
+
+def representatives(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """The rows of ``docs``, with all their columns, less all but one of each component: the smallest doc_id stays.
+
+    A null doc_id stays only in a component without others; of rows with one doc_id the smallest hash of the text stays,
+    and of equal rows one.
+    """
+    found = near_duplicates(docs.select("doc_id", "text"), shingle)
+    key = F.struct(F.col("doc_id").isNull().alias("missing"), "key_id", "key_hash")
+    kept = snapshot(found.groupBy("component").agg(F.min(F.struct(key.alias("key"), "component")).alias("one")).select(
+        "one.key.key_id", "one.key.key_hash"), "representatives")
+    stays = matching(docs, kept, "semi")
+    rows = found.groupBy("key_id", "key_hash").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
+    if not rows:
+        return stays
+    # rows that repeat in id and text: one of each stays
+    key_id, key_hash = row_key(stays)
+    names = [c for c in ("_key_id", "_key_hash")]
+    return stays.withColumns(dict(zip(names, (key_id, key_hash)))).dropDuplicates(names).drop(*names)
 
 
 def op10_simhash(spark, sf_dir):

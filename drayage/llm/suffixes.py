@@ -379,6 +379,20 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     return joined.select(*[docs[c] for c in docs.columns], cut(utf8(docs["text"]), ranges["spans"]).alias("repeats"))
 
 
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` with the kept bytes as its text, and ``n_chars`` counted anew if there is one. A character that is cut
+    into goes as a whole."""
+    @F.arrow_udf("string")
+    def readable(kept: pa.Array) -> pa.Array:
+        return pa.array([k.decode("utf-8", "ignore") for k in kept.to_pylist()], pa.string())
+    cut = remove_repeats(docs)
+    text = F.when(cut["repeats.n_removed"] > 0, readable("repeats.kept")).otherwise(cut["text"])
+    changed = cut.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return changed.select(*docs.columns)
+
+
 def op3_suffix_array(spark, sf_dir):
     return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", "repeats.n_bytes", "repeats.n_removed", "repeats.n_spans",
