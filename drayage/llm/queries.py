@@ -1,12 +1,13 @@
 """The registered queries of this subpackage, by name, and their SQL."""
 
-from . import decontaminate, packing, quality, simhash, suffixes
+from . import contexttree, decontaminate, packing, quality, simhash, suffixes
 
 QUERIES = {
     "op3_suffix_array": suffixes.op3_suffix_array,
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op5_packing": packing.op5_packing,
     "op6_quality": quality.op6_quality,
+    "op9_context_tree": contexttree.op9_context_tree,
     "op10_simhash": simhash.op10_simhash,
 }
 
