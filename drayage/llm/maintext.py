@@ -236,8 +236,12 @@ def fit(pages) -> Model:
 def learn(pages: DataFrame, sample: int = SAMPLE_PAGES, max_bytes: int = SAMPLE_BYTES) -> Model:
     """Learns from pages that mark their article: those with the smallest hashes, ``sample`` at most, and by hand."""
     marked = pages.select(utf8("html").alias("t")).where(
-        (F.octet_length("t") <= max_bytes) & F.col("t").cast("string").rlike("(?i)<(article|main)\\b"))
-    rows = marked.orderBy(F.xxhash64("t"), "t").limit(sample).collect()
+        (F.octet_length("t") <= max_bytes) & F.col("t").cast("string").rlike("(?i)<(article|main)\\b")).select(
+        F.xxhash64("t").alias("h"), "t")
+    # hashes first: a task that sorts whole pages would send its own ``sample`` of them to the driver
+    chosen = [r["h"] for r in marked.select("h").distinct().orderBy("h").limit(sample).collect()]
+    rows = marked.where(F.col("h") <= (chosen[-1] if chosen else 0)).groupBy("h").agg(F.min("t").alias("t")).orderBy(
+        "h").limit(sample).collect()
     own = [Page(bytes(r["t"]).decode("utf-8", "replace")) for r in rows]
     return fit([(p, p.labels(), 1) for p in own] + [(*_hand_labelled(x), HAND_WEIGHT) for x in BY_HAND])
 
