@@ -2,11 +2,13 @@
 
 import zlib
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..materialize import broadcast_if_bounded
 
 LOWEST_ID = -(1 << 63)
+BATCH_BYTES, GATHERED_BYTES = 8 << 20, 24 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,3 +42,21 @@ def matching(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
     key_id, key_hash = row_key(docs)
     few = broadcast_if_bounded(keys)
     return docs.join(few, (key_id == few["key_id"]) & (key_hash == few["key_hash"]), f"left_{how}")
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the Arrow batches of this session by their bytes: texts are long, and JVM and worker hold several each."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def gathered(batches, most: int = GATHERED_BYTES):
+    """Puts batches together until they have ``most`` bytes, for work that gains from seeing more rows at once."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= most:
+            whole, held, size = pa.Table.from_batches(held).combine_chunks(), [], 0
+            yield from whole.to_batches()
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()

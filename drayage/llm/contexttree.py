@@ -18,13 +18,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..materialize import snapshot
-from .common import bucket, table, utf8
+from .common import bucket, gathered, small_batches, table, utf8
 
 DEPTH, FOLDS, HELD_OUT = 4, 7, 2
 START, END = b"\x00" * DEPTH, b"\xff"   # stand before and after a text; 0xff never occurs in UTF-8
 LOOKUP_ROWS = 4_000_000                 # strings whose log probabilities tasks hold in memory; beyond, they are joined
 FREQUENT = 1 << 18                      # words that make up at least 1/FREQUENT of all: so many at most are broadcast
-PIECE, WORDS = 4 << 20, 400_000         # bytes, and distinct words, counted at once
+PIECE, WORDS = 2 << 20, 200_000         # bytes, and distinct words, counted at once
 
 
 def _grams(text: np.ndarray) -> np.ndarray:
@@ -70,7 +70,7 @@ def _block_grams(parts):
 def count_grams(docs: DataFrame) -> DataFrame:
     """``docs(t, learn)`` -> ``(gram, n)``: each string that occurs, and how often in the texts to learn from."""
     def read(batches):
-        for batch in batches:
+        for batch in gathered(batches):
             texts, learn = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for chosen in (True, False):
                 grams, counts = [], []
@@ -262,6 +262,7 @@ def score(docs: DataFrame, lookup_rows: int = LOOKUP_ROWS, frequent: int = FREQU
     vocabulary has no word. ``score`` is of the whole text with A-Z lower-cased, and its end.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     held = bucket("doc_id", FOLDS) == HELD_OUT
     read = docs.select("doc_id", utf8("text").alias("t"), held.alias("held_out"), (~held).alias("learn"))
 

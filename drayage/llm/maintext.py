@@ -16,7 +16,7 @@ from collections import Counter
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import table, utf8
+from .common import small_batches, table, utf8
 
 SAMPLE_PAGES, SAMPLE_BYTES = 400, 65_536    # pages to learn from, and their greatest length
 HAND_WEIGHT = 20                            # a hand-labelled page counts as so many
@@ -252,6 +252,7 @@ def main_texts(pages: DataFrame, model: Model = None) -> DataFrame:
     Null, empty and text-free pages have an empty text. Broken markup is read as far as it goes; an element that isn't
     closed ends with the page. An empty table gives no rows.
     """
+    small_batches(pages.sparkSession)
     model = model or learn(pages)
 
     @F.arrow_udf("string")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import table, utf8
+from .common import small_batches, table, utf8
 
 SEQUENCE, END_ID, WINDOW = 2048, 1, 4096
 SCHEMA = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, "
@@ -182,6 +182,7 @@ def pack(docs: DataFrame, vocabulary: str, ranks: str = None, pattern: str = Non
                     out = []
             yield _rows(out)
         yield _rows(list(packer.pack(last=True)))
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("bigint"), utf8("text").alias("t")).mapInArrow(read, SCHEMA)
 
 

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import bucket, table, utf8
+from .common import bucket, small_batches, table, utf8
 
 WIDTH, STRIDE, BLOCK, FILTERS, VECTOR, REACH = 8, 4, 256, 16, 4, 24
 SAMPLE_PER_CLASS, SAMPLE_BYTES = 1000, 16_384   # labelled texts fitted to: so many of a class, up to this length
@@ -239,11 +239,13 @@ def learn(docs: DataFrame, labels: DataFrame) -> Net:
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose score reaches the threshold."""
+    small_batches(docs.sparkSession)
     return docs.where(score_of(docs["text"], learn(docs, labels)) >= threshold)
 
 
 def op6_quality(spark, sf_dir):
     """One row per row of documents, repeated ones too; a null doc_id isn't held out."""
+    small_batches(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     net = learn(docs, table(spark, sf_dir, "labels"))
     return docs.select("doc_id", (bucket("doc_id", FOLDS) == 0).alias("held_out"), score_of("text", net).alias("score")

@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ..materialize import snapshot
-from .common import matching, row_key, table, utf8
+from .common import matching, row_key, small_batches, table, utf8
 from .components import components
 
 SEED, SHINGLE, MAX_BITS, BLOCKS = 42, 3, 2, 5
@@ -53,6 +53,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                 out.append(value)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(out, np.uint64).view(np.int64)),
                                               batch.column(2), batch.column(3)], names=["doc_id", "fp", "key_id", "key_hash"])
+    small_batches(docs.sparkSession)
     return docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), utf8(docs["text"]).alias("t"), *row_key(docs)
                        ).mapInArrow(read, "doc_id bigint, fp bigint, key_id bigint, key_hash bigint")
 

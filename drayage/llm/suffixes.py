@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..materialize import snapshot
-from .common import LOWEST_ID, table, utf8
+from .common import LOWEST_ID, gathered, small_batches, table, utf8
 
 LENGTH, CORE = 100, 32
 SPAN = LENGTH - CORE + 1            # windows that a sampled place stands for
@@ -239,7 +239,7 @@ def _batch(kind, core, context, ids, place, done):
 def _batch_reader(rank, width):
     """Reads batches of (doc_id, h, text[, places]) and writes rows."""
     def read(batches):
-        for batch in batches:
+        for batch in gathered(batches):
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             hashes = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
             texts = batch.column(2).to_pylist()
@@ -334,6 +334,7 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     k is the doc_id (the lowest long for null), h a hash of the text. Earlier is a smaller (doc_id, h), then a smaller
     start. Ranges of a text may overlap and are clipped by the reader.
     """
+    small_batches(docs.sparkSession)
     first = _round(_keyed(docs).mapInArrow(_batch_reader(_sampled, SPAN), ROWS), SPAN, "sampled-ranks")
     second = _round(_again(docs, first, _parts, PART), PART, "part-ranks")
     third = _round(_again(docs, second, _singles, 1), 1, "window-ranks")
