@@ -93,7 +93,7 @@ def log_gamma(x):
         low *= x + i
     y = x + 7
     return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y ** 3) + 1 / (
-        1260 * y ** 5) - np.log(low)
+        1260 * y ** 5) - 1 / (1680 * y ** 7) + 1 / (1188 * y ** 9) - np.log(low)
 
 
 def log_kt(zeros, ones):

@@ -6,8 +6,6 @@ A hit is then extended: the windows of the document that kept the hash are compa
 items. Documents are read once and never shuffled; what is shuffled are hits.
 """
 
-import functools
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..materialize import BROADCAST_ROWS, snapshot
@@ -103,7 +101,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
                    F.lit(window).alias("n"), r["at"].alias("at"),
                    F.coalesce(F.get(F.col("_runs"), i + 1)["at"], F.size("_m")).alias("to"), r["mark"].alias("mark")))]
     for n in short:
-        entries.append(F.transform(_upto(F.size("_w") - n), functools.partial(_short_entry, n=n)))
+        entries.append(F.transform(_upto(F.size("_w") - n), _short_entry(n)))
     own = ["doc_id", "_row", "key_id", "key_hash"]
     spread = read.select(*own, "_w", F.explode(F.concat(*entries)).alias("e")).select(*own, "_w", "e.*")
     context = F.slice("_w", F.col("at") + 1, F.col("to") - F.col("at") + F.col("n") - 1)
@@ -141,9 +139,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
         F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"), "key_id", "key_hash")
 
 
-def _short_entry(i, n):
-    return F.struct(F.lit(n).alias("n"), i.alias("at"), (i + 1).alias("to"),
-                    F.xxhash64(F.lit(n), F.slice(F.col("_h"), i + 1, n)).alias("mark"))
+def _short_entry(n):
+    return lambda i: F.struct(F.lit(n).alias("n"), i.alias("at"), (i + 1).alias("to"),
+                              F.xxhash64(F.lit(n), F.slice(F.col("_h"), i + 1, n)).alias("mark"))
 
 
 def is_contaminated(n_words="n_words", n_hit="n_hit", share: int = SHARE) -> Column:

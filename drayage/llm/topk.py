@@ -77,6 +77,10 @@ def search_block(query, own_id, ids, columns, tails, best, k=K, step=STEP):
     return _best(np.concatenate((scores, partial)), np.concatenate((found, ids[alive])), k)
 
 
+def _nearest_long(x):
+    return min(max(x, _LONG[0]), _LONG[1])
+
+
 def _search(k, step):
     def run(vectors: pa.Table, queries: pa.Table) -> pa.Table:
         out = ([], [], [])
@@ -94,7 +98,7 @@ def _search(k, step):
                         best[j] = search_block(query_columns[:, j], own, ids, columns, tails, best[j], k, step)
                     else:
                         big[j] = (big[j] or [(int(s), int(i)) for s, i in zip(*best[j])]) + [
-                            (sum(int(x) * int(y) for x, y in zip(query_columns[:, j], columns[:, c])), i)
+                            (_nearest_long(sum(int(x) * int(y) for x, y in zip(query_columns[:, j], columns[:, c]))), i)
                             for c, i in enumerate(ids.tolist()) if i != own]
                         big[j] = sorted(big[j], key=lambda x: (-x[0], x[1]))[:k]
             for own, found, large in zip(query_ids.tolist(), best, big):
@@ -102,7 +106,7 @@ def _search(k, step):
                 for s, i in pairs:
                     out[0].append(own)
                     out[1].append(i)
-                    out[2].append(min(max(s, _LONG[0]), _LONG[1]))
+                    out[2].append(s)
         return pa.table([pa.array(x, pa.int64()) for x in out], names=["query_id", "vec_id", "score"])
     return run
 
@@ -110,7 +114,7 @@ def _search(k, step):
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, scale: int = SCALE, step: int = STEP) -> DataFrame:
     """``(vec_id, embedding)`` twice -> ``(query_id, rank, vec_id, score)``: the k highest scores of each query, from 1.
 
-    The score is the inner product of floor(scale * x), exact; beyond a long it is the nearest long. Ties go to smaller
+    The score is the inner product of floor(scale * x), exact; beyond a long it is the nearest long, and ranks as that. Ties go to smaller
     vec_ids. A query meets every row with another id and as many dimensions; rows that repeat are several candidates.
     Of several query rows with one id the greatest vector is the query. Vectors that are null or hold null or non-finite
     components take no part, neither do rows without an id. A query without candidates has no rows.
