@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import format_bytes, int_div
+from ..plans.indexing import unique_objects
 from ..settings import MAX_RESPONSES_PER_TRY, MAX_TRIES, MAX_UPLOAD_PARTS
 
 MAX_REASSEMBLED_BYTES = 1 << 30
@@ -11,14 +12,15 @@ MAX_REASSEMBLED_BYTES = 1 << 30
 def transfer_summary(plan: DataFrame) -> DataFrame:
     """One row: total_bytes, n_objects, n_chunks, n_singles, n_multiparts, total_text.
 
-    A plan has one part number 1 per object, so objects are counted without a distinct.
+    Chunks are summed per key first, on the map side, so a slice counts the objects it has any chunk of.
     """
-    first = F.col("part_number") == 1
-    summed = plan.agg(F.coalesce(F.sum("part_size"), F.lit(0).cast("bigint")).alias("total_bytes"),
-                      F.count(F.when(first, 1)).alias("n_objects"),
-                      F.count("*").alias("n_chunks"),
-                      F.count(F.when(first & ~F.col("is_multipart"), 1)).alias("n_singles"),
-                      F.count(F.when(first & F.col("is_multipart"), 1)).alias("n_multiparts"))
+    per_key = plan.groupBy("key").agg(F.sum("part_size").alias("n_bytes"), F.count("*").alias("n"),
+                                      F.max("is_multipart").alias("is_multipart"))
+    zero = F.lit(0).cast("bigint")
+    summed = per_key.agg(F.coalesce(F.sum("n_bytes"), zero).alias("total_bytes"), F.count("*").alias("n_objects"),
+                         F.coalesce(F.sum("n"), zero).alias("n_chunks"),
+                         F.count(F.when(~F.col("is_multipart"), 1)).alias("n_singles"),
+                         F.count(F.when(F.col("is_multipart"), 1)).alias("n_multiparts"))
     return summed.withColumn("total_text", format_bytes(F.col("total_bytes")))
 
 
@@ -149,10 +151,10 @@ def reassemble(parts: DataFrame) -> DataFrame:
 def verify_transfer(source: DataFrame, copied: DataFrame) -> DataFrame:
     """Expected and copied bytes per key: key, expected, actual, status.
 
-    ``ok``, ``interrupted`` (sizes differ), ``missing`` (not copied) or ``extra`` (not in the source).
+    Of repeated keys the latest listing counts, as in plans. ``ok``, ``interrupted`` (sizes differ), ``missing`` (not copied) or ``extra`` (not in the source).
     """
-    expected = source.groupBy("key").agg(F.max(F.col("size").cast("bigint")).alias("expected"))
-    actual = copied.groupBy("key").agg(F.max(F.col("size").cast("bigint")).alias("actual"))
+    expected = unique_objects(source).withColumnRenamed("size", "expected")
+    actual = unique_objects(copied).withColumnRenamed("size", "actual")
     status = (F.when(F.col("expected").isNull(), "extra").when(F.col("actual").isNull(), "missing")
               .when(F.col("expected") != F.col("actual"), "interrupted").otherwise("ok"))
     return expected.join(actual, "key", "full").select("key", "expected", "actual", status.alias("status"))

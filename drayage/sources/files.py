@@ -50,13 +50,26 @@ def new_file(root_uri: str, relative: str, run_id: str):
     """A file that appears below the root, replacing what was there, only if ``keep`` is set when it is closed.
 
     Each attempt writes to a name of its own in the staging folder, so killed and speculative tasks leave nothing in
-    the tree. Object stores show an object when its stream is closed, they need no such name.
+    the tree. Object stores show an object when its stream is closed, also after an error, so the name is a key of its
+    own there too, and the object is moved when it is complete.
     """
     root = local_path(root_uri)
     if root is None:
         fs, path = open_root(root_uri)
-        with fs.open_output_stream(below(path, relative)) as stream:
-            yield _Unfinished(stream)
+        target, unfinished = below(path, relative), f"{path}/{STAGING_DIR}/{run_id}/{uuid.uuid4().hex}"
+        keep = False
+        try:
+            fs.create_dir(os.path.dirname(unfinished), recursive=True)
+            with fs.open_output_stream(unfinished) as stream:
+                out = _Unfinished(stream)
+                yield out
+            keep = out.keep
+        finally:
+            if keep:
+                fs.create_dir(os.path.dirname(target), recursive=True)
+                fs.move(unfinished, target)
+            elif fs.get_file_info(unfinished).type != pafs.FileType.NotFound:
+                fs.delete_file(unfinished)
         return
     path, staging = below(root, relative), os.path.join(root, STAGING_DIR, run_id)
     os.makedirs(staging, exist_ok=True)
