@@ -224,6 +224,46 @@ FROM totals""",
   FROM objects)
 SELECT *, {bytes_text('total_bytes')} AS total_text FROM summed""",
 
+    "slice_summary": f"""WITH {ORDERS}, {plan_cte('objects', 26214400)}, summed AS (
+  SELECT CAST(sum(part_size) AS BIGINT) AS total_bytes, count(DISTINCT key) AS n_objects, count(*) AS n_chunks,
+         count(DISTINCT key) FILTER (size <= 26214400) AS n_singles,
+         count(DISTINCT key) FILTER (size > 26214400) AS n_multiparts
+  FROM plan WHERE chunk_idx >= (n_chunks * 2 + 4) // 5 AND chunk_idx < (n_chunks * 3 + 4) // 5)
+SELECT *, {bytes_text('total_bytes')} AS total_text FROM summed""",
+
+    "grid_bind_targets": f"""WITH flags AS (
+  SELECT l_returnflag AS key, CAST(sum(l_quantity) AS BIGINT) AS size FROM lineitem GROUP BY 1),
+{plan_cte('flags', 4, 3)}
+SELECT key, node, 'to/' || key AS target, CAST(NULL AS VARCHAR) AS target_error, count(*) AS n_chunks,
+       min(part_number) AS first, max(part_number) AS last
+FROM plan GROUP BY key, node""",
+
+    "head_plan": f"""WITH {DOCS}, {parts_cte('docs', 1024)}
+SELECT key, part_number, part_size, CAST(NULL AS VARCHAR) AS plan_error FROM parts
+UNION ALL SELECT replace(key, '.txt', '.bin'), NULL, NULL, 'missing_size' FROM docs""",
+
+    "plan_transfer_fastq": f"""WITH {BOUNDARIES}, cut AS (
+  SELECT key, node, start, "end" - start AS node_size, ("end" - start + 511) // 512 AS n FROM bounds
+  WHERE "end" > start)
+SELECT key, node, CAST(p AS INTEGER) AS part_number, CAST(n AS INTEGER) AS n_parts,
+       start + (p - 1) * 512 AS input_offset, (p - 1) * 512 AS output_offset,
+       least(512, node_size - (p - 1) * 512) AS part_size, node_size
+FROM (SELECT *, unnest(generate_series(1, n)) AS p FROM cut)""",
+
+    "reassemble_blocks": f"""WITH {SLICES}
+SELECT key, input_offset // 4096 AS block, CAST(sum(part_size) AS BIGINT) AS size,
+       md5(string_agg(slice, '' ORDER BY part_number)) AS hex_md5
+FROM slices GROUP BY 1, 2""",
+
+    "copy_conflicts": f"""WITH {DOCS}, mapped AS (
+  SELECT key, size, CASE WHEN doc_id % 2 = 1 THEN 't//' ELSE 't/' END || lang || '/'
+         || CAST(doc_id - doc_id % 2 AS VARCHAR) AS target,
+         count(*) OVER (PARTITION BY lang, doc_id // 2) > 1 AS shared
+  FROM docs)
+SELECT key, target, CASE WHEN shared THEN 0 ELSE size END AS bytes,
+       CASE WHEN shared THEN 'failed' ELSE 'done' END AS status, CASE WHEN shared THEN 'shared_target' END AS error
+FROM mapped""",
+
     "upload_plan": f"""WITH {ORDERS}, {plan_cte('objects', 26214400)}
 SELECT key, part_number, input_offset, part_size, n_parts, size >= 5242880 AS is_multipart, chunk_idx FROM plan""",
 

@@ -147,6 +147,41 @@ def plan_transfer(spark, sf_dir) -> DataFrame:
                        "node_size", "target")
 
 
+def head_plan(spark, sf_dir) -> DataFrame:
+    """Chunks of requested keys, and an error row for each key that isn't there."""
+    heads = head_objects(spark, sf_dir)
+    planned = drayage.plan_parts(heads, SMALL).select("key", "part_number", "part_size",
+                                                      F.lit(None).cast("string").alias("plan_error"))
+    errors = drayage.plan_errors(heads, chunk_size=SMALL).select(
+        "key", F.lit(None).cast("int").alias("part_number"), F.col("size").alias("part_size"), "plan_error")
+    return planned.unionByName(errors)
+
+
+def slice_summary(spark, sf_dir) -> DataFrame:
+    return drayage.transfer_summary(drayage.grid_slice(_orders_plan(spark, sf_dir), NODES, 3))
+
+
+def grid_bind_targets(spark, sf_dir) -> DataFrame:
+    """Three objects with very many chunks; each node binds the targets of its own slice."""
+    flags = views.table(spark, sf_dir, "lineitem").groupBy(F.col("l_returnflag").alias("key")).agg(
+        F.sum("l_quantity").cast("bigint").alias("size"))
+    plan = snapshot(drayage.build_plan(flags, chunk_size=4, unique_keys=True), "plan")
+    targets = flags.select("key", F.concat(F.lit("to/"), "key").alias("target"))
+    bound = [drayage.bind_targets(drayage.grid_slice(plan, 3, node), targets).withColumn("node", F.lit(node))
+             for node in (1, 2, 3)]
+    whole = bound[0].unionByName(bound[1]).unionByName(bound[2])
+    return whole.groupBy("key", "node", "target", "target_error").agg(
+        F.count("*").alias("n_chunks"), F.min("part_number").alias("first"), F.max("part_number").alias("last"))
+
+
+def plan_transfer_fastq(spark, sf_dir) -> DataFrame:
+    root = views.fastq_tree(spark, sf_dir)
+    plan = drayage.plan_transfer(drayage.list_objects(spark, root), chunk_size=READ_CHUNK, n_nodes=READ_NODES,
+                                 feature="fastq", unique_keys=True, source=root)
+    return plan.select("key", "node", "part_number", "n_parts", "input_offset", "output_offset", "part_size",
+                       "node_size")
+
+
 # --- bytes -----------------------------------------------------------------------------------------------------------
 
 def _ranges(ranges: DataFrame) -> DataFrame:
@@ -177,6 +212,12 @@ def reassemble(spark, sf_dir) -> DataFrame:
     return drayage.reassemble(parts).select("key", "size", "body_md5")
 
 
+def reassemble_blocks(spark, sf_dir) -> DataFrame:
+    parts = drayage.slice_bodies(views.objects_docs(spark, sf_dir), SMALL)
+    return drayage.reassemble_blocks(parts, 4 * SMALL).select("key", "block", "size",
+                                                              F.md5(F.hex("body")).alias("hex_md5"))
+
+
 def verify_transfer(spark, sf_dir) -> DataFrame:
     """Bodies counted in characters, one language not copied, pages that nobody asked for."""
     docs = views.table(spark, sf_dir, "documents")
@@ -283,6 +324,16 @@ def copy_objects(spark, sf_dir) -> DataFrame:
     return views.digests(spark, dest)
 
 
+def copy_conflicts(spark, sf_dir) -> DataFrame:
+    """Documents of a language that follow each other have targets at one path, in two spellings."""
+    root, dest = views.docs_tree(spark, sf_dir), fresh_file_root(spark, "copies")
+    number = F.regexp_extract("key", r"(\d+)\.txt$", 1).cast("bigint")
+    targets = drayage.list_objects(spark, root).select("key", "size", F.concat(
+        F.when(number % 2 == 1, "t//").otherwise("t/"), F.split("key", "/")[1], F.lit("/"),
+        (number - number % 2).cast("string")).alias("target"))
+    return drayage.copy_objects(targets, targets, root, dest).select("key", "target", "bytes", "status", "error")
+
+
 def copy_multipart(spark, sf_dir) -> DataFrame:
     root, dest = views.docs_tree(spark, sf_dir), fresh_file_root(spark, "copies")
     objects = drayage.list_objects(spark, root)
@@ -372,7 +423,8 @@ def _copied_once(spark, dest, copied) -> DataFrame:
 QUERIES = {query.__name__: query for query in (
     objects_docs, objects_pages, list_objects, head_objects, path_list, parse_uri, prefix_filter, download_targets,
     upload_keys, attach_metadata, bind_targets, classify_transfer, plan_parts, build_plan, grid_assign, grid_slice,
-    split_rebase, node_summary, transfer_summary, upload_plan, plan_transfer, read_ranges, slice_bodies,
+    split_rebase, node_summary, transfer_summary, slice_summary, grid_bind_targets, head_plan, upload_plan,
+    plan_transfer, plan_transfer_fastq, read_ranges, slice_bodies, reassemble_blocks, copy_conflicts,
     complete_manifest, reassemble, verify_transfer, attempt_accounting, remaining_ranges, throughput, progress_ticks,
     progress_ticks_stream, incomplete_uploads, stale_uploads, read_fastq, fastq_boundaries, locate_boundaries,
     fastq_split, pair_mates, copy_objects, copy_multipart, copy_plan, grid_copy, clean_parts, write_split,

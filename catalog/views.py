@@ -92,6 +92,4 @@ def fastq_tree(spark, sf_dir) -> str:
 
 def digests(spark, root: str) -> DataFrame:
     """What is stored below a root: key, size, md5."""
-    found = drayage.list_objects(spark, root)
-    whole = drayage.read_ranges(drayage.plan_parts(found, 1 << 30), root)
-    return whole.select("key", F.col("bytes_read").alias("size"), F.md5("body").alias("md5"))
+    return drayage.file_digests(drayage.list_objects(spark, root, staging=False), root)

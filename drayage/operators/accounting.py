@@ -7,6 +7,7 @@ from ..plans.indexing import unique_objects
 from ..settings import MAX_RESPONSES_PER_TRY, MAX_TRIES, MAX_UPLOAD_PARTS
 
 MAX_REASSEMBLED_BYTES = 1 << 30
+REASSEMBLED_BLOCK = 64 << 20
 
 
 def transfer_summary(plan: DataFrame) -> DataFrame:
@@ -117,34 +118,49 @@ def complete_manifest(parts: DataFrame) -> DataFrame:
     """Tags of each multipart object in part order: key, n_parts, n_tagged, status, manifest array.
 
     ``complete`` means that each of the parts 1..n has a tag; otherwise ``incomplete``. A part that was sent more than
-    once counts once. The array is bounded by the number of parts an upload may have; longer plans are refused.
+    once counts once. The array is null above the parts an upload may have: such objects have their tags in
+    :func:`manifest_parts`, and are counted here like all others.
     """
-    too_many = F.raise_error(F.concat(F.lit("more parts than an upload allows: "), F.col("key")))
-    guarded = parts.withColumn("n_parts", F.when(F.col("n_parts") > MAX_UPLOAD_PARTS, too_many.cast("int"))
-                               .otherwise(F.col("n_parts")))
-    one_each = guarded.groupBy("key", "part_number").agg(F.max("n_parts").alias("n_parts"), F.max("tag").alias("tag"))
-    tagged = F.when(F.col("tag").isNotNull(), F.struct("part_number", "tag"))
+    one_each = manifest_parts(parts)
+    listed = F.col("n_parts") <= MAX_UPLOAD_PARTS
+    tagged = F.when(listed & F.col("tag").isNotNull(), F.struct("part_number", "tag"))
     expected = F.col("part_number").between(F.lit(1), F.col("n_parts")) & F.col("tag").isNotNull()
     manifest = one_each.groupBy("key").agg(F.max("n_parts").alias("n_parts"),
                                            F.count(F.when(expected, 1)).alias("n_tagged"),
                                            F.array_sort(F.collect_list(tagged)).alias("manifest"))
     done = F.when(F.col("n_tagged") == F.col("n_parts"), "complete").otherwise("incomplete")
-    return manifest.select("key", "n_parts", "n_tagged", done.alias("status"), "manifest")
+    return manifest.select("key", "n_parts", "n_tagged", done.alias("status"), F.when(listed, F.col("manifest")).alias("manifest"))
+
+
+def manifest_parts(parts: DataFrame) -> DataFrame:
+    """One row per part, for objects of any number of parts: key, part_number, n_parts, tag (null while it isn't sent)."""
+    return parts.groupBy("key", "part_number").agg(F.max("n_parts").alias("n_parts"), F.max("tag").alias("tag"))
 
 
 def reassemble(parts: DataFrame) -> DataFrame:
     """Bodies put together by output offset: key, size, body, body_md5.
 
-    For objects that fit a table cell; ``object_size`` above 1 GiB is refused, such objects are written at their
-    offsets by ``copy_multipart``.
+    For objects that fit a table cell. Above 1 GiB body and digest are null; :func:`reassemble_blocks` has these objects.
+    """
+    fits = F.col("object_size") <= MAX_REASSEMBLED_BYTES
+    whole = parts.withColumn("body", F.when(fits, F.col("body"))).groupBy("key").agg(
+        F.expr("listagg(body, X'') WITHIN GROUP (ORDER BY output_offset)").alias("body"),
+        F.max("object_size").alias("size"))
+    body = F.when(F.col("size") <= MAX_REASSEMBLED_BYTES, F.coalesce("body", F.lit(b"")))
+    size = F.coalesce(F.octet_length(body).cast("bigint"), F.col("size"))
+    return whole.select("key", size.alias("size"), body.alias("body"), F.md5(body).alias("body_md5"))
+
+
+def reassemble_blocks(parts: DataFrame, block_size: int = REASSEMBLED_BLOCK) -> DataFrame:
+    """Bodies of any size as blocks of whole parts, in order: key, block (from 0), size, body, body_md5.
+
+    A block holds the parts that start in it, so neither a row nor a group grows with the object.
     """
-    too_large = F.raise_error(F.concat(F.lit("too large for a cell: "), F.col("key")))
-    guarded = parts.withColumn("body", F.when(F.col("object_size") > MAX_REASSEMBLED_BYTES, too_large.cast("binary"))
-                               .otherwise(F.col("body")))
-    whole = guarded.groupBy("key").agg(
+    block = int_div(F.col("output_offset"), F.lit(block_size).cast("bigint"))
+    whole = parts.groupBy("key", block.alias("block")).agg(
         F.expr("listagg(body, X'') WITHIN GROUP (ORDER BY output_offset)").alias("body"))
     body = F.coalesce("body", F.lit(b""))
-    return whole.select("key", F.octet_length(body).cast("bigint").alias("size"), body.alias("body"),
+    return whole.select("key", "block", F.octet_length(body).cast("bigint").alias("size"), body.alias("body"),
                         F.md5(body).alias("body_md5"))
 
 

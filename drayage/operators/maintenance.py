@@ -30,7 +30,7 @@ def list_uploads(spark, root_uri: str) -> DataFrame:
     local = local_path(staging)
     if local is not None and not os.path.isdir(local):
         return spark.createDataFrame([], "key string, upload_id string, initiated timestamp")
-    found = list_objects(spark, staging).select(
+    found = list_objects(spark, staging).where("key like '%/%'").select(
         F.concat(F.lit(STAGING_DIR + "/"), "key").alias("key"),
         F.substring_index("key", "/", 1).alias("upload_id"), F.col("mtime").alias("initiated"))
     return found.groupBy("upload_id").agg(F.min("key").alias("key"), F.min("initiated").alias("initiated")).select(

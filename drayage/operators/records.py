@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import int_div
 from ..materialize import broadcast_if_bounded, snapshot
+from ..plans.chunking import plan_parts
 from ..settings import effective_chunk_size
 from ..sources.fastq import line_positions, parse_records
 
@@ -48,14 +49,16 @@ def _ranges_of_nodes(candidates: DataFrame, assigned: DataFrame, chunk: int) ->
                          F.coalesce(F.lead("start").over(in_key), F.col("object_size")).alias("end"))
 
 
-def locate_boundaries(objects: DataFrame, assigned: DataFrame, source, chunk_size=None) -> DataFrame:
+def locate_boundaries(objects: DataFrame, assigned: DataFrame, source, chunk_size=None,
+                      positions: DataFrame = None) -> DataFrame:
     """:func:`fastq_boundaries` straight from files: counts all lines, but parses only chunks before a node's start.
 
     Where the chunk before a start holds no usable record start (it is inside a very long record), twice as many chunks
     before it are searched, and so on, so the result is that of parsing everything. ``chunk_size`` is that of the plan.
+    ``positions`` of an earlier :func:`line_positions` with this chunk size save the count.
     """
     chunk = effective_chunk_size(chunk_size)
-    positions = line_positions(objects, source, chunk)
+    positions = line_positions(objects, source, chunk) if positions is None else positions
     firsts = assigned.groupBy("key", "node").agg(F.min("part_number").alias("first"))
     wanted = snapshot(firsts.where(F.col("first") > 1).select("key", (F.col("first") - 1).alias("upto")), "node-starts")
     found, width = [], 1
@@ -72,6 +75,18 @@ def locate_boundaries(objects: DataFrame, assigned: DataFrame, source, chunk_siz
     return _ranges_of_nodes(functools.reduce(DataFrame.unionByName, found), assigned, chunk)
 
 
+def aligned_parts(boundaries: DataFrame, chunk_size=None) -> DataFrame:
+    """Chunks of the record-aligned ranges of nodes: key, node, part_number, node_parts, input_offset, output_offset (in
+    the file of the node), part_size, node_size. Empty ranges have none."""
+    ranges = boundaries.where(F.col("end") > F.col("start"))
+    keyed = ranges.select(F.struct("key", "node", "start", "end").alias("key"),
+                          (F.col("end") - F.col("start")).alias("size"))
+    parts = plan_parts(keyed, chunk_size, F.col("key.start"))
+    return parts.select("key.key", "key.node", "part_number", F.col("n_parts").alias("node_parts"), "input_offset",
+                        (F.col("output_offset") - F.col("key.start")).alias("output_offset"), "part_size",
+                        (F.col("key.end") - F.col("key.start")).alias("node_size"))
+
+
 def fastq_split(records: DataFrame, boundaries: DataFrame) -> DataFrame:
     """``records`` + node: the last node whose aligned start is at or before the record; null for files without nodes.
 

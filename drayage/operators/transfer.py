@@ -1,5 +1,6 @@
 """Copy jobs. They run when called, once, and return tables of what happened."""
 
+import contextlib
 import datetime
 import os
 import shutil
@@ -9,13 +10,20 @@ from typing import NamedTuple
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..materialize import snapshot, spread_io
-from ..plans.chunking import plan_parts
 from ..plans.grid import split_rebase
-from ..settings import MAX_RESPONSES_PER_TRY, MAX_TRIES, STAGING_DIR
-from ..sources.files import FileRanges, batch, below, end_run, local_path, new_file, open_root
+from ..plans.indexing import unique_objects
+from ..settings import MAX_TRIES, STAGING_DIR
+from ..sources.files import (FileRanges, batch, below, end_run, fetch, goes_on, local_path, new_file, open_root,
+                             shared_root)
+from .joins import join_targets
+from .records import aligned_parts
+from .skew import join_one
+
+GROWN = "the source is longer than it was listed"
+INITIATED = "initiated"   # its time is that of the upload
 
 STATUS = pa.schema([("key", pa.string()), ("target", pa.string()), ("upload_id", pa.string()),
                     ("part_number", pa.int32()), ("n_parts", pa.int32()), ("target_size", pa.int64()),
@@ -43,25 +51,6 @@ class TransferFailed(RuntimeError):
     pass
 
 
-def fetch(reader, key, offset, length, write, max_responses=MAX_RESPONSES_PER_TRY, max_tries=MAX_TRIES):
-    """Reads a range into ``write(position, bytes)``: resumes short responses, starts over after errors."""
-    responses, error = 0, None
-    for attempt in range(1, max_tries + 1):
-        done = 0
-        try:
-            for _ in range(max_responses):
-                responses += 1
-                for piece in reader.read(key, offset + done, length - done):
-                    write(done, piece)
-                    done += len(piece)
-                if done == length:
-                    return {"bytes": done, "status": "done", "tries": attempt, "responses": responses}
-            error = f"{done} of {length} bytes after {max_responses} responses"
-        except (OSError, pa.ArrowException, ValueError) as failure:
-            error = str(failure)
-    return {"bytes": done, "status": "failed", "tries": max_tries, "responses": responses, "error": error}
-
-
 def _is_marker(row):
     return row["key"].endswith("/") and row["target_size"] == 0
 
@@ -78,7 +67,25 @@ def _run(work: DataFrame, action, threads: int, label: str) -> DataFrame:
             for rows in batches:
                 yield batch(list(pool.map(act, rows.to_pylist())), STATUS)
 
-    return snapshot(spread_io(work).mapInArrow(run, STATUS_DDL), label)
+    # Kept, as it is counted before it is dealt out.
+    return snapshot(spread_io(snapshot(work, f"{label}-work")).mapInArrow(run, STATUS_DDL), label)
+
+
+def _claims(targets: DataFrame) -> DataFrame:
+    """Distinct key, target, is_shared: whether another key has a target at the same path, which neither may write."""
+    path = F.regexp_replace("target", r"/(\.?(/|$))*", "/")
+    path = F.regexp_replace(path, r"^(\./|/)+|/$", "")
+    pairs = snapshot(targets.where("target is not null").select("key", "target", path.alias("path")).distinct(), "targets")
+    shared = pairs.groupBy("path").agg(F.min("key").alias("first"), F.max("key").alias("last"))
+    shared = shared.where("first <> last").select("path", F.lit(True).alias("is_shared"))
+    return join_one(pairs, shared, "path").select("key", "target",
+                                                  F.coalesce("is_shared", F.lit(False)).alias("is_shared"))
+
+
+def _refused(row):
+    if row["target"] is None:
+        return "missing_target"
+    return "shared_target" if row["is_shared"] else None
 
 
 def _checked(result: DataFrame, on_failure: str) -> DataFrame:
@@ -95,15 +102,17 @@ def _plain_work(objects: DataFrame, targets: DataFrame) -> DataFrame:
     size = "object_size" if "object_size" in objects.columns else "size"
     if "part_number" in objects.columns:
         objects = objects.where(F.col("part_number") == 1)
-    sized = objects.groupBy("key").agg(F.max(F.col(size).cast("bigint")).alias("target_size"))
-    named = targets.groupBy("key").agg(F.max("target").alias("target"))
-    return sized.join(named, "key", "left").withColumns(
+    sized = unique_objects(objects.withColumn("size", F.col(size))).withColumnRenamed("size", "target_size")
+    return sized.join(_claims(targets), "key", "left").withColumns(
         {"part_size": F.col("target_size"), "upload_id": F.lit(None).cast("string")})
 
 
 def copy_objects(objects: DataFrame, targets: DataFrame, source, dest_root: str, threads: int = 4,
                  on_failure: str = "report") -> DataFrame:
-    """Copies whole objects, one row each: key, target, bytes, status, tries, error, started, finished.
+    """Copies whole objects, one row per key and target: key, target, bytes, status, tries, error, started, finished.
+
+    Two keys with one target are both refused (``shared_target``); a key with several targets is copied to each. A
+    source that has more bytes than were listed is ``interrupted``, as is one with fewer, and nothing is replaced.
 
     Parents are created and existing files replaced, in one step when the copy is complete; until then the bytes are
     in the staging folder of the target root. A folder marker becomes a
@@ -117,16 +126,21 @@ def copy_objects(objects: DataFrame, targets: DataFrame, source, dest_root: str,
     def copy(row):
         status = {**row, "tries": 0, "responses": 0, "bytes": 0, "part_number": 1, "n_parts": 1}
         status.pop("part_size")
-        if row["target"] is None:
-            status.update(status="failed", error="missing_target")
+        status.pop("is_shared")
+        if _refused(row):
+            status.update(status="failed", error=_refused(row))
+        elif row["target_size"] is None:
+            status.update(status="failed", error="missing_size")
         else:
             try:
+                check_root()
                 status.update(_copy_whole(reader, row, dest_root, run_id))
             except (OSError, ValueError) as error:
                 status.update(status="failed", error=str(error))
         return status
 
-    result = _run(_plain_work(objects, targets), copy, threads, "copied")
+    with shared_root(dest_root) as check_root:
+        result = _run(_plain_work(objects, targets), copy, threads, "copied")
     end_run(dest_root, run_id)
     return _checked(result, on_failure).select("key", "target", "bytes", "status", "tries", "error", "started",
                                                "finished")
@@ -144,10 +158,12 @@ def _copy_whole(reader, row, dest_root, run_id):
         try:
             with new_file(dest_root, row["target"], run_id) as out:
                 got = fetch(reader, row["key"], 0, row["target_size"], lambda _, piece: out.write(piece), 1, 1)
+                if got["status"] == "done" and goes_on(reader, row["key"], row["target_size"]):
+                    got.update(status="interrupted", error=GROWN)
                 out.keep = got["status"] == "done"
         except OSError as error:
             got = {"bytes": 0, "status": "failed", "error": str(error)}
-        if got["status"] == "done":
+        if got["status"] != "failed":
             return {**got, "tries": attempt, "responses": attempt}
     return {**got, "tries": MAX_TRIES, "responses": MAX_TRIES}
 
@@ -165,22 +181,30 @@ def copy_multipart(plan: DataFrame, targets: DataFrame, source, dest_root: str,
     add to the same unfinished file, and :func:`publish_copies` on the union of their ``parts`` completes it. That is
     also how failed parts are sent again.
     """
-    targets = targets.groupBy("key").agg(F.max("target").alias("target"))
-    work = plan.join(targets, "key", "left").select(
-        "key", "target", "part_number", "n_parts", "input_offset", "output_offset", "part_size",
-        F.col("object_size").alias("target_size"))
+    chunks = snapshot(plan.select("key", "part_number", "n_parts", "input_offset", "output_offset", "part_size",
+                                  F.col("object_size").alias("target_size")), "copied-plan")
+    work = join_targets(chunks, _claims(targets)).withColumn("at_end", _ends(F.col("target_size")))
     return _copy_ranges(work, source, dest_root, run_id, threads, on_failure)
 
 
 def copy_plan(plan: DataFrame, targets: DataFrame, source, dest_root: str, threads: int = 4,
               on_failure: str = "report") -> DataFrame:
-    """Runs a whole plan: single objects as they are, multipart ones by chunk. One row per object."""
+    """Runs a whole plan: single objects as they are, multipart ones by chunk. One row per object and target.
+
+    ``shared_target`` is judged over all ``targets``, whichever way their objects are copied.
+    """
+    plan = snapshot(plan, "copied-plan")
     singles = copy_objects(plan.where(~F.col("is_multipart")), targets, source, dest_root, threads, on_failure)
     many = copy_multipart(plan.where(F.col("is_multipart")), targets, source, dest_root, None, threads, on_failure)
     columns = ["key", "target", "bytes", "status", "error", "started", "finished"]
     return singles.select(*columns).unionByName(many.objects.select(*columns))
 
 
+def _ends(size) -> Column:
+    """Whether a chunk is the last of its source, beyond which there must be nothing."""
+    return F.col("input_offset") + F.col("part_size") == size
+
+
 def _copy_ranges(work, source, dest_root, run_id, threads, on_failure) -> CopyResult:
     if local_path(dest_root) is None:
         raise ValueError("multipart targets are written at offsets and need a mounted file system; "
@@ -193,23 +217,28 @@ def _copy_ranges(work, source, dest_root, run_id, threads, on_failure) -> CopyRe
     def copy(row):
         offset, place, length = row["input_offset"], row["output_offset"], row["part_size"]
         status = {name: row[name] for name in ("key", "target", "upload_id", "part_number", "n_parts", "target_size")}
-        if row["target"] is None:
-            return {**status, "bytes": 0, "status": "failed", "tries": 0, "responses": 0, "error": "missing_target"}
+        if _refused(row):
+            return {**status, "bytes": 0, "status": "failed", "tries": 0, "responses": 0, "error": _refused(row)}
         try:
             below(root, row["target"])
-            os.makedirs(_staging(root, row["upload_id"]), exist_ok=True)
+            check_root()
+            _begin(root, row["upload_id"])
             handle = os.open(_unfinished(root, row["upload_id"]), os.O_CREAT | os.O_WRONLY, 0o644)
             try:
                 status.update(fetch(reader, row["key"], offset, length,
                                     lambda done, piece: _write_at(handle, piece, place + done))
                               if length else {"bytes": 0, "status": "done", "tries": 1, "responses": 1})
+                if (row["at_end"] and not _is_marker(row) and status["status"] == "done"
+                        and goes_on(reader, row["key"], offset + length)):
+                    status.update(status="interrupted", error=GROWN)
             finally:
                 os.close(handle)
         except (OSError, ValueError) as error:
             status.update(bytes=0, status="failed", tries=0, responses=0, error=str(error))
         return status
 
-    parts = _run(work, copy, threads, "copied-parts")
+    with shared_root(dest_root) as check_root:
+        parts = _run(work, copy, threads, "copied-parts")
     return CopyResult(parts, publish_copies(parts, dest_root, threads, on_failure))
 
 
@@ -230,7 +259,7 @@ def publish_copies(parts: DataFrame, dest_root: str, threads: int = 4, on_failur
                 status.update(error=None)
                 status.update(_publish(root, row))
             elif failed:
-                status.update(status="failed")
+                status.update(status="interrupted" if row["error"] == GROWN else "failed")
             else:
                 status.update(status="partial", error=f"{done} of {row['n_parts']} parts")
         except (OSError, ValueError) as error:
@@ -262,6 +291,13 @@ def _unfinished(root, upload_id):
     return os.path.join(_staging(root, upload_id), "body")
 
 
+def _begin(root, upload_id):
+    """Makes the staging folder of an upload, with a file that keeps the time of the first call."""
+    os.makedirs(_staging(root, upload_id), exist_ok=True)
+    with contextlib.suppress(FileExistsError), open(os.path.join(_staging(root, upload_id), INITIATED), "x"):
+        pass
+
+
 def _write_at(handle, piece, position):
     view = memoryview(piece)
     while len(view):
@@ -286,7 +322,7 @@ def _publish(root, row):
         return {"status": "interrupted", "error": "size of the written file differs"}
     os.makedirs(os.path.dirname(path), exist_ok=True)
     os.replace(unfinished, path)
-    os.rmdir(_staging(root, row["upload_id"]))
+    shutil.rmtree(_staging(root, row["upload_id"]), ignore_errors=True)
     return {"status": "done"}
 
 
@@ -302,25 +338,26 @@ def write_split(assigned: DataFrame, n_nodes: int, source, dest_root: str, bound
     if boundaries is None:
         work = split_rebase(assigned, n_nodes).select(
             "key", "node", "part_number", F.col("node_parts").alias("n_parts"), "input_offset", "output_offset",
-            "part_size", F.col("node_size").alias("target_size"))
+            "part_size", F.col("node_size").alias("target_size"), _ends(F.col("object_size")).alias("at_end"))
     else:
-        ranges = boundaries.where(F.col("end") > F.col("start"))
-        keyed = ranges.select(F.struct("key", "node", "start", "end").alias("key"),
-                              (F.col("end") - F.col("start")).alias("size"))
-        parts = plan_parts(keyed, chunk_size, F.col("key.start"))
-        work = parts.select("key.key", "key.node", "part_number", "n_parts", "input_offset",
-                            (F.col("output_offset") - F.col("key.start")).alias("output_offset"), "part_size",
-                            (F.col("key.end") - F.col("key.start")).alias("target_size"))
+        work = aligned_parts(boundaries, chunk_size).select(
+            "key", "node", "part_number", F.col("node_parts").alias("n_parts"), "input_offset", "output_offset",
+            "part_size", F.col("node_size").alias("target_size"), F.lit(False).alias("at_end"))
     target = F.concat(F.lit("node="), F.col("node").cast("string"), F.lit("/"), F.col("key"))
-    return _copy_ranges(work.withColumn("target", target).drop("node"), source, dest_root, run_id, threads,
+    # The node and the key are in the target, so no two keys share one.
+    return _copy_ranges(work.withColumns({"target": target, "is_shared": F.lit(False)}).drop("node"), source, dest_root, run_id, threads,
                         on_failure)
 
 
 def write_objects(objects: DataFrame, dest_root: str) -> DataFrame:
-    """Writes bodies held in a table as files below a root: key, bytes, status. Files appear when they are complete."""
+    """Writes bodies held in a table as files below a root: key, bytes, status. Files appear when they are complete.
+
+    Keys don't repeat, and the executors share the root.
+    """
     run_id = uuid.uuid4().hex[:12]
 
     def write(batches):
+        check_root()
         fs, root = open_root(dest_root)
         for rows in batches:
             written = []
@@ -336,6 +373,7 @@ def write_objects(objects: DataFrame, dest_root: str) -> DataFrame:
                 [("key", pa.string()), ("bytes", pa.int64()), ("status", pa.string())]))
 
     bodies = objects.select("key", F.col("body").cast("binary").alias("body"))
-    written = snapshot(bodies.mapInArrow(write, "key string, bytes bigint, status string"), "written")
+    with shared_root(dest_root) as check_root:
+        written = snapshot(bodies.mapInArrow(write, "key string, bytes bigint, status string"), "written")
     end_run(dest_root, run_id)
     return written

@@ -3,9 +3,10 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import ceil_div, int_div
-from ..settings import MIN_UPLOAD_CHUNK_SIZE, check_direction, effective_chunk_size
+from ..settings import MAX_UPLOAD_PARTS, MIN_UPLOAD_CHUNK_SIZE, check_direction, effective_chunk_size
 
 PART_BLOCK = 65_536
+MAX_PARTS = 2**31 - 1
 
 
 def multipart_flag(size: Column, direction: str, chunk_size: int) -> Column:
@@ -54,9 +55,30 @@ def explode_parts(df: DataFrame, max_parts=None, spread=None) -> DataFrame:
     return blocks.withColumn("part", F.explode(F.sequence(first, last))).drop("block")
 
 
+def plannable(objects: DataFrame, chunk_size: int) -> DataFrame:
+    """Objects that have a size, below 2^31 chunks; :func:`plan_errors` reports the others."""
+    return objects.where((F.col("size") >= 0) & (part_count(F.col("size"), chunk_size) <= MAX_PARTS))
+
+
+def plan_errors(objects: DataFrame, direction: str = "download", chunk_size=None) -> DataFrame:
+    """What a plan leaves out, or the store will refuse: key, size, plan_error.
+
+    ``missing_size`` (no such object, or a negative size) and ``too_many_parts`` (above 2^31 - 1) aren't planned.
+    ``above_upload_limit`` is planned, as other chunks of the same upload may do; a store takes 10,000 parts.
+    """
+    chunk = effective_chunk_size(chunk_size, check_direction(direction))
+    size = F.col("size").cast("bigint")
+    parts = part_count(size, chunk)
+    error = F.when(size.isNull() | (size < 0), "missing_size").when(parts > MAX_PARTS, "too_many_parts")
+    if direction == "upload":
+        error = error.when(parts > MAX_UPLOAD_PARTS, "above_upload_limit")
+    return objects.select("key", size.alias("size"), error.alias("plan_error")).where("plan_error is not null")
+
+
 def plan_parts(objects: DataFrame, chunk_size=None, base_offset=0, spread: int = None) -> DataFrame:
     """Parts of each object: key, part_number, input_offset, output_offset, part_size, n_parts.
 
+    Objects without a size are left out, see :func:`plan_errors`.
     ``base_offset`` (number or column) shifts both offsets when the object is a window of a larger one. ``spread``
     deals blocks of 65,536 parts out to that many tasks, for inventories in which few objects hold most of the parts.
     """
@@ -68,6 +90,7 @@ def plan_parts(objects: DataFrame, chunk_size=None, base_offset=0, spread: int =
     else:
         sized = objects.select("key", F.col("size").cast("bigint").alias("size"))
         base = base_offset
+    sized = plannable(sized, chunk)
     parts = explode_parts(sized.withColumn("n_parts", part_count(F.col("size"), chunk)), spread=spread)
     return parts.select("key", *part_columns(F.col("size"), F.col("part"), chunk, base),
                         F.col("n_parts").cast("int").alias("n_parts"))

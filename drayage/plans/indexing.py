@@ -5,8 +5,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..materialize import snapshot
-from ..settings import MAX_UPLOAD_PARTS, check_direction, effective_chunk_size
-from .chunking import PART_BLOCK, explode_parts, multipart_flag, part_columns, part_count
+from ..settings import check_direction, effective_chunk_size
+from .chunking import PART_BLOCK, explode_parts, multipart_flag, part_columns, part_count, plannable
 
 OBJECTS_PER_BUCKET = 100_000
 MIN_BUCKETS, MAX_BUCKETS = 8, 4_096
@@ -36,13 +36,14 @@ def build_plan(objects: DataFrame, direction: str = "download", chunk_size=None,
 
     No global sort: keys are cut into ranges by sampled bounds, the chunks per range are summed, and a running sum per
     range starts from the sum of the ranges before it. Only objects are shuffled and ordered, chunks never are.
+    Objects without a size are left out: :func:`plan_errors` reports them, and uploads of too many parts.
     ``unique_keys`` states that no key repeats (a listing, a primary key) and saves the de-duplication.
     """
     check_direction(direction)
     chunk = effective_chunk_size(chunk_size, direction)
     listed = objects.select("key", F.col("size").cast("bigint").alias("size"))
     # Sizes may come from bodies; the snapshot reads them once and all later passes see the same inventory.
-    sized = snapshot(listed if unique_keys else unique_objects(objects), "objects")
+    sized = snapshot(plannable(listed if unique_keys else unique_objects(objects), chunk), "objects")
 
     n_objects = sized.count()
     bounds = _key_bounds(sized, n_objects)
@@ -55,10 +56,6 @@ def build_plan(objects: DataFrame, direction: str = "download", chunk_size=None,
         starts.append(n_chunks)
         n_chunks += totals[bucket]["chunks"] if bucket in totals else 0
     max_parts = max((row["largest"] for row in totals.values()), default=1)
-    if direction == "upload" and max_parts > MAX_UPLOAD_PARTS:
-        raise ValueError(f"an object needs {max_parts} parts, uploads allow {MAX_UPLOAD_PARTS}; use larger chunks")
-    if max_parts > 2**31 - 1:
-        raise ValueError(f"an object needs {max_parts} parts; use larger chunks")
 
     in_bucket = Window.partitionBy("bucket").orderBy("key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     start = F.element_at(F.lit(starts).cast("array<bigint>"), F.col("bucket") + 1)
@@ -89,15 +86,15 @@ def _spread(placed: DataFrame, n_objects: int, n_chunks: int, max_parts: int):
 def _key_bounds(sized: DataFrame, n_objects: int) -> list[str]:
     """Ascending keys that cut the inventory into ranges of about equal numbers of objects.
 
-    The sample is picked by hash of the key, so it is the same each time. Its size is bounded by the number of ranges
-    and doesn't grow with the inventory. The bounds decide about balance only, any set of them gives the same index.
+    The sample is picked by hash of the key, so it is the same each time. Keys are distinct here, so about as many are
+    picked as are wanted, a number that doesn't grow with the inventory. The bounds decide about balance only, any set of them gives the same index.
     """
     buckets = min(max(-(-n_objects // OBJECTS_PER_BUCKET), MIN_BUCKETS), MAX_BUCKETS)
     wanted = buckets * SAMPLES_PER_BUCKET
     keys = sized.select("key")
     if n_objects > wanted:
         threshold = math.ceil(_HASH_SPACE * wanted / n_objects)
-        keys = keys.where(F.pmod(F.xxhash64("key"), F.lit(_HASH_SPACE)) < threshold).limit(4 * wanted)
+        keys = keys.where(F.pmod(F.xxhash64("key"), F.lit(_HASH_SPACE)) < threshold)
     sample = sorted({row["key"] for row in keys.collect()})
     step = max(len(sample) // buckets, 1)
     return sample[step::step][:buckets - 1]

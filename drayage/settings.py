@@ -8,7 +8,7 @@ MAX_UPLOAD_PARTS = 10_000
 STALE_AFTER_DAYS = 7
 STORAGE_CLASSES = ("STANDARD", "REDUCED_REDUNDANCY")
 
-# Unfinished multipart bodies live here, below the target root, and no listing shows them.
+# Unfinished multipart bodies live here, below the target root, and listings can leave them out.
 STAGING_DIR = ".uploads"
 
 

@@ -4,13 +4,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..functions import int_div
 from ..materialize import snapshot, spread_io
 from ..plans.chunking import plan_parts
-from .files import FileRanges
+from .files import PIECE, FileRanges, read_fully
 from .listing import list_objects
 
 READ_CHUNK = 16 << 20
 OVERHANG = 64 << 10
+MAX_OVERHANG = 256 << 20   # a record that ends further beyond its chunk has a range, but no text
+MAX_CHUNK = 1 << 30         # positions within what a task holds are 32 bits wide
+COUNT_BLOCK = 4_096
 RECORDS_PER_BATCH = 50_000
 LINES = ("header", "seq", "plus", "qual")
 
@@ -39,7 +43,8 @@ def read_fastq_objects(objects: DataFrame, source, chunk_size: int = READ_CHUNK,
     Files are cut into chunks like any other object and read twice: once to count the lines of each chunk, once to
     parse. Whether a line is a header follows from its number in the file, so a quality line that starts with '@' is
     no special case. A record belongs to the chunk it starts in, its task reads on until the record is complete, and
-    no record is shuffled. What isn't four lines with '@' and '+' has a ``problem``: header, plus or truncated.
+    no record is shuffled. What isn't four lines with '@' and '+' has a ``problem``: header, plus or truncated. A
+    record that ends over 256 MiB beyond its chunk is ``too_long``: it has its byte range and no text.
     ``byte_len`` counts the final newline, so the lengths of a file's records add up to its size.
 
     ``lines`` names the text columns to fill; the others are null and don't leave the task.
@@ -52,16 +57,27 @@ def line_positions(objects: DataFrame, source, chunk_size: int) -> DataFrame:
     """Chunks of text files with the number of lines that end before them: key, part_number, input_offset, part_size,
     lines_before, at_line_start. The files are read once to count; the result is kept."""
     reader = FileRanges(source) if isinstance(source, str) else source
+    if chunk_size > MAX_CHUNK:
+        raise ValueError(f"records are read in chunks of at most {MAX_CHUNK} bytes")
     chunks = snapshot(plan_parts(objects.where(F.col("size") > 0), chunk_size), "fastq-chunks")
     counted = spread_io(chunks.select("key", "part_number", "input_offset", "part_size")).mapInArrow(
         _counter(reader), "key string, part_number int, input_offset bigint, part_size bigint, newlines bigint, "
                           "ends_line boolean")
-    # The windows order one row per chunk of a file, not per line. The counts pass through the shuffle once.
-    in_file = Window.partitionBy("key").orderBy("part_number")
-    so_far = F.sum("newlines").over(in_file.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return snapshot(counted.select("key", "part_number", "input_offset", "part_size",
-                                   (so_far - F.col("newlines")).alias("lines_before"),
-                                   F.lag("ends_line", 1, True).over(in_file).alias("at_line_start")), "fastq-plan")
+    # Sums run over blocks of chunks and over the blocks of a file, so no window holds all chunks of a large file.
+    block = int_div(F.col("part_number") - 1, F.lit(COUNT_BLOCK).cast("bigint"))
+    counted = snapshot(counted.withColumn("block", block), "fastq-counts")
+    blocks = counted.groupBy("key", "block").agg(F.sum("newlines").alias("newlines"),
+                                                 F.max_by("ends_line", "part_number").alias("ends_line"))
+    upto, of_file = (Window.unboundedPreceding, Window.currentRow), Window.partitionBy("key").orderBy("block")
+    carried = blocks.select("key", "block",
+                            (F.sum("newlines").over(of_file.rowsBetween(*upto)) - F.col("newlines")).alias("carried"),
+                            F.lag("ends_line", 1, True).over(of_file).alias("enters_line"))
+    in_block = Window.partitionBy("key", "block").orderBy("part_number")
+    so_far = F.sum("newlines").over(in_block.rowsBetween(*upto))
+    return snapshot(counted.join(carried, ["key", "block"]).select(
+        "key", "part_number", "input_offset", "part_size",
+        (F.col("carried") + so_far - F.col("newlines")).alias("lines_before"),
+        F.coalesce(F.lag("ends_line").over(in_block), F.col("enters_line")).alias("at_line_start")), "fastq-plan")
 
 
 def parse_records(positions: DataFrame, source, lines=LINES, comment_mates: bool = False) -> DataFrame:
@@ -102,8 +118,8 @@ def _counter(reader):
             ranges = zip(*(chunks.column(c).to_pylist() for c in ("key", "input_offset", "part_size")))
             for key, offset, length in ranges:
                 found, last = 0, 0
-                for piece in reader.read(key, offset, length):
-                    data = np.frombuffer(piece, np.uint8)
+                for low in range(0, length, PIECE):
+                    data = np.frombuffer(read_fully(reader, key, offset + low, min(PIECE, length - low)), np.uint8)
                     found += int(np.count_nonzero(data == 10))
                     last = int(data[-1])
                 newlines.append(found)
@@ -117,30 +133,36 @@ def _parser(reader, lines, comment_mates):
     def parse(batches):
         for chunks in batches:
             for chunk in chunks.to_pylist():
-                start, data = _own_records(reader, chunk)
+                start, data, long = _own_records(reader, chunk)
+                rec_no = -(-(chunk["lines_before"] + (not chunk["at_line_start"])) // 4)
                 if len(data):
-                    rec_no = -(-(chunk["lines_before"] + (not chunk["at_line_start"])) // 4)
                     yield from _record_batches(chunk["key"], rec_no, start, data, lines, comment_mates)
+                if long:
+                    before, offset, length = long
+                    yield pa.RecordBatch.from_pylist([{
+                        "key": chunk["key"], "rec_no": rec_no + before, "start_offset": offset, "byte_len": length,
+                        "problem": "too_long"}], schema=RECORD)
     return parse
 
 
 def _own_records(reader, chunk):
-    """(file offset, bytes) of the records that start in the chunk, complete unless the file ends."""
+    """(file offset, bytes) of the records that start in the chunk, complete unless the file ends; the last one apart, as
+    (records before it, file offset, length), if it is too long to be held."""
     offset, length = chunk["input_offset"], chunk["part_size"]
-    data = b"".join(bytes(piece) for piece in reader.read(chunk["key"], offset, length))
+    data = read_fully(reader, chunk["key"], offset, length)
     breaks = np.flatnonzero(np.frombuffer(data, np.uint8) == 10)
     starts = np.concatenate([[0] if chunk["at_line_start"] else [], breaks + 1]).astype(np.int64)
     starts = starts[starts < len(data)]
     first_line = chunk["lines_before"] + (not chunk["at_line_start"])
     skipped = -first_line % 4
     if skipped >= len(starts):
-        return offset, b""
+        return offset, b"", None
     begin = int(starts[skipped])
     # Lines from the first record on; the last record may lack some of its four line ends.
     missing = -int(np.count_nonzero(breaks >= begin)) % 4
     if missing == 0 and data[-1:] != b"\n":
         missing = 4
-    tail, position, step = [], offset + length, OVERHANG
+    tail, held, position, step = [], True, offset + length, OVERHANG
     while missing:
         piece = b"".join(bytes(part) for part in reader.read(chunk["key"], position, step))
         if not piece:
@@ -151,10 +173,15 @@ def _own_records(reader, chunk):
             missing = 0
         else:
             missing -= len(ends)
-        tail.append(piece)
         position += len(piece)
-        step *= 2
-    return offset + begin, data[begin:] + b"".join(tail)
+        held &= position - offset - length <= MAX_OVERHANG
+        tail = [*tail, piece] if held else []
+        step = min(2 * step, READ_CHUNK)
+    if held:
+        return offset + begin, data[begin:] + b"".join(tail), None
+    before = (len(starts) - skipped - 1) // 4
+    last = int(starts[skipped + 4 * before])
+    return offset + begin, data[begin:last], (before, offset + last, position - offset - last)
 
 
 def _record_batches(key, rec_no, offset, data, lines, comment_mates):

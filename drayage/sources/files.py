@@ -2,12 +2,13 @@
 
 import contextlib
 import os
+import re
 import uuid
 
 import pyarrow as pa
 import pyarrow.fs as pafs
 
-from ..settings import STAGING_DIR
+from ..settings import MAX_RESPONSES_PER_TRY, MAX_TRIES, STAGING_DIR
 
 PIECE = 8 << 20
 
@@ -28,13 +29,18 @@ def open_root(uri: str):
     path = local_path(uri)
     if path is not None:
         return pafs.LocalFileSystem(), path
-    return pafs.FileSystem.from_uri(uri.rstrip("/"))
+    return pafs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", uri.rstrip("/")))
+
+
+def spark_path(uri: str) -> str:
+    """The same root as Spark names it: its S3 connector has a scheme of its own."""
+    return re.sub("^s3n?://", "s3a://", uri)
 
 
 def below(root: str, relative: str) -> str:
     """``root/relative``, refused if it leaves the root."""
     clean = os.path.normpath("/" + relative).lstrip("/")
-    if clean != os.path.normpath(relative.lstrip("/") or "."):
+    if clean != os.path.normpath(relative.lstrip("/") or ".") or ".." in relative.split("/"):
         raise ValueError(f"path leaves the root: {relative}")
     return os.path.join(root, clean)
 
@@ -94,6 +100,72 @@ def end_run(root_uri: str, run_id: str):
             os.rmdir(os.path.join(root, STAGING_DIR, run_id))
 
 
+@contextlib.contextmanager
+def shared_root(root_uri: str):
+    """Yields a check for tasks: whether a mounted root is the folder that the driver sees, not a local one of theirs.
+
+    The driver leaves a token in the staging folder, and removes it when the job is over.
+    """
+    root = local_path(root_uri)
+    if root is None:
+        yield lambda: None
+        return
+    token = os.path.join(root, STAGING_DIR, f"shared-{uuid.uuid4().hex}")
+    os.makedirs(os.path.dirname(token), exist_ok=True)
+    with open(token, "x"):
+        pass
+
+    def check():
+        if not os.path.exists(token):
+            raise OSError(f"the executors don't share the target root: {root}")
+
+    try:
+        yield check
+    finally:
+        with contextlib.suppress(FileNotFoundError):
+            os.unlink(token)
+
+
+def fetch(reader, key, offset, length, write, max_responses=MAX_RESPONSES_PER_TRY, max_tries=MAX_TRIES):
+    """Reads a range into ``write(position, bytes)``: resumes short responses, starts over after errors."""
+    responses, error = 0, None
+    for attempt in range(1, max_tries + 1):
+        done = 0
+        try:
+            for _ in range(max_responses):
+                responses += 1
+                for piece in reader.read(key, offset + done, length - done):
+                    write(done, piece)
+                    done += len(piece)
+                if done == length:
+                    return {"bytes": done, "status": "done", "tries": attempt, "responses": responses}
+            error = f"{done} of {length} bytes after {max_responses} responses"
+        except (OSError, pa.ArrowException, ValueError) as failure:
+            error = str(failure)
+    return {"bytes": done, "status": "failed", "tries": max_tries, "responses": responses, "error": error}
+
+
+def read_fully(reader, key, offset, length) -> bytes:
+    """The bytes of a range, by the rules of :func:`fetch`; raises OSError if they can't be had completely."""
+    body = bytearray(length)
+
+    def write(position, piece):
+        body[position:position + len(piece)] = piece
+
+    got = fetch(reader, key, offset, length, write) if length else {"status": "done"}
+    if got["status"] != "done":
+        raise OSError(f"{key} at {offset}: {got['error']}")
+    return bytes(body)
+
+
+def goes_on(reader, key, size) -> bool:
+    """Whether a source has bytes beyond ``size``; readers that refuse such a range have none."""
+    try:
+        return any(len(piece) for piece in reader.read(key, size, 1))
+    except (OSError, pa.ArrowException, ValueError):
+        return False
+
+
 class FileRanges:
     """Reads byte ranges below a root. Other sources only need the same ``read`` method."""
 

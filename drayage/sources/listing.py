@@ -4,6 +4,7 @@ import collections
 import datetime
 import itertools
 import os
+import stat
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -40,6 +41,8 @@ def _scan_local(root, directory, sizes):
 def _sized(root, key):
     try:
         info = os.stat(below(root, key))
+        if not stat.S_ISREG(info.st_mode):
+            return {"key": key, "kind": "error", "error": "not a regular file"}
         mtime = datetime.datetime.fromtimestamp(info.st_mtime, datetime.timezone.utc)
         return {"key": key, "kind": "file", "size": info.st_size, "mtime": mtime}
     except (OSError, ValueError) as error:
@@ -57,10 +60,10 @@ def _scan_remote(fs, root, directory):
         yield {"key": directory, "kind": "marker", "size": 0}
 
 
-def _scanner(root_uri, prefix, per_round, sizes):
+def _scanner(root_uri, prefix, per_round, sizes, staging=True):
     def wanted(entry):
         key = entry["key"]
-        if key == STAGING_DIR + "/":
+        if not staging and key == STAGING_DIR + "/":
             return False
         return key.startswith(prefix) or (entry["kind"] == "dir" and prefix.startswith(key))
 
@@ -93,22 +96,23 @@ def _scanner(root_uri, prefix, per_round, sizes):
 
 
 def _stat(root_uri):
-    def stat(batches):
+    def sized(batches):
         root = local_path(root_uri)
         for names in batches:
             yield batch([_sized(root, key) for key in names.column("key").to_pylist()], ENTRY)
 
-    return stat
+    return sized
 
 
-def walk(spark, root_uri: str, prefix: str = "", tasks: int = None) -> DataFrame:
+def walk(spark, root_uri: str, prefix: str = "", tasks: int = None, staging: bool = True) -> DataFrame:
     """Everything below ``root_uri`` whose key starts with ``prefix``: key, kind, size, mtime, error.
 
     In each round a task walks on from the directory it was given, through 100 directories at most; what it hasn't read
     by then is spread over all tasks in the next round. The walk starts at the directory of the prefix, and its result
     is kept, so all later jobs see one inventory. Directories of mounted file systems with very many files are read for
     names only, and these are spread for reading the sizes, so one directory with most of the files doesn't keep one
-    task busy with them.
+    task busy with them. Links to files are files; links to folders, pipes and the like are ``error`` rows. A target
+    root has a folder of unfinished copies, which is left out without ``staging``.
     """
     tasks = tasks or 4 * spark.sparkContext.defaultParallelism
     start = prefix[:prefix.rfind("/") + 1]
@@ -118,7 +122,7 @@ def walk(spark, root_uri: str, prefix: str = "", tasks: int = None) -> DataFrame
     while directories:
         levels.append(f"{path}/level={len(levels)}")
         spread = frontier.repartition(min(tasks, directories), "key")
-        scan = _scanner(root_uri, prefix, DIRECTORIES_PER_ROUND, SIZES_PER_DIRECTORY)
+        scan = _scanner(root_uri, prefix, DIRECTORIES_PER_ROUND, SIZES_PER_DIRECTORY, staging)
         spread.mapInArrow(scan, ENTRY_DDL).write.parquet(levels[-1])
         frontier = spark.read.schema(ENTRY_DDL).parquet(levels[-1]).where("kind = 'dir'").select("key")
         directories = frontier.count()
@@ -134,13 +138,13 @@ def walk(spark, root_uri: str, prefix: str = "", tasks: int = None) -> DataFrame
     return snapshot(known.unionByName(spread.mapInArrow(_stat(root_uri), ENTRY_DDL)), "inventory")
 
 
-def list_objects(spark, root_uri: str, prefix: str = "", tasks: int = None) -> DataFrame:
+def list_objects(spark, root_uri: str, prefix: str = "", tasks: int = None, staging: bool = True) -> DataFrame:
     """``objects`` below a root: key, size, mtime, is_marker. Keys are longer than the prefix.
 
     An empty directory is a folder marker: size 0, key with a final slash. Unreadable entries are left out;
     :func:`listing_errors` of the same walk reports them.
     """
-    return objects_of(walk(spark, root_uri, prefix, tasks), prefix)
+    return objects_of(walk(spark, root_uri, prefix, tasks, staging), prefix)
 
 
 def objects_of(entries: DataFrame, prefix: str = "") -> DataFrame:

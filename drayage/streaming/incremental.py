@@ -6,11 +6,11 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, functions as F
 
 from ..materialize import snapshot
-from ..operators.transfer import copy_objects
-from ..sources.files import local_path, open_root
+from ..operators.transfer import copy_objects, copy_plan
+from ..plans.indexing import build_plan
+from ..sources.files import local_path, open_root, spark_path
 from ..sources.listing import list_objects
 
-SEEN_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 LEDGER = ("key string, target string, bytes bigint, status string, tries int, error string, started timestamp, "
           "finished timestamp")
 
@@ -22,54 +22,50 @@ def ledger(spark, checkpoint: str) -> DataFrame:
     fs, local = open_root(path)
     if fs.get_file_info(local).type != pafs.FileType.Directory:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(spark_path(path))
 
 
-def _copy(objects: DataFrame, source_root, dest_root, checkpoint, batch, on_failure):
-    """Copies and enters the copies into the ledger, in a part that a second run of the same batch replaces."""
-    named = objects.select("key", "size", F.col("key").alias("target"))
-    done = copy_objects(named, named.select("key", "target"), source_root, dest_root, on_failure=on_failure)
-    done.where("status in ('done', 'marker', 'skipped_directory')").write.mode("overwrite").parquet(
-        f"{checkpoint}/ledger/batch={batch}")
+def _copy(objects: DataFrame, source_root, dest_root, checkpoint, on_failure):
+    """Copies and enters the copies into the ledger. Objects above a chunk go by chunk where the target is mounted."""
+    targets = objects.select("key", F.col("key").alias("target"))
+    if local_path(dest_root) is None:
+        done = copy_objects(objects, targets, source_root, dest_root, on_failure=on_failure)
+    else:
+        done = copy_plan(build_plan(objects, unique_keys=True), targets, source_root, dest_root, on_failure=on_failure)
+        done = done.withColumn("tries", F.lit(None).cast("int"))
+    done = done.select("key", "target", "bytes", "status", "tries", "error", "started", "finished")
+    done.where("status in ('done', 'marker', 'skipped_directory')").write.parquet(
+        f"{spark_path(checkpoint)}/ledger/batch={uuid.uuid4().hex}")
 
 
 def copy_new(spark, source_root: str, dest_root: str, checkpoint: str, only: str = "true",
-             on_failure: str = "fail") -> DataFrame:
+             on_failure: str = "fail", changed: bool = False) -> DataFrame:
     """Copies what is below ``source_root`` and not in the ledger; returns the ledger.
 
     The inventory is listed by tasks and compared with the ledger in a join, so nothing about single files is held on
-    the driver. ``only`` narrows the inventory by a condition.
+    the driver, and the age or the name of an object doesn't matter. ``only`` narrows the inventory by a condition.
+    With ``changed``, objects are copied again that have another size than their last copy, or a later time than its
+    start.
     """
     checkpoint = checkpoint.rstrip("/")
-    known = ledger(spark, checkpoint).select("key").distinct()
-    unseen = list_objects(spark, source_root).where(only).select("key", "size").join(known, "key", "left_anti")
-    unseen = snapshot(unseen, "unseen")
+    last = ledger(spark, checkpoint).groupBy("key").agg(F.max(F.struct("started", "bytes")).alias("last"))
+    found = list_objects(spark, source_root).where(only).select("key", "size", "mtime").join(last, "key", "left")
+    unseen = F.col("last").isNull()
+    if changed:
+        unseen |= (F.col("size") != F.col("last.bytes")) | (F.col("mtime") > F.col("last.started"))
+    unseen = snapshot(found.where(unseen).select("key", "size"), "unseen")
     if not unseen.isEmpty():
-        _copy(unseen, source_root, dest_root, checkpoint, uuid.uuid4().hex, on_failure)
+        _copy(unseen, source_root, dest_root, checkpoint, on_failure)
     return ledger(spark, checkpoint)
 
 
-def incremental_copy(spark, source_root: str, dest_root: str, checkpoint: str, max_files_per_batch: int = 100_000,
-                     empty_files: bool = True, on_failure: str = "fail") -> DataFrame:
+def incremental_copy(spark, source_root: str, dest_root: str, checkpoint: str, empty_files: bool = True,
+                     on_failure: str = "fail", changed: bool = False) -> DataFrame:
     """Copies what is new below ``source_root`` since the last call with this checkpoint; returns the ledger.
 
-    New files come from a file stream that reads names and lengths only. Such streams leave out empty files; with
-    ``empty_files`` these are listed and compared with the ledger after the stream has caught up. A file stream keeps
-    the names it has seen on the driver: for trees of very many files use :func:`copy_new`.
+    One call is one trigger: an inventory compared with the ledger by :func:`copy_new`. Spark's file stream isn't used,
+    as it forgets files much older than the newest one, passes over names that start with ``_`` or ``.``, and keeps
+    the names it has seen on the driver.
     """
-    checkpoint = checkpoint.rstrip("/")
-    root = local_path(source_root) or source_root.rstrip("/")
-
-    def copy_batch(files: DataFrame, batch_id: int):
-        path = F.regexp_replace(F.col("path"), "^file:/+", "/")
-        objects = files.select(F.substring(path, len(root) + 2, 2**31 - 1).alias("key"), F.col("length").alias("size"))
-        _copy(objects, source_root, dest_root, checkpoint, batch_id, on_failure)
-
-    files = (spark.readStream.format("binaryFile").schema(SEEN_FILE).option("recursiveFileLookup", "true")
-             .option("maxFilesPerTrigger", max_files_per_batch).load(source_root).select("path", "length"))
-    query = (files.writeStream.option("checkpointLocation", f"{checkpoint}/stream").trigger(availableNow=True)
-             .foreachBatch(copy_batch).start())
-    query.awaitTermination()
-    if empty_files:
-        return copy_new(spark, source_root, dest_root, checkpoint, "size = 0", on_failure)
-    return ledger(spark, checkpoint)
+    only = "true" if empty_files else "size > 0"
+    return copy_new(spark, source_root, dest_root, checkpoint, only, on_failure, changed)

@@ -3,6 +3,7 @@ import random
 import pytest
 
 import drayage
+from drayage.operators import accounting
 
 
 def simulate(log, size):
@@ -96,8 +97,9 @@ def test_manifest(spark):
            for r in drayage.complete_manifest(parts).collect()}
     assert got == {"a": ("complete", 2, ["t1", "t2"]), "b": ("incomplete", 1, ["x"]), "c": ("incomplete", 1, ["y"])}
     long = spark.createDataFrame([("a", 1, 10_001, "t")], "key string, part_number int, n_parts int, tag string")
-    with pytest.raises(Exception, match="more parts than an upload allows"):
-        drayage.complete_manifest(long).collect()
+    row = drayage.complete_manifest(long).first()
+    assert (row["status"], row["n_tagged"], row["n_parts"], row["manifest"]) == ("incomplete", 1, 10_001, None)
+    assert [tuple(r) for r in drayage.manifest_parts(long).collect()] == [("a", 1, 10_001, "t")]
 
 
 def test_reassembly_in_any_order(spark):
@@ -108,6 +110,18 @@ def test_reassembly_in_any_order(spark):
     assert got == bodies
 
 
+def test_reassembly_above_a_cell(spark, monkeypatch):
+    monkeypatch.setattr(accounting, "MAX_REASSEMBLED_BYTES", 100)
+    bodies = {"a": bytes(range(256)), "b": b"", "c": b"x" * 100}
+    objects = spark.createDataFrame([(k, bytearray(b)) for k, b in bodies.items()], "key string, body binary")
+    parts = drayage.slice_bodies(objects, 10)
+    got = {r["key"]: (r["size"], r["body"]) for r in drayage.reassemble(parts).collect()}
+    assert got == {"a": (256, None), "b": (0, b""), "c": (100, b"x" * 100)}
+    blocks = drayage.reassemble_blocks(parts, 40).orderBy("key", "block").collect()
+    assert {k: b"".join(r["body"] for r in blocks if r["key"] == k) for k in bodies} == bodies
+    assert [r["size"] for r in blocks if r["key"] == "a"] == [40] * 6 + [16]
+
+
 def test_verification(objects):
     got = {r["key"]: r["status"] for r in drayage.verify_transfer(
         objects([("a", 1), ("b", 2), ("c", 3)]), objects([("a", 1), ("b", 1), ("d", 4)])).collect()}

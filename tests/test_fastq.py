@@ -3,7 +3,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import pyarrow as pa
 import drayage
+from drayage.sources import fastq
 from drayage.materialize import snapshot
 from drayage.sources.fastq import LINES, _record_batches
 
@@ -180,3 +182,33 @@ def test_pairs(spark):
     got = {(r["key"], r["read_id"]): (r["r1"], r["r2"], r["status"]) for r in drayage.pair_mates(records).collect()}
     assert got == {("f", "a"): (0, 9, "paired"), ("f", "b"): (20, None, "orphan_1"), ("f", "c"): (None, 30, "orphan_2"),
                    ("f", "d"): (None, None, "unpaired"), ("g", "b"): (None, 0, "orphan_2")}
+
+
+class Cut:
+    """Text files in memory, at most ``longest`` bytes per response."""
+
+    def __init__(self, bodies, longest):
+        self.bodies, self.longest = bodies, longest
+
+    def read(self, key, offset, length):
+        yield self.bodies[key][offset:offset + min(length, self.longest)]
+
+
+@pytest.mark.parametrize("longest", [120, 10_000])
+def test_short_responses_and_many_blocks(spark, monkeypatch, longest):
+    monkeypatch.setattr(fastq, "COUNT_BLOCK", 3)
+    body = "".join(f"@r{i}\nACGT{i}\n+\nIIII{i}\n" for i in range(300)).encode()
+    objects = spark.createDataFrame([("a", len(body))], "key string, size bigint")
+    got = drayage.read_fastq_objects(objects, Cut({"a": body}, longest), 500).orderBy("rec_no").collect()
+    assert [(r["rec_no"], r["seq"], r["problem"]) for r in got] == [(i, f"ACGT{i}", None) for i in range(300)]
+    assert sum(r["byte_len"] for r in got) == len(body)
+
+
+def test_records_too_long_to_hold(monkeypatch):
+    monkeypatch.setattr(fastq, "MAX_OVERHANG", 5_000)
+    body = b"@a\nAC\n+\nII\n@b\n" + b"A" * 20_000 + b"\n+\nI\n@c\nG\n+\nI\n"
+    chunk = {"key": "k", "input_offset": 0, "part_size": 100, "lines_before": 0, "at_line_start": True}
+    (rows,) = [[r for b in fastq._parser(Cut({"k": body}, 10**6), fastq.LINES, False)(
+        [pa.RecordBatch.from_pylist([chunk])]) for r in b.to_pylist()]]
+    assert [(r["rec_no"], r["start_offset"], r["byte_len"], r["problem"], r["seq"]) for r in rows] == [
+        (0, 0, 11, None, "AC"), (1, 11, 20_008, "too_long", None)]

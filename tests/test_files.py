@@ -21,7 +21,7 @@ def tree(tmp_path):
         path.parent.mkdir(parents=True, exist_ok=True)
         path.write_bytes(body)
     (tmp_path / "a/void").mkdir()
-    return str(tmp_path), {k: v for k, v in files.items() if not k.startswith(".uploads")}
+    return str(tmp_path), files
 
 
 def listed(df):
@@ -33,6 +33,20 @@ def test_listing(spark, tree):
     expected = {key: (len(body), False) for key, body in files.items()} | {"a/void/": (0, True)}
     assert listed(drayage.list_objects(spark, root)) == expected
     assert listed(drayage.list_objects(spark, "file://" + root)) == expected
+    own = {key: value for key, value in expected.items() if not key.startswith(".uploads/")}
+    assert listed(drayage.list_objects(spark, root, staging=False)) == own
+
+
+def test_links_and_pipes(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d/f").write_bytes(b"abc")
+    (tmp_path / "file").symlink_to(tmp_path / "d/f")
+    (tmp_path / "folder").symlink_to(tmp_path / "d")
+    os.mkfifo(tmp_path / "pipe")
+    found = drayage.walk(spark, str(tmp_path))
+    assert listed(drayage.objects_of(found)) == {"d/f": (3, False), "file": (3, False)}
+    assert {(r["key"], r["error"]) for r in drayage.listing_errors(found).collect()} == {
+        ("folder", "not a regular file"), ("pipe", "not a regular file")}
 
 
 def test_listing_in_many_rounds(spark, tree, monkeypatch):

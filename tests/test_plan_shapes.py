@@ -5,13 +5,13 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as spark_entry
 import drayage
-from catalog import views
+from catalog import queries as catalog_queries, views
 from drayage.materialize import snapshot
 
 FILES = {"list_objects", "read_ranges", "read_fastq", "fastq_boundaries", "locate_boundaries", "fastq_split",
          "pair_mates", "copy_objects", "copy_multipart", "copy_plan", "write_split", "write_fastq_split",
-         "incremental_copy", "copy_new", "grid_copy", "clean_parts", "progress_ticks_stream", "path_list"}
-TABLE_QUERIES = sorted(set(spark_entry.queries()) - FILES)
+         "incremental_copy", "copy_new", "copy_conflicts", "plan_transfer_fastq", "grid_copy", "clean_parts", "progress_ticks_stream", "path_list"}
+TABLE_QUERIES = sorted(set(catalog_queries.QUERIES) - FILES)
 
 
 def plan_of(df):

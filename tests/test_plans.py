@@ -81,9 +81,16 @@ def test_bad_parameters(objects):
         drayage.plan_transfer(some, feature="split")
 
 
-def test_uploads_refuse_too_many_parts(objects):
-    with pytest.raises(ValueError, match="10001 parts"):
-        drayage.build_plan(objects([("k", 5_242_880 * 10_000 + 1)]), "upload", 5_242_880)
+def test_objects_that_cannot_be_planned_do_not_stop_the_others(objects):
+    some = objects([("large", 5_242_880 * 10_000 + 1), ("k", 1), ("none", None), ("vast", 2**62)])
+    plan = drayage.build_plan(some, "upload", 5_242_880)
+    assert {r["key"]: r["n"] for r in plan.groupBy("key").agg(F.count("*").alias("n")).collect()} == {
+        "large": 10_001, "k": 1}
+    errors = drayage.plan_errors(some, "upload", 5_242_880)
+    assert {r["key"]: r["plan_error"] for r in errors.collect()} == {
+        "large": "above_upload_limit", "none": "missing_size", "vast": "too_many_parts"}
+    parts = drayage.plan_parts(objects([("k", 5), ("none", None), ("empty", 0)]), 2)
+    assert sorted((r["key"], r["part_size"]) for r in parts.collect()) == [("empty", 0), ("k", 1), ("k", 2), ("k", 2)]
 
 
 def test_plan_over_many_key_ranges(objects, monkeypatch):

@@ -1,4 +1,5 @@
 import os
+import time
 
 import drayage
 
@@ -65,3 +66,27 @@ def test_only_empty_objects(spark, tmp_path):
     open(source + "/e", "w").close()
     assert drayage.incremental_copy(spark, source, dest, state).count() == 1
     assert drayage.incremental_copy(spark, source, dest, state).count() == 1
+
+
+def test_old_hidden_and_changed_objects(spark, tmp_path):
+    source, dest, state = (str(tmp_path / n) for n in ("src", "dst", "state"))
+
+    def put(key, body=b"x", age=0):
+        os.makedirs(os.path.dirname(os.path.join(source, key)), exist_ok=True)
+        with open(os.path.join(source, key), "wb") as out:
+            out.write(body)
+        os.utime(os.path.join(source, key), (time.time() - age,) * 2)
+
+    put("n.txt")
+    assert drayage.incremental_copy(spark, source, dest, state).count() == 1
+    for key, age in (("old", 30 * 86400), ("_h/b.txt", 1), (".d/c.txt", 1)):
+        put(key, b"x", age)
+    put("n.txt", b"yy", -5)
+    assert {r["key"] for r in drayage.incremental_copy(spark, source, dest, state).collect()} == {
+        "n.txt", "old", "_h/b.txt", ".d/c.txt"}
+    put("n.txt", b"yy", 60)
+    again = drayage.incremental_copy(spark, source, dest, state, changed=True)
+    assert sorted(r["bytes"] for r in again.where("key = 'n.txt'").collect()) == [1, 2]
+    with open(dest + "/n.txt", "rb") as copied:
+        assert copied.read() == b"yy"
+    assert drayage.incremental_copy(spark, source, dest, state, changed=True).count() == 5

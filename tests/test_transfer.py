@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 import drayage
 from drayage.operators.transfer import fetch
+from drayage.sources import files
 
 BODIES = {"d/a": random.Random(1).randbytes(1000), "d/b": b"", "d/c": b"x", "d/e/f": random.Random(2).randbytes(5003)}
 
@@ -188,3 +189,50 @@ def test_stale_means_strictly_older(spark):
     assert [(r["upload_id"], r["initiated_text"]) for r in got] == [(-1, "23-01-2024 23:59:59")]
     evil = spark.createDataFrame([("k", "../x")], "key string, upload_id string")
     assert drayage.clean_parts(evil, "/tmp", dry_run=True).first()["action"] == "failed"
+
+
+def test_keys_that_share_a_target_are_refused(objects, spark, tmp_path):
+    bodies = {"x": b"A" * 64, "y": b"B" * 64, "z": b"C" * 64}
+    some = objects([(k, 64) for k in bodies])
+    targets = spark.createDataFrame([("x", "same"), ("y", "./same/"), ("z", "a//b"), ("z", "c")],
+                                    "key string, target string")
+    (tmp_path / "whole").mkdir()
+    whole = drayage.copy_objects(some, targets, Store(bodies), str(tmp_path / "whole")).collect()
+    parts = drayage.copy_multipart(drayage.build_plan(some, chunk_size=1), targets, Store(bodies), str(tmp_path / "cut"))
+    for rows in (whole, parts.objects.collect()):
+        assert sorted((r["key"], r["target"], r["status"], r["error"]) for r in rows) == [
+            ("x", "same", "failed", "shared_target"), ("y", "./same/", "failed", "shared_target"),
+            ("z", "a//b", "done", None), ("z", "c", "done", None)]
+    assert stored(tmp_path / "whole") == stored(tmp_path / "cut") == {"a/b": bodies["z"], "c": bodies["z"]}
+
+
+def test_sources_that_grew_or_shrank(objects, tmp_path):
+    bodies = {"grown": bytes(10), "same": bytes(4), "shrunk": bytes(3)}
+    some = objects([(k, 4) for k in bodies])
+    targets = some.select("key", F.col("key").alias("target"))
+    (tmp_path / "grown").write_bytes(b"GOOD")
+    whole = drayage.copy_objects(some, targets, Store(bodies), str(tmp_path))
+    assert {r["key"]: r["status"] for r in whole.collect()} == {"grown": "interrupted", "same": "done", "shrunk": "failed"}
+    cut = drayage.copy_multipart(drayage.build_plan(some, chunk_size=3), targets, Store(bodies), str(tmp_path))
+    assert {r["key"]: r["status"] for r in cut.objects.collect()} == {"grown": "interrupted", "same": "done", "shrunk": "failed"}
+    assert {k: v for k, v in stored(tmp_path).items() if not k.startswith(".uploads")} == {"grown": b"GOOD", "same": bytes(4)}
+
+
+def test_roots_that_are_not_shared(tmp_path):
+    with files.shared_root(str(tmp_path)) as check:
+        check()
+        (token,) = (tmp_path / ".uploads").iterdir()
+        token.unlink()
+        with pytest.raises(OSError, match="share"):
+            check()
+
+
+def test_short_responses(objects, spark):
+    some = objects([(k, len(b)) for k, b in BODIES.items()])
+    ranges = drayage.read_ranges(drayage.plan_parts(some, 900), Store(BODIES, longest=100)).orderBy("key", "part_number")
+    got = {}
+    for row in ranges.collect():
+        got[row["key"]] = got.get(row["key"], b"") + bytes(row["body"])
+    assert got == BODIES
+    with pytest.raises(Exception, match="bytes after 10 responses"):
+        drayage.read_ranges(drayage.plan_parts(objects([("d/a", 2000)]), 2000), Store(BODIES)).collect()
