@@ -16,8 +16,8 @@ from ..materialize import snapshot, spread_io
 from ..plans.grid import split_rebase
 from ..plans.indexing import unique_objects
 from ..settings import MAX_TRIES, STAGING_DIR
-from ..sources.files import (FileRanges, batch, below, end_run, fetch, goes_on, local_path, new_file, open_root,
-                             shared_root)
+from ..sources.files import (FileRanges, batch, below, drop_staging, end_run, fetch, goes_on, local_path, new_file,
+                             open_root, shared_root)
 from .joins import join_targets
 from .records import aligned_parts
 from .skew import join_one
@@ -141,7 +141,7 @@ def copy_objects(objects: DataFrame, targets: DataFrame, source, dest_root: str,
 
     with shared_root(dest_root) as check_root:
         result = _run(_plain_work(objects, targets), copy, threads, "copied")
-    end_run(dest_root, run_id)
+        end_run(dest_root, run_id)
     return _checked(result, on_failure).select("key", "target", "bytes", "status", "tries", "error", "started",
                                                "finished")
 
@@ -239,7 +239,7 @@ def _copy_ranges(work, source, dest_root, run_id, threads, on_failure) -> CopyRe
 
     with shared_root(dest_root) as check_root:
         parts = _run(work, copy, threads, "copied-parts")
-    return CopyResult(parts, publish_copies(parts, dest_root, threads, on_failure))
+        return CopyResult(parts, publish_copies(parts, dest_root, threads, on_failure))
 
 
 def publish_copies(parts: DataFrame, dest_root: str, threads: int = 4, on_failure: str = "report") -> DataFrame:
@@ -279,7 +279,9 @@ def publish_copies(parts: DataFrame, dest_root: str, threads: int = 4, on_failur
         F.count(F.when(~F.col("done"), 1)).cast("int").alias("failed_parts"),
         F.max(F.when(~F.col("done"), F.col("error"))).alias("error"),
         F.sum("responses").cast("int").alias("responses"), F.lit(0).cast("bigint").alias("part_size"))
-    objects = _checked(_run(whole, publish, threads, "published"), on_failure)
+    objects = _run(whole, publish, threads, "published")
+    drop_staging(dest_root)
+    objects = _checked(objects, on_failure)
     return objects.select("key", "target", "upload_id", "n_parts", "bytes", "status", "error", "started", "finished")
 
 
@@ -375,5 +377,5 @@ def write_objects(objects: DataFrame, dest_root: str) -> DataFrame:
     bodies = objects.select("key", F.col("body").cast("binary").alias("body"))
     with shared_root(dest_root) as check_root:
         written = snapshot(bodies.mapInArrow(write, "key string, bytes bigint, status string"), "written")
-    end_run(dest_root, run_id)
+        end_run(dest_root, run_id)
     return written

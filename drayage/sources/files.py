@@ -124,6 +124,15 @@ def shared_root(root_uri: str):
     finally:
         with contextlib.suppress(FileNotFoundError):
             os.unlink(token)
+        drop_staging(root_uri)
+
+
+def drop_staging(root_uri: str):
+    """Removes the staging folder if nothing is in it: no unfinished upload, and no token of a running job."""
+    root = local_path(root_uri)
+    if root is not None:
+        with contextlib.suppress(OSError):
+            os.rmdir(os.path.join(root, STAGING_DIR))
 
 
 def fetch(reader, key, offset, length, write, max_responses=MAX_RESPONSES_PER_TRY, max_tries=MAX_TRIES):

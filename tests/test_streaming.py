@@ -45,7 +45,7 @@ def test_each_object_is_copied_once(spark, tmp_path):
     second = run()
     assert second == sorted(first + [("b", 3), ("empty2", 0)])
     assert run() == second
-    assert sorted(os.listdir(dest)) == [".uploads", "a", "b", "empty", "empty2", "sub dir"]
+    assert sorted(os.listdir(dest)) == ["a", "b", "empty", "empty2", "sub dir"]
 
 
 def test_new_objects_by_listing(spark, tmp_path):
