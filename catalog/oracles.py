@@ -315,6 +315,8 @@ FROM speeds""",
 
     "progress_ticks": TICKS,
     "progress_ticks_stream": TICKS,
+    "progress_of_copy": f"""WITH {DOCS}, {parts_cte('docs', 1024)}
+SELECT CAST(coalesce(sum(part_size), 0) AS BIGINT) AS n_bytes, count(*) AS n_chunks FROM parts""",
 
     "incomplete_uploads": """SELECT event_id AS upload_id, user_id AS owner,
        strftime(ts, '%Y-%m-%d %H:%M:%S') AS initiated

@@ -353,6 +353,20 @@ def copy_plan(spark, sf_dir) -> DataFrame:
     return views.digests(spark, dest)
 
 
+def progress_of_copy(spark, sf_dir) -> DataFrame:
+    """What a stream counts of a copy that leaves its status rows while it runs, summed over the ticks."""
+    root, dest, status = (views.docs_tree(spark, sf_dir), fresh_file_root(spark, "copies"), fresh_file_root(spark, "status"))
+    objects = drayage.list_objects(spark, root)
+    plan = drayage.build_plan(objects, chunk_size=SMALL, unique_keys=True)
+    targets = drayage.map_download_targets(objects, "corpus/", "mybucket", "mirror")
+    chunks = drayage.running_copy(spark, status)
+    drayage.copy_multipart(plan, targets, root, dest, on_failure="fail", status_root=status)
+    ticks = fresh_dir(spark, "ticks")
+    drayage.run_progress_stream(chunks, "1 second", ticks, fresh_dir(spark, "ticks-state")).awaitTermination()
+    return spark.read.parquet(ticks).agg(F.coalesce(F.sum("n_bytes"), F.lit(0)).cast("bigint").alias("n_bytes"),
+                                         F.coalesce(F.sum("n_chunks"), F.lit(0)).cast("bigint").alias("n_chunks"))
+
+
 def grid_copy(spark, sf_dir) -> DataFrame:
     """Three nodes copy their slices of the plan into one shared tree; the targets appear when all are done."""
     root, dest = views.docs_tree(spark, sf_dir), fresh_file_root(spark, "copies")
@@ -427,5 +441,5 @@ QUERIES = {query.__name__: query for query in (
     plan_transfer, plan_transfer_fastq, read_ranges, slice_bodies, reassemble_blocks, copy_conflicts,
     complete_manifest, reassemble, verify_transfer, attempt_accounting, remaining_ranges, throughput, progress_ticks,
     progress_ticks_stream, incomplete_uploads, stale_uploads, read_fastq, fastq_boundaries, locate_boundaries,
-    fastq_split, pair_mates, copy_objects, copy_multipart, copy_plan, grid_copy, clean_parts, write_split,
+    fastq_split, pair_mates, copy_objects, copy_multipart, copy_plan, progress_of_copy, grid_copy, clean_parts, write_split,
     write_fastq_split, incremental_copy, copy_new)}

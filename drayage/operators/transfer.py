@@ -2,6 +2,7 @@
 
 import contextlib
 import datetime
+import json
 import os
 import shutil
 import uuid
@@ -10,6 +11,7 @@ from typing import NamedTuple
 
 import pyarrow as pa
 import pyarrow.fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..materialize import snapshot, spread_io
@@ -24,6 +26,7 @@ from .skew import join_one
 
 GROWN = "the source is longer than it was listed"
 INITIATED = "initiated"   # its time is that of the upload
+STATUS_ROWS = 64          # rows of a status file of a running copy
 
 STATUS = pa.schema([("key", pa.string()), ("target", pa.string()), ("upload_id", pa.string()),
                     ("part_number", pa.int32()), ("n_parts", pa.int32()), ("target_size", pa.int64()),
@@ -55,20 +58,51 @@ def _is_marker(row):
     return row["key"].endswith("/") and row["target_size"] == 0
 
 
-def _run(work: DataFrame, action, threads: int, label: str) -> DataFrame:
-    """One status row per work row. The rows are kept, so the action isn't repeated when they are read."""
+def _run(work: DataFrame, action, threads: int, label: str, status_root: str = None) -> DataFrame:
+    """One status row per work row. The rows are kept, so the action isn't repeated when they are read.
+
+    With a ``status_root`` tasks also leave the rows there while they run, STATUS_ROWS in a file. Rows are sorted and files
+    are named by task and number, so a task that runs again writes the same files.
+    """
+    run_id = uuid.uuid4().hex[:12]
+
     def act(row):
         started = datetime.datetime.now(datetime.timezone.utc)
         status = action(row)
         return {**status, "started": started, "finished": datetime.datetime.now(datetime.timezone.utc)}
 
     def run(batches):
+        task, number = TaskContext.get().partitionId(), 0
         with ThreadPoolExecutor(threads) as pool:
             for rows in batches:
-                yield batch(list(pool.map(act, rows.to_pylist())), STATUS)
+                rows = rows.to_pylist()
+                step = STATUS_ROWS if status_root else max(1, len(rows))
+                for begin in range(0, len(rows), step):
+                    done = list(pool.map(act, rows[begin:begin + step]))
+                    if status_root:
+                        _note(done, status_root, f"{label}-{run_id}-{task:06d}-{number:06d}.json", run_id)
+                        number += 1
+                    yield batch(done, STATUS)
 
     # Kept, as it is counted before it is dealt out.
-    return snapshot(spread_io(snapshot(work, f"{label}-work")).mapInArrow(run, STATUS_DDL), label)
+    dealt = spread_io(snapshot(work, f"{label}-work"))
+    if status_root:
+        dealt = dealt.sortWithinPartitions(*[c for c in ("key", "target", "part_number") if c in dealt.columns])
+    kept = snapshot(dealt.mapInArrow(run, STATUS_DDL), label)
+    if status_root:
+        end_run(status_root, run_id)
+        drop_staging(status_root)
+    return kept
+
+
+def _note(statuses, status_root, name, run_id):
+    """Writes status rows as JSON lines, in a file that appears when it is complete."""
+    with new_file(status_root, name, run_id) as out:
+        for status in statuses:
+            known = {c: status[c] for c in STATUS.names if status.get(c) is not None}
+            out.write(json.dumps({**known, "started": status["started"].isoformat(timespec="microseconds"),
+                                  "finished": status["finished"].isoformat(timespec="microseconds")}).encode() + b"\n")
+        out.keep = True
 
 
 def _claims(targets: DataFrame) -> DataFrame:
@@ -108,7 +142,7 @@ def _plain_work(objects: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def copy_objects(objects: DataFrame, targets: DataFrame, source, dest_root: str, threads: int = 4,
-                 on_failure: str = "report") -> DataFrame:
+                 on_failure: str = "report", status_root: str = None) -> DataFrame:
     """Copies whole objects, one row per key and target: key, target, bytes, status, tries, error, started, finished.
 
     Two keys with one target are both refused (``shared_target``); a key with several targets is copied to each. A
@@ -118,7 +152,7 @@ def copy_objects(objects: DataFrame, targets: DataFrame, source, dest_root: str,
     in the staging folder of the target root. A folder marker becomes a
     directory (``marker``), a target that is a directory keeps its content (``skipped_directory``). Wrong sizes and
     errors are tried again, six times in all, and then reported as ``failed``. Bodies are streamed in pieces and never
-    enter a table. ``source`` is a root URI or a reader.
+    enter a table. ``source`` is a root URI or a reader. ``running_copy`` follows the job by its ``status_root``.
     """
     reader = FileRanges(source) if isinstance(source, str) else source
     run_id = uuid.uuid4().hex[:12]
@@ -140,7 +174,7 @@ def copy_objects(objects: DataFrame, targets: DataFrame, source, dest_root: str,
         return status
 
     with shared_root(dest_root) as check_root:
-        result = _run(_plain_work(objects, targets), copy, threads, "copied")
+        result = _run(_plain_work(objects, targets), copy, threads, "copied", status_root)
         end_run(dest_root, run_id)
     return _checked(result, on_failure).select("key", "target", "bytes", "status", "tries", "error", "started",
                                                "finished")
@@ -169,7 +203,7 @@ def _copy_whole(reader, row, dest_root, run_id):
 
 
 def copy_multipart(plan: DataFrame, targets: DataFrame, source, dest_root: str, run_id: str = None, threads: int = 4,
-                   on_failure: str = "report") -> CopyResult:
+                   on_failure: str = "report", status_root: str = None) -> CopyResult:
     """Copies each chunk of a plan on its own; a target appears when all of its chunks are done.
 
     Chunks are written at their offsets into an unfinished file below ``.uploads``, which is renamed at the end, so no
@@ -179,23 +213,23 @@ def copy_multipart(plan: DataFrame, targets: DataFrame, source, dest_root: str,
 
     Work can be cut: a plan with some of the chunks of an object leaves it ``partial``. Calls with the same ``run_id``
     add to the same unfinished file, and :func:`publish_copies` on the union of their ``parts`` completes it. That is
-    also how failed parts are sent again.
+    also how failed parts are sent again. ``running_copy`` follows the chunks by their ``status_root``.
     """
     chunks = snapshot(plan.select("key", "part_number", "n_parts", "input_offset", "output_offset", "part_size",
                                   F.col("object_size").alias("target_size")), "copied-plan")
     work = join_targets(chunks, _claims(targets)).withColumn("at_end", _ends(F.col("target_size")))
-    return _copy_ranges(work, source, dest_root, run_id, threads, on_failure)
+    return _copy_ranges(work, source, dest_root, run_id, threads, on_failure, status_root)
 
 
 def copy_plan(plan: DataFrame, targets: DataFrame, source, dest_root: str, threads: int = 4,
-              on_failure: str = "report") -> DataFrame:
+              on_failure: str = "report", status_root: str = None) -> DataFrame:
     """Runs a whole plan: single objects as they are, multipart ones by chunk. One row per object and target.
 
     ``shared_target`` is judged over all ``targets``, whichever way their objects are copied.
     """
     plan = snapshot(plan, "copied-plan")
-    singles = copy_objects(plan.where(~F.col("is_multipart")), targets, source, dest_root, threads, on_failure)
-    many = copy_multipart(plan.where(F.col("is_multipart")), targets, source, dest_root, None, threads, on_failure)
+    singles = copy_objects(plan.where(~F.col("is_multipart")), targets, source, dest_root, threads, on_failure, status_root)
+    many = copy_multipart(plan.where(F.col("is_multipart")), targets, source, dest_root, None, threads, on_failure, status_root)
     columns = ["key", "target", "bytes", "status", "error", "started", "finished"]
     return singles.select(*columns).unionByName(many.objects.select(*columns))
 
@@ -205,7 +239,7 @@ def _ends(size) -> Column:
     return F.col("input_offset") + F.col("part_size") == size
 
 
-def _copy_ranges(work, source, dest_root, run_id, threads, on_failure) -> CopyResult:
+def _copy_ranges(work, source, dest_root, run_id, threads, on_failure, status_root=None) -> CopyResult:
     if local_path(dest_root) is None:
         raise ValueError("multipart targets are written at offsets and need a mounted file system; "
                          "copy_objects writes to object stores")
@@ -238,7 +272,7 @@ def _copy_ranges(work, source, dest_root, run_id, threads, on_failure) -> CopyRe
         return status
 
     with shared_root(dest_root) as check_root:
-        parts = _run(work, copy, threads, "copied-parts")
+        parts = _run(work, copy, threads, "copied-parts", status_root)
         return CopyResult(parts, publish_copies(parts, dest_root, threads, on_failure))
 
 

@@ -2,6 +2,9 @@
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..operators.transfer import STATUS_DDL, finished_chunks
+from ..sources.files import open_root, spark_path
+
 
 def ticks(executed: DataFrame, interval: str, watermark: str = None) -> DataFrame:
     """Bytes and chunks finished per interval: tick_start, n_bytes, n_chunks. For tables and for streams.
@@ -35,6 +38,19 @@ def progress_ticks(executed: DataFrame, interval: str, total_bytes: int = None,
     return cumulate(ticks(executed, interval), total_bytes, total_chunks)
 
 
+def running_copy(spark, status_root: str) -> DataFrame:
+    """Stream of what copies with this ``status_root`` have finished so far, as ``run_progress_stream`` takes it.
+
+    It can be started before the copy. Use a folder of its own for each job, which the executors share. What fails isn't
+    in it; a chunk that is sent again in a later job counts again.
+    """
+    fs, path = open_root(status_root)
+    fs.create_dir(path, recursive=True)
+    # A file stream forgets files that are a week older than the newest; a job may take longer.
+    files = spark.readStream.schema(STATUS_DDL).option("maxFileAge", "3650d")
+    return finished_chunks(files.json(spark_path(status_root)))
+
+
 def run_progress_stream(executed: DataFrame, interval: str, tick_path: str, checkpoint: str, watermark: str = None,
                         trigger: dict = None):
     """Starts a stream of ticks into a table at ``tick_path`` and returns the query.

@@ -1,3 +1,4 @@
+import datetime
 import os
 import random
 
@@ -5,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import drayage
+from drayage.operators import transfer
 from drayage.operators.transfer import fetch
 from drayage.sources import files
 
@@ -236,3 +238,31 @@ def test_short_responses(objects, spark):
     assert got == BODIES
     with pytest.raises(Exception, match="bytes after 10 responses"):
         drayage.read_ranges(drayage.plan_parts(objects([("d/a", 2000)]), 2000), Store(BODIES)).collect()
+
+
+def test_status_rows_of_a_running_copy(spark, planned, tmp_path):
+    _, plan, targets = planned
+    status, state = str(tmp_path / "status"), str(tmp_path / "state")
+    stream = drayage.running_copy(spark, status)
+
+    def seen():
+        drayage.run_progress_stream(stream, "1 hour", str(tmp_path / "ticks"), state).awaitTermination()
+        ticks = spark.read.parquet(str(tmp_path / "ticks")).agg(F.sum("n_bytes"), F.sum("n_chunks")).first()
+        return ticks[0], ticks[1]
+
+    drayage.copy_plan(plan, targets, Store(BODIES), str(tmp_path / "out"), status_root=status)
+    whole = sum(map(len, BODIES.values()))
+    chunks = plan.where("is_multipart").count() + sum(1 for b in BODIES.values() if len(b) <= 100)
+    assert seen() == (whole, chunks)
+    assert all(name.endswith(".json") for name in os.listdir(status))
+    failed = drayage.copy_multipart(plan, targets, Store(BODIES, fail_key="d/a"), str(tmp_path / "again"), status_root=status)
+    assert seen() == (2 * whole - 1000, chunks + failed.parts.where("status = 'done'").count())
+
+
+def test_a_task_that_runs_again_writes_the_same_status_files(spark, tmp_path):
+    rows = [{"key": f"k{i}", "bytes": i, "status": "done", "started": datetime.datetime.now(datetime.timezone.utc),
+             "finished": datetime.datetime.now(datetime.timezone.utc)} for i in range(3)]
+    for _ in range(2):
+        transfer._note(rows, str(tmp_path), "copied-x-000000-000000.json", "run")
+    assert [n for n in os.listdir(tmp_path) if n.endswith(".json")] == ["copied-x-000000-000000.json"]
+    assert spark.read.schema(transfer.STATUS_DDL).json(str(tmp_path)).select("started").distinct().first()[0] is not None
