@@ -114,7 +114,11 @@ def representatives(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     A null doc_id stays only in a component without others; of rows with one doc_id the smallest hash of the text stays,
     and of equal rows one.
     """
-    found = near_duplicates(docs.select("doc_id", "text"), shingle)
+    return one_of_each(docs, near_duplicates(docs.select("doc_id", "text"), shingle))
+
+
+def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that :func:`representatives` keeps of the components ``found(component, key_id, key_hash)``."""
     key = F.struct(F.col("doc_id").isNull().alias("missing"), "key_id", "key_hash")
     kept = snapshot(found.groupBy("component").agg(F.min(F.struct(key.alias("key"), "component")).alias("one")).select(
         "one.key.key_id", "one.key.key_hash"), "representatives")

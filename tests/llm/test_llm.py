@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from drayage.llm import contexttree, decontaminate, hosts, maintext, packing, quality, simhash, suffixes, topk, warc
+from drayage.llm import contexttree, decontaminate, hosts, maintext, nearcopies, packing, quality, simhash, suffixes, topk, warc
 
 LONG = "many words that go on and on, one after the other, until there are more than a hundred bytes of them in a row "
 
@@ -81,6 +81,45 @@ def test_links_by_pairs_and_by_variants(spark, pairwise):
     assert {p: label.get(p, p) for p in signed} == want
 
 
+@pytest.mark.parametrize("pairwise, rounds", [(32, 2), (2, 1)])
+def test_near_copies_of_the_pipeline(spark, docs, pairwise, rounds):
+    """One word of 150 replaced far from the others: similar by five-word shingles, more than two bits apart."""
+    rnd = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(500)]
+    texts = dict(enumerate(" ".join(rnd.choice(vocabulary) for _ in range(150)) for _ in range(4)))
+    for i in range(40):
+        words = texts[i % 4].split()
+        for j in range(i // 4 % 5):
+            words[20 + 25 * j] = f"new{i}x{j}"
+        texts[10 + i] = " ".join(words)
+    given = spark.createDataFrame(list(texts.items()), "doc_id long, text string").unionByName(docs.select("doc_id", "text"))
+
+    def brute(text):
+        words = (text or "").encode().lower().split()
+        return frozenset(tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
+    sets = list({brute(t) for _, t in rows(given)})
+    parent = {s: s for s in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for a in sets:
+        for b in sets:
+            if a and b and 5 * len(a & b) >= 4 * len(a | b):
+                parent[find(a)] = find(b)
+    least = {}
+    for i, t in rows(given):
+        root = find(brute(t))
+        least[root] = min(x for x in (least.get(root), i) if x is not None) if (least.get(root), i) != (None, None) else None
+    found = nearcopies.near_copies(given, pairwise, rounds).collect()
+    assert len({r["component"] for r in found}) == len(least) and len(found) == len(rows(given))
+    if rounds == 2:
+        import corpus_pipeline
+        kept = corpus_pipeline.drop_near_duplicates(spark, given, "")
+        assert sorted(str(i) for i, _ in rows(kept)) == sorted(str(i) for i in least.values())
+
+
 def brute_suffixes(texts):
     seen, out = set(), {}
     for key in sorted(texts):
@@ -399,6 +438,7 @@ def test_empty_tables(spark):
     assert suffixes.remove_repeats(docs).count() == 0
     assert decontaminate.contamination(docs, spark.createDataFrame([], "item_id long, text string")).count() == 0
     assert packing.pack(docs, packing.public_vocabulary).count() == 0
+    assert nearcopies.near_copies(docs).count() == 0
     assert quality.accepted(docs, spark.createDataFrame([], "doc_id long, quality int")).count() == 0
     assert contexttree.score(docs).count() == 0
     vectors = spark.createDataFrame([], "vec_id long, embedding array<float>")
