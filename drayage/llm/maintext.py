@@ -21,12 +21,13 @@ from .common import small_batches, table, utf8
 SAMPLE_PAGES, SAMPLE_BYTES = 400, 65_536    # pages to learn from, and their greatest length
 HAND_WEIGHT = 20                            # a hand-labelled page counts as so many
 
-RAW = "script|style|title|textarea|noscript|template|iframe|svg|math|object|select|button"
+RAW = "script|style|title|textarea|noscript|iframe"
+ATTRS = r"""(?:=\s*(?:"[^"]*"|'[^']*')|[^>])*+"""     # a quote counts only after an equals sign
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<raw>{RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?:>.*?(?:</(?P=raw)\s*>|\Z)|\Z)"
+    rf"|<(?P<raw>{RAW})\b{ATTRS}(?:>.*?(?:</(?P=raw)\s*>|\Z)|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)"
+    rf"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>{ATTRS})(?:>|\Z)"
     r"|(?P<text>[^<]+|<)", re.S | re.I)
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 BLOCKS = frozenset("""address article aside blockquote body dd details dialog div dl dt fieldset figcaption figure footer form h1
@@ -37,7 +38,9 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 CLOSES = {"li": ({"li"}, {"ul", "ol"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
           "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
 MARKED = frozenset(["article", "main"])
-NEVER = frozenset(["nav", "aside", "footer", "form", "head"])
+HIDDEN = frozenset(["svg", "object", "select", "button", "template"])
+SCOPES = frozenset(["object", "button", "template"])     # an opening tag in one closes nothing outside of it
+NEVER = HIDDEN | {"nav", "aside", "footer", "form", "head"}
 AROUND = ("nav menu header footer sidebar aside ad ads advert advertisement banner promo sponsor cookie notice consent "
           "comment comments reply respond share social related newsletter subscribe login search breadcrumb breadcrumbs widget "
           "popup modal pagination pager toolbar masthead disqus").split()
@@ -49,7 +52,7 @@ class Page:
 
     def __init__(self, source: str):
         self.tags, self.names, self.parents = ["#"], [""], [-1]
-        self.runs, block, stack = [], 0, [0]
+        self.runs, self.closed, block, stack = [], set(), 0, [0]
         for token in TOKEN.finditer(source):
             text = token.group("text")
             if text is not None:
@@ -66,6 +69,7 @@ class Page:
             if token.group("end"):
                 at = next((i for i in range(len(stack) - 1, 0, -1) if self.tags[stack[i]] == tag), 0)
                 if at:
+                    self.closed.add(stack[at])
                     del stack[at:]
                 continue
             attrs = token.group("attrs")
@@ -86,7 +90,7 @@ class Page:
             if tag in tags:
                 del stack[i:]
                 return
-            if tag in limit:
+            if tag in limit or tag in SCOPES:
                 return
 
     def seen(self):
@@ -115,6 +119,17 @@ class Page:
             out.append(out[self.parents[i]] if given is None else given)
         return out
 
+    def hidden(self):
+        """Whether each element is or lies in one that is never content. One that isn't closed ends at the next block."""
+        out, open_ = [False], [False]
+        for i in range(1, len(self.tags)):
+            tag, up = self.tags[i], self.parents[i]
+            within = out[up] and (not open_[up] or tag not in BLOCKS)
+            here = tag in HIDDEN
+            out.append(within or here)
+            open_.append(open_[up] if within else here and i not in self.closed)
+        return out
+
     def text(self, chosen) -> str:
         lines, block, parts = [], None, []
         for element, at, text in [*self.runs, (None, None, "")]:
@@ -203,7 +218,7 @@ class Model:
 
     def main_text(self, source: str) -> str:
         page = Page(source)
-        return page.text([m > 0.5 for m in self.marginals(page)])
+        return page.text([m > 0.5 and not h for m, h in zip(self.marginals(page), page.hidden())])
 
 
 def _add(a, b):

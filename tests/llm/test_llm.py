@@ -447,3 +447,17 @@ def test_empty_tables(spark):
     archives, root = warc.archive_pages(pages)
     assert warc.read_archives(archives, root).count() == 0
     assert hosts.judge(pages).count() == 0 and maintext.main_texts(pages).count() == 0
+
+
+def test_main_text_survives_controls_and_apostrophes():
+    model = maintext.fit([(*maintext._hand_labelled(x), 1) for x in maintext.BY_HAND])
+    words = "Words of the article that go on for a while, and then some more of them."
+    article = f'<article class="content"><p>{words}</p></article>'
+    for head in ('<svg class="logo"/>', "<button>Menu", "<svg><path d='M0'>", "<select><option>One", "<p title=it's>", "<template>"):
+        assert words in model.main_text(f"<html><body><header>{head}</header>{article}<p class=x>it's</p></body></html>"), head
+        assert words in model.main_text(f"<html><body>{head}{article}</body></html>"), head
+    inside = model.main_text(article.replace("a while", "a <math><mi>while</mi></math>").replace(
+        "</p>", "<button><b>Press</b></button><svg><text>Drawn</text></svg><template><p>Inert</p></template></p>"))
+    assert inside == words
+    page = maintext.Page("<button><p>in</p></button><button>b<p>after</p>")
+    assert page.text([h for h in page.hidden()]) == "in\nb"
