@@ -2,7 +2,7 @@
 
 Documents are cut into full sequences; what remains of each, a piece shorter than a sequence, is packed with others. Each
 task packs the pieces of its own rows in windows of bounded size: nothing is shuffled and no piece waits for another
-task. For each sequence the longest remaining piece is taken, and a subset-sum search over the remaining lengths, in
+task. At most half a window waits for the next; if more doesn't fit, as with many copies of one length, it is cut. For each sequence the longest remaining piece is taken, and a subset-sum search over the remaining lengths, in
 which a set of sums is one long integer, fills the rest as closely as possible. The sums are kept step by step, so that
 the counts of each length are found by going back. A choice is used again as often as its lengths last.
 """
@@ -118,9 +118,10 @@ class _Packer:
         if full < len(ids):
             self.pieces.append((doc_id, full, ids[full:].copy(), len(ids)))
 
-    def pack(self, last: bool):
-        """Packs all pieces; full sequences go out. The others wait for more pieces, or, in the end, are cut to lengths
-        that need no padding: powers of two."""
+    def pack(self, last: bool, most: int = 0):
+        """Packs all pieces; full sequences go out. The others wait for more pieces if they are ``most`` or fewer, else
+        they are cut to full sequences and less than one sequence waits. In the end that is cut to lengths that need no
+        padding: powers of two."""
         by_length = defaultdict(list)
         for piece in self.pieces:
             by_length[len(piece[2])].append(piece)
@@ -131,10 +132,11 @@ class _Packer:
                 members = [by_length[k].pop() for k, n in chosen.items() for _ in range(n)]
                 if full:
                     yield from self.place(members)
-                elif last:
-                    yield from self.place_cut(members)
                 else:
                     self.pieces += members
+        if last or len(self.pieces) > most:
+            members, self.pieces = self.pieces, []
+            yield from self.place_cut(members, last)
 
     def place(self, members):
         sequence, offset = self.sequence(), 0
@@ -142,14 +144,18 @@ class _Packer:
             yield self.row(doc_id, start, ids, doc_tokens, sequence, offset)
             offset += len(ids)
 
-    def place_cut(self, members):
+    def place_cut(self, members, last: bool):
+        """Pieces one after the other, cut where a sequence is full."""
         left = sum(len(m[2]) for m in members)
         room, sequence, offset = 0, None, 0
         for doc_id, start, ids, doc_tokens in members:
             at = 0
             while at < len(ids):
                 if not room:
-                    room, sequence, offset = 1 << (left.bit_length() - 1), self.sequence(), 0
+                    if left < self.size and not last:
+                        self.pieces.append((doc_id, start + at, ids[at:].copy(), doc_tokens))
+                        break
+                    room, sequence, offset = min(self.size, 1 << (left.bit_length() - 1)), self.sequence(), 0
                     left -= room
                 n = min(room, len(ids) - at)
                 yield self.row(doc_id, start + at, ids[at:at + n], doc_tokens, sequence, offset)
@@ -176,7 +182,7 @@ def pack(docs: DataFrame, vocabulary: str, ranks: str = None, pattern: str = Non
                     ids = ids_of[text] = np.append(tokens(text), np.uint32(end_id))
                 out += packer.add(doc_id, ids)
                 if len(packer.pieces) >= window:
-                    out += packer.pack(last=False)
+                    out += packer.pack(last=False, most=window // 2)
                 if len(out) >= 10_000:
                     yield _rows(out)
                     out = []

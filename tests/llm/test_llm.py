@@ -461,3 +461,23 @@ def test_main_text_survives_controls_and_apostrophes():
     assert inside == words
     page = maintext.Page("<button><p>in</p></button><button>b<p>after</p>")
     assert page.text([h for h in page.hidden()]) == "in\nb"
+
+
+@pytest.mark.parametrize("length", [200, 1500])
+def test_packing_of_one_length_is_bounded(length):
+    packer, placed, most = packing._Packer(0, 2048), [], 0
+    for i in range(500):
+        placed += packer.add(i, np.full(length, i, np.uint32))
+        if len(packer.pieces) >= 64:
+            placed += packer.pack(last=False, most=32)
+        most = max(most, len(packer.pieces))
+    assert most <= 64
+    placed += packer.pack(last=True)
+    sizes, of_doc = {}, {}
+    for doc_id, start, n, _, _, sequence, offset in placed:
+        assert offset == sizes.get(sequence, 0)
+        sizes[sequence] = offset + n
+        of_doc.setdefault(doc_id, []).append((start, n))
+    assert all(sorted(v)[0][0] == 0 and sum(n for _, n in v) == length for v in of_doc.values()) and len(of_doc) == 500
+    tails = sorted(n for n in sizes.values() if n != 2048)
+    assert len(set(tails)) == len(tails) and all(n & n - 1 == 0 for n in tails)
