@@ -50,6 +50,26 @@ def snapshot(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Snapshots of one job, of which each can be removed as soon as nothing reads it any more."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def keep(self, df: DataFrame, label: str) -> DataFrame:
+        path = fresh_dir(self.spark, label)
+        df.write.parquet(path)
+        kept = self.spark.read.schema(df.schema).parquet(path)
+        self.paths.append((kept, path))
+        return kept
+
+    def drop(self, *tables: DataFrame):
+        for path in [p for df, p in self.paths if any(df is t for t in tables)]:
+            at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        self.paths = [(df, p) for df, p in self.paths if not any(df is t for t in tables)]
+
+
 def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_ROWS, weight=None) -> DataFrame:
     """Mark ``df`` for broadcast if it is counted to be small; otherwise leave the join to shuffle.
 
