@@ -2,6 +2,7 @@
 
 import zlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -60,3 +61,24 @@ def gathered(batches, most: int = GATHERED_BYTES):
             yield from whole.to_batches()
     if held:
         yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def bit_table(keys: DataFrame, key: str, n_keys: int, most: int = 1 << 26) -> np.ndarray:
+    """Bits, packed, of the longs in a column, at their value modulo the number of bits: a power of two, 16 for each key at
+    least but no more than ``most`` (8 MB). Made by Spark's bitmaps, of which the driver gets one per 32,768 bits."""
+    size = 1 << 15
+    while size < min(16 * n_keys, most):
+        size *= 2
+    at = F.col(key).bitwiseAND(F.lit(size - 1)) + 1
+    rows = keys.groupBy(F.bitmap_bucket_number(at).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
+    table = np.zeros(size // 8, np.uint8)
+    for row in rows.collect():
+        start = (row["part"] - 1) * 4096
+        table[start:start + 4096] = np.frombuffer(row["bits"], np.uint8)
+    return table
+
+
+def has_bit(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether longs may be among the keys of a :func:`bit_table`; always true for those that are."""
+    at = keys.view(np.uint64) & np.uint64(8 * len(table) - 1)
+    return (table[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..materialize import snapshot
+from ..materialize import Scratch
 
 MAX_ROUNDS = 60
 
@@ -31,17 +31,19 @@ def _stars(edges: DataFrame, small: bool) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """``edges(a, b)`` -> ``(node, component)`` with the smallest node of each component, for all nodes with an edge.
 
-    Each round is written to the shared folder, which cuts the lineage. The edges have converged when a round leaves
+    Each round is written to the shared folder, which cuts the lineage, and the one before it is removed then. The edges have converged when a round leaves
     the same set; this is seen from its count and an order-free sum of hashes. Self links are left out.
     """
-    current = snapshot(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                       .distinct(), "links")
+    scratch = Scratch(edges.sparkSession)
+    current = scratch.keep(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+                           .distinct(), "links")
     seen = None
     for _ in range(MAX_ROUNDS):
         mark = current.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if mark == seen or not mark[0]:
             return current.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
                 current.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()
-        seen = mark
-        current = snapshot(_stars(_stars(current, small=False), small=True), "links")
+        seen, before = mark, current
+        current = scratch.keep(_stars(_stars(current, small=False), small=True), "links")
+        scratch.drop(before)
     raise RuntimeError("components have not converged")

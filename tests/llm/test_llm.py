@@ -81,8 +81,8 @@ def test_links_by_pairs_and_by_variants(spark, pairwise):
     assert {p: label.get(p, p) for p in signed} == want
 
 
-@pytest.mark.parametrize("pairwise, rounds", [(32, 2), (2, 1)])
-def test_near_copies_of_the_pipeline(spark, docs, pairwise, rounds):
+@pytest.mark.parametrize("few, pairwise", [(3, 32), (1, 12)])
+def test_near_copies_of_the_pipeline(spark, docs, few, pairwise):
     """One word of 150 replaced far from the others: similar by five-word shingles, more than two bits apart."""
     rnd = random.Random(8)
     vocabulary = [f"w{i}" for i in range(500)]
@@ -112,14 +112,45 @@ def test_near_copies_of_the_pipeline(spark, docs, pairwise, rounds):
     for i, t in rows(given):
         root = find(brute(t))
         least[root] = min(x for x in (least.get(root), i) if x is not None) if (least.get(root), i) != (None, None) else None
-    found = nearcopies.near_copies(given, pairwise, rounds).collect()
+    found = nearcopies.near_copies(given, few, pairwise).collect()
     assert len({r["component"] for r in found}) == len(least) and len(found) == len(rows(given))
-    if rounds == 2:
+    if few == 3:
         import corpus_pipeline
         kept = corpus_pipeline.drop_near_duplicates(spark, given, "")
         assert sorted(str(i) for i, _ in rows(kept)) == sorted(str(i) for i in least.values())
 
 
+def test_near_copies_with_a_common_head(spark, monkeypatch):
+    """Keys that many sets share which aren't similar: split by further shingles, then hubs until nothing is open."""
+    monkeypatch.setattr(nearcopies, "COMMON", 1 << 30)
+    rnd = random.Random(9)
+    head, texts = [f"h{i}" for i in range(40)], []
+    for i in range(24):
+        body = [f"b{rnd.randrange(6)}x{j}" for j in range(rnd.choice([2, 6, 16, 30]))]
+        texts.append(" ".join(head[:rnd.choice([30, 38, 40])] + body))
+    sets = [frozenset(nearcopies.shingles(t.encode()).tolist()) for t in texts]
+    label = list(range(len(texts)))
+    for _ in texts:
+        label = [min(label[j] for j in range(len(texts)) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])) for i in range(len(texts))]
+    given = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {}
+    for r in nearcopies.near_copies(given, 1, 6).collect():
+        got.setdefault(r["component"], set()).add(r["doc_id"])
+    want = {}
+    for i, c in enumerate(label):
+        want.setdefault(c, set()).add(i)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values())) and 1 < len(want) < len(texts)
+
+
+def test_parity_is_a_lower_bound():
+    rnd = np.random.default_rng(10)
+    for _ in range(50):
+        a, b = (np.unique(rnd.integers(0, 1 << 62, rnd.integers(1, 900)).astype(np.uint64)) for _ in range(2))
+        b = np.union1d(b[:rnd.integers(0, 80)], a)
+        differ = sum(bin(int(x) & (2 ** 64 - 1)).count("1") for x in nearcopies.parity(a) ^ nearcopies.parity(b))
+        assert differ <= len(np.setxor1d(a, b))
+
+
 def brute_suffixes(texts):
     seen, out = set(), {}
     for key in sorted(texts):
