@@ -122,7 +122,8 @@ def _refused(row):
     return "shared_target" if row["is_shared"] else None
 
 
-def _checked(result: DataFrame, on_failure: str) -> DataFrame:
+def check_copies(result: DataFrame, on_failure: str) -> DataFrame:
+    """The status rows of a copy; with ``on_failure='fail'`` raises if one of them is a failure."""
     if on_failure not in ("report", "fail"):
         raise ValueError("on_failure is 'report' or 'fail'")
     if on_failure == "fail":
@@ -176,7 +177,7 @@ def copy_objects(objects: DataFrame, targets: DataFrame, source, dest_root: str,
     with shared_root(dest_root) as check_root:
         result = _run(_plain_work(objects, targets), copy, threads, "copied", status_root)
         end_run(dest_root, run_id)
-    return _checked(result, on_failure).select("key", "target", "bytes", "status", "tries", "error", "started",
+    return check_copies(result, on_failure).select("key", "target", "bytes", "status", "tries", "error", "started",
                                                "finished")
 
 
@@ -315,7 +316,7 @@ def publish_copies(parts: DataFrame, dest_root: str, threads: int = 4, on_failur
         F.sum("responses").cast("int").alias("responses"), F.lit(0).cast("bigint").alias("part_size"))
     objects = _run(whole, publish, threads, "published")
     drop_staging(dest_root)
-    objects = _checked(objects, on_failure)
+    objects = check_copies(objects, on_failure)
     return objects.select("key", "target", "upload_id", "n_parts", "bytes", "status", "error", "started", "finished")
 
 

@@ -6,7 +6,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, functions as F
 
 from ..materialize import snapshot
-from ..operators.transfer import copy_objects, copy_plan
+from ..operators.transfer import check_copies, copy_objects, copy_plan
 from ..plans.indexing import build_plan
 from ..sources.files import local_path, open_root, spark_path
 from ..sources.listing import list_objects
@@ -26,16 +26,18 @@ def ledger(spark, checkpoint: str) -> DataFrame:
 
 
 def _copy(objects: DataFrame, source_root, dest_root, checkpoint, on_failure):
-    """Copies and enters the copies into the ledger. Objects above a chunk go by chunk where the target is mounted."""
+    """Copies and enters the copies into the ledger, also if others failed, and only then raises. Objects above a chunk go
+    by chunk where the target is mounted."""
     targets = objects.select("key", F.col("key").alias("target"))
     if local_path(dest_root) is None:
-        done = copy_objects(objects, targets, source_root, dest_root, on_failure=on_failure)
+        done = copy_objects(objects, targets, source_root, dest_root)
     else:
-        done = copy_plan(build_plan(objects, unique_keys=True), targets, source_root, dest_root, on_failure=on_failure)
+        done = copy_plan(build_plan(objects, unique_keys=True), targets, source_root, dest_root)
         done = done.withColumn("tries", F.lit(None).cast("int"))
     done = done.select("key", "target", "bytes", "status", "tries", "error", "started", "finished")
     done.where("status in ('done', 'marker', 'skipped_directory')").write.parquet(
         f"{spark_path(checkpoint)}/ledger/batch={uuid.uuid4().hex}")
+    check_copies(done, on_failure)
 
 
 def copy_new(spark, source_root: str, dest_root: str, checkpoint: str, only: str = "true",

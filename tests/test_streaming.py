@@ -1,7 +1,10 @@
 import os
 import time
 
+import pytest
+
 import drayage
+from drayage.operators.transfer import TransferFailed
 
 
 def test_open_ticks_wait_for_the_watermark(spark, tmp_path):
@@ -90,3 +93,23 @@ def test_old_hidden_and_changed_objects(spark, tmp_path):
     with open(dest + "/n.txt", "rb") as copied:
         assert copied.read() == b"yy"
     assert drayage.incremental_copy(spark, source, dest, state, changed=True).count() == 5
+
+
+def test_a_failure_leaves_the_other_copies_in_the_ledger(spark, tmp_path):
+    source, dest, state = (str(tmp_path / n) for n in ("src", "dst", "state"))
+    os.makedirs(source + "/blocked")
+    os.makedirs(dest)
+    for key in ("blocked/a.txt", "c.txt"):
+        with open(f"{source}/{key}", "w") as out:
+            out.write("x")
+    open(dest + "/blocked", "w").close()
+    for _ in range(2):
+        with pytest.raises(TransferFailed):
+            drayage.incremental_copy(spark, source, dest, state)
+        assert [r["key"] for r in drayage.copy_new(spark, source, dest, state, only="false").collect()] == ["c.txt"]
+        copied = os.stat(dest + "/c.txt")
+        os.utime(dest + "/c.txt", (1, 1))       # a second copy would set another time
+    assert copied.st_mtime == 1
+    os.unlink(dest + "/blocked")
+    assert {r["key"] for r in drayage.incremental_copy(spark, source, dest, state).collect()} == {"blocked/a.txt", "c.txt"}
+    assert os.stat(dest + "/c.txt").st_mtime == 1
