@@ -313,6 +313,8 @@ def score(docs: DataFrame, lookup_rows: int = LOOKUP_ROWS, frequent: int = FREQU
             yield _text_rows(out)
 
     numbered = read.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "t")
+    if known is None:
+        numbered = snapshot(numbered, "numbered-texts")     # read twice: a row has to have the same number both times
     spread = numbered.mapInArrow(texts, _TEXT_SCHEMA)
     # words are joined with their counts; the row of a text has a token that no word can have
     rest = words.where(F.col("token").isNotNull() & (F.col("c") < often)).select("token", "c")

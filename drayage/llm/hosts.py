@@ -7,13 +7,14 @@ written to the shared folder each round.
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..materialize import broadcast_if_bounded, snapshot
+from ..materialize import Scratch, broadcast_if_bounded, snapshot
 from .common import table
 from .decontaminate import LOWER, UPPER
 
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
          ("net", "/es/", "block"), ("net", "/fr/", "block")]
-DAMPING, ROUNDS, TOLERANCE = 0.85, 20, 1e-9
+DAMPING, TOLERANCE = 0.85, 1e-9
+MOST_ROUNDS = 5000          # at a damping of 0.85 movements fall below the tolerance within 130 rounds on any graph
 MARGIN = 0.0        # a host is blocked if its distrust exceeds its trust by more
 LINKS = r"""(?i)href\s*=\s*["']?(?:[a-z][a-z0-9+.-]*:)?//([^/"'?#>\s]+)"""
 
@@ -50,13 +51,14 @@ def host_links(pages: DataFrame) -> DataFrame:
         "src", "dst").agg(F.count("*").alias("n"))
 
 
-def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS,
+def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rounds: int = MOST_ROUNDS,
               tolerance: float = TOLERANCE) -> DataFrame:
     """``seeds(host, good, bad)``, ``links(src, dst, n)`` -> ``(host, trust, distrust)``.
 
     ``good`` and ``bad`` are each a distribution over hosts, or all zero. A round keeps 1 - damping of it and passes the
     rest on: trust along links by their share of the source's, distrust against links by their share of the target's. What
-    reaches a host without further links ends there. Stops when no value moves by more than ``tolerance``.
+    reaches a host without further links ends there. Stops when no trust has moved by more than ``tolerance`` times the greatest
+    ``good``, and no distrust by more than that share of the greatest ``bad``; raises if ``rounds`` don't suffice.
     """
     total_out = links.groupBy("src").agg(F.sum("n").alias("out_n"))
     total_in = links.groupBy("dst").agg(F.sum("n").alias("in_n"))
@@ -65,7 +67,9 @@ def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, roun
     known = edges.select(F.col("src").alias("host")).unionByName(edges.select(F.col("dst").alias("host"))).unionByName(
         seeds.select("host")).distinct()
     seeds = snapshot(known.join(seeds, "host", "left").na.fill(0.0, ["good", "bad"]), "host-seeds")
-    ranks = seeds.select("host", "good", "bad", F.col("good").alias("trust"), F.col("bad").alias("distrust"))
+    most = seeds.agg(F.max("good"), F.max("bad")).first()
+    scratch = Scratch(seeds.sparkSession)
+    ranks, before = seeds.select("host", "good", "bad", F.col("good").alias("trust"), F.col("bad").alias("distrust")), None
     for _ in range(rounds):
         now = ranks.select("host", "trust", "distrust")
         forth = edges.join(now, edges["src"] == now["host"]).select(
@@ -76,14 +80,15 @@ def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, roun
 
         def kept(seed, gained):
             return (1 - damping) * F.col(seed) + damping * F.coalesce(gained, F.lit(0.0))
-        moved = snapshot(ranks.join(got, "host", "left").select(
+        moved = scratch.keep(ranks.join(got, "host", "left").select(
             "host", "good", "bad", kept("good", "t").alias("trust"), kept("bad", "d").alias("distrust"),
-            F.greatest(F.abs(kept("good", "t") - F.col("trust")), F.abs(kept("bad", "d") - F.col("distrust"))).alias("move")), "host-ranks")
-        most = moved.agg(F.max("move")).first()[0]
-        ranks = moved.drop("move")
-        if most is None or most <= tolerance:
-            break
-    return ranks.select("host", "trust", "distrust")
+            F.abs(kept("good", "t") - F.col("trust")).alias("t_move"), F.abs(kept("bad", "d") - F.col("distrust")).alias("d_move")), "host-ranks")
+        moves = moved.agg(F.max("t_move"), F.max("d_move")).first()
+        scratch.drop(before)
+        ranks, before = moved.drop("t_move", "d_move"), moved
+        if moves[0] is None or all(move <= tolerance * (top or 0.0) for move, top in zip(moves, most)):
+            return ranks.select("host", "trust", "distrust")
+    raise RuntimeError(f"trust and distrust have not converged in {rounds} rounds")
 
 
 def judge(pages: DataFrame, rules=RULES, margin: float = MARGIN) -> DataFrame:
@@ -113,3 +118,36 @@ def judge(pages: DataFrame, rules=RULES, margin: float = MARGIN) -> DataFrame:
 
 def op7_hosts(spark, sf_dir):
     return judge(table(spark, sf_dir, "pages"))
+
+
+def _sql_rules() -> str:
+    """The longest rule that fits, as SQL: (rule, verdict)."""
+    tests = sorted(RULES, key=lambda r: -len(r[0] + r[1]))
+    fits = ["(host = '{0}' OR ends_with(host, '.{0}')) AND starts_with(path, '{1}')".format(*r) for r in tests]
+    return ", ".join(f"CASE {' '.join(f'WHEN {f} THEN {chr(39)}{value(r)}{chr(39)}' for f, r in zip(fits, tests))} END AS {name}"
+                     for name, value in (("rule", lambda r: r[0] + r[1]), ("verdict", lambda r: r[2])))
+
+
+ORACLE = f"""
+WITH RECURSIVE p AS (SELECT page_id, coalesce(html, '') AS html, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host,
+                  regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+j AS (SELECT page_id, host, path, html, {_sql_rules()} FROM p),
+m AS (SELECT host, avg(CASE WHEN verdict = 'allow' THEN 1.0 ELSE 0.0 END) > 0.5 AS good,
+             avg(CASE WHEN verdict = 'block' THEN 1.0 ELSE 0.0 END) > 0.5 AS bad FROM j WHERE host <> '' GROUP BY host),
+l AS (SELECT src, dst, count(*) AS n FROM (SELECT host AS src, translate(unnest(regexp_extract_all(html, '{LINKS.replace("'", "''")}', 1)), '{UPPER}', '{LOWER}') AS dst FROM j)
+      WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY src, dst),
+e AS (SELECT src, dst, n / sum(n) OVER (PARTITION BY src) AS forth, n / sum(n) OVER (PARTITION BY dst) AS back FROM l),
+h AS (SELECT host, coalesce(CAST(good AS INTEGER) / nullif((SELECT count(*) FROM m WHERE good), 0), 0.0) AS good,
+             coalesce(CAST(bad AS INTEGER) / nullif((SELECT count(*) FROM m WHERE bad), 0), 0.0) AS bad
+      FROM (SELECT src AS host FROM l UNION SELECT dst FROM l UNION SELECT host FROM m) LEFT JOIN m USING (host)),
+r(n, host, t, d) AS (
+    SELECT 0, host, good, bad FROM h
+    UNION ALL
+    SELECT (SELECT max(n) FROM r) + 1, h.host, 0.15 * h.good + 0.85 * coalesce(f.t, 0), 0.15 * h.bad + 0.85 * coalesce(b.d, 0)
+    FROM h LEFT JOIN (SELECT e.dst AS host, sum(r.t * e.forth) AS t FROM e JOIN r ON r.host = e.src GROUP BY e.dst) f ON f.host = h.host
+           LEFT JOIN (SELECT e.src AS host, sum(r.d * e.back) AS d FROM e JOIN r ON r.host = e.dst GROUP BY e.src) b ON b.host = h.host
+    WHERE (SELECT max(n) FROM r) < 150),
+b AS (SELECT host FROM r WHERE n = 150 AND d > t)
+SELECT page_id, j.host, path, rule, coalesce(verdict, CASE WHEN b.host IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM j LEFT JOIN b ON b.host = j.host
+"""

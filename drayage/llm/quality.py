@@ -8,6 +8,7 @@ texts in tasks, in pieces of bounded size.
 """
 
 import dataclasses
+import warnings
 
 import numpy as np
 import pyarrow as pa
@@ -36,17 +37,17 @@ class Net:
 
 
 def _laid_out(texts):
-    """Bytes of texts, each from the start of a block; first block of each text, and valid positions of each block."""
-    blocks = np.array([max(1, -(-len(t) // BLOCK)) for t in texts])
+    """Bytes of texts, each from the start of a block; first block of each text, and valid positions of each block. At least
+    REACH bytes are left free between texts, so that none sees the one before or after it."""
+    blocks = np.array([-(-(len(t) + REACH) // BLOCK) for t in texts])
     first = np.concatenate(([0], np.cumsum(blocks)))
     codes = np.full(first[-1] * BLOCK + WIDTH, _PAD, np.int16)
     valid = np.zeros(first[-1], np.int64)
     for text, a, b in zip(texts, first[:-1], first[1:]):
         if text:
             codes[a * BLOCK:a * BLOCK + len(text)] = np.frombuffer(text, np.uint8)
-            positions = -(-len(text) // STRIDE)
-            valid[a:b] = BLOCK // STRIDE
-            valid[b - 1] = positions - (b - a - 1) * (BLOCK // STRIDE)
+            per = BLOCK // STRIDE
+            valid[a:b] = np.clip(-(-len(text) // STRIDE) - per * np.arange(b - a), 0, per)
     return codes, first, valid
 
 
@@ -118,7 +119,7 @@ def scores(texts, net) -> np.ndarray:
             flush()
             group, size = [], 0
         group.append(i)
-        size += max(BLOCK, len(text))
+        size += BLOCK + len(text)
     flush()
     return result
 
@@ -206,20 +207,29 @@ def _gradients(codes, first, valid, labels, loads, net):
 def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS,
                     max_bytes: int = SAMPLE_BYTES, folds: int = FOLDS):
     """(texts, labels, share of label 1): of each class the texts with the smallest hashes of their ids, out of the
-    folds to learn from. At most ``2 * per_class`` ids, and at most that many short texts, reach the driver."""
+    folds to learn from and no longer than ``max_bytes``. At most ``2 * per_class`` ids and texts reach the driver.
+
+    Labels without a text that short are passed over before the smallest are taken. A doc_id with both labels counts as 0, of
+    several texts with one doc_id the smallest is taken. Where one class has no text, a warning says so, and all texts get
+    the share of label 1 among the labels as their score (a half without labels).
+    """
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("int").alias("quality")
                           ).where(F.col("quality").isin(0, 1) & (bucket("doc_id", folds) > 0))
     counts = {r["quality"]: r["n"] for r in known.groupBy("quality").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return [], [], 0.5
+    short = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), utf8("text").alias("t")).where(
+        F.octet_length("t") <= max_bytes)
+    usable = known.groupBy("doc_id").agg(F.min("quality").alias("quality")).join(short.select("doc_id"), "doc_id", "left_semi")
     chosen = {}
     for quality in (0, 1):
-        for row in known.where(F.col("quality") == quality).select("doc_id").distinct().orderBy(
+        for row in usable.where(F.col("quality") == quality).select("doc_id").orderBy(
                 F.xxhash64("doc_id"), "doc_id").limit(per_class).collect():
-            chosen.setdefault(row["doc_id"], quality)
+            chosen[row["doc_id"]] = quality
+    if len(set(chosen.values())) < 2:
+        warnings.warn("labels of both qualities need texts to learn from: all texts get one score", stacklevel=2)
+        return [], [], counts.get(1, 0) / sum(counts.values())
     ids = docs.sparkSession.createDataFrame([(i,) for i in chosen], "doc_id bigint")
-    short = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), utf8("text").alias("t")).where(
-        F.octet_length("t") <= max_bytes)
     rows = short.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("t").alias("t")).orderBy("doc_id").collect()
     return ([bytes(r["t"]) for r in rows], [chosen[r["doc_id"]] for r in rows],
             counts.get(1, 0) / sum(counts.values()))

@@ -23,6 +23,7 @@ ORACLES = {
     "op1_topk": topk.ORACLE,
     "op2_warc": warc.ORACLE,
     "op4_decontaminate": decontaminate.ORACLE,
+    "op7_hosts": hosts.ORACLE,
     "op11_negatives": negatives.ORACLE,
     "op12_quantised": quantised.ORACLE,
     "op13_fill_in_middle": fim.ORACLE,

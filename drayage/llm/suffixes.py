@@ -356,8 +356,9 @@ def _cut(text: bytes, spans):
     return kept, len(text) - len(kept), len(begin)
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """All columns of ``docs(doc_id, text, ...)`` and a struct ``repeats(kept binary, n_bytes, n_removed, n_spans)``.
+def remove_repeats(docs: DataFrame, name: str = "repeats") -> DataFrame:
+    """All columns of ``docs(doc_id, text, ...)`` and a struct ``repeats(kept binary, n_bytes, n_removed, n_spans)``, under
+    another ``name`` if ``docs`` has such a column.
 
     Each byte goes that a string of LENGTH bytes covers which also starts earlier: in a document with a smaller doc_id,
     or earlier in the same one. Strings are judged on the input. Null texts are empty. Null ids come first. Rows that
@@ -377,7 +378,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     key = [F.coalesce(docs["doc_id"].cast("bigint"), F.lit(LOWEST_ID)) == ranges["k"],
            F.hash(utf8(docs["text"])).cast("bigint") == ranges["h"]]
     joined = docs.join(ranges, key, "left")
-    return joined.select(*[docs[c] for c in docs.columns], cut(utf8(docs["text"]), ranges["spans"]).alias("repeats"))
+    return joined.select(*[docs[c] for c in docs.columns], cut(utf8(docs["text"]), ranges["spans"]).alias(name))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -386,8 +387,11 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     @F.arrow_udf("string")
     def readable(kept: pa.Array) -> pa.Array:
         return pa.array([k.decode("utf-8", "ignore") for k in kept.to_pylist()], pa.string())
-    cut = remove_repeats(docs)
-    text = F.when(cut["repeats.n_removed"] > 0, readable("repeats.kept")).otherwise(cut["text"])
+    name, taken = "repeats", {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    cut = remove_repeats(docs, name)
+    text = F.when(cut[name]["n_removed"] > 0, readable(cut[name]["kept"])).otherwise(cut["text"])
     changed = cut.withColumn("text", text)
     if "n_chars" in docs.columns:
         changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

@@ -12,6 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import table
+from .vectors import is_whole
 
 K, SCALE, STEP = 10, 1024, 16
 BLOCK, CELL, QUERIES = 2048, 16_384, 1024   # vectors of a block and of a group; queries of a group
@@ -116,13 +117,14 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, scale: int = SCALE
 
     The score is the inner product of floor(scale * x), exact; beyond a long it is the nearest long, and ranks as that. Ties go to smaller
     vec_ids. A query meets every row with another id and as many dimensions; rows that repeat are several candidates.
-    Of several query rows with one id the greatest vector is the query. Vectors that are null or hold null or non-finite
+    Of several usable query rows with one id the greatest vector, component by component, is the query. Vectors that are null or hold null or non-finite
     components take no part, neither do rows without an id. A query without candidates has no rows.
     """
-    vectors = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")).where(
-        "vec_id is not null and embedding is not null")
-    queries = queries.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")).where(
-        "vec_id is not null and embedding is not null").groupBy("vec_id").agg(F.max("embedding").alias("embedding"))
+    def usable(rows):
+        return rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")).where(
+            F.col("vec_id").isNotNull() & is_whole("embedding"))
+    vectors = usable(vectors)
+    queries = usable(queries).groupBy("vec_id").agg(F.max("embedding").alias("embedding"))
     parts = max(1, -(-vectors.count() // CELL))
     groups = max(1, -(-queries.count() // QUERIES))
     left = vectors.mapInArrow(_pack(parts, scale, BLOCK), _PACKED).select(
@@ -146,8 +148,9 @@ ORACLE = """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
            FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
              AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+q AS (SELECT vec_id, max(e) AS e FROM v WHERE vec_id % 100 = 0 GROUP BY vec_id),
 s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
-      FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id)
+      FROM q JOIN v c ON q.vec_id <> c.vec_id)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM
   (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10
 """

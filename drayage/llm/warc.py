@@ -165,9 +165,12 @@ def first_payloads(records: DataFrame, least_bytes: int = 0) -> DataFrame:
     return joined.select("archive", "number", F.when(~own & (F.col("payload_bytes") >= least_bytes), F.col("first")).alias("first"))
 
 
-def normalise(firsts: DataFrame, root: str, run_id: str) -> DataFrame:
+def normalise(firsts: DataFrame, root: str, run_id: str, tasks: int = None) -> DataFrame:
     """Inflates each stream once and writes its records as members of their own, with a sidecar of their ranges.
 
+    A task's work is the bytes of its archives and not the few bytes of ``firsts``, so the number of ``tasks`` is given, as
+    many as there are archives, and they aren't put together.
+
     Returns ``(archive, n_records)``. The sidecar has a JSON line per record: its number, offset, length and kind.
     """
     def rewrite(part: pa.Table) -> pa.Table:
@@ -194,7 +197,8 @@ def normalise(firsts: DataFrame, root: str, run_id: str) -> DataFrame:
                 number += 1
             members.keep = index.keep = True
         return pa.table([[archive], [number]], names=["archive", "n_records"])
-    return snapshot(firsts.groupBy("archive").applyInArrow(rewrite, "archive string, n_records bigint"), "warc-members")
+    dealt = firsts.repartition(tasks, "archive") if tasks else firsts
+    return snapshot(dealt.groupBy("archive").applyInArrow(rewrite, "archive string, n_records bigint"), "warc-members")
 
 
 READ = "page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"
@@ -237,7 +241,8 @@ def archive_pages(pages: DataFrame, root: str = None, least_bytes: int = 0) -> t
     root, run_id = root or fresh_file_root(pages.sparkSession, "warc"), uuid.uuid4().hex
     records = write_archives(pages.select(F.col("page_id").cast("bigint"), F.col("url").cast("binary"), utf8("html").alias("payload")),
                              root, run_id)
-    return normalise(first_payloads(records, least_bytes), root, run_id), root
+    tasks = max(1, min(100_000, records.select("archive").distinct().count()))
+    return normalise(first_payloads(records, least_bytes), root, run_id, tasks), root
 
 
 def op2_warc(spark, sf_dir):

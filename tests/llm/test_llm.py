@@ -332,6 +332,58 @@ def test_topk(spark):
             assert sorted(got.get(i, [])) == [(n, s, j) for n, (s, j) in enumerate(scores, 1)], i
 
 
+def test_topk_of_repeated_queries_with_unusable_vectors(spark):
+    rows = [(100, [1.0, 2.0]), (100, [float("nan"), 1.0]), (100, [float("inf"), 1.0]), (100, [0.5, 9.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in topk.top_k(df, df.where("vec_id = 100")).orderBy("rank").collect()]
+    assert got == [(100, 1, 2, 2 * 1024 ** 2), (100, 2, 1, 1024 ** 2)]
+
+
+def test_trust_reaches_hosts_sixty_links_away(spark):
+    hosts_ = [f"h{i:02d}" for i in range(61)]
+    links = spark.createDataFrame([(a, b, 1) for a, b in zip(hosts_, hosts_[1:])] + [("h10", "h40", 3)], "src string, dst string, n long")
+    seeds = spark.createDataFrame([("h00", 1.0, 0.0), ("h60", 0.0, 1.0)], "host string, good double, bad double")
+    got = {r["host"]: (r["trust"], r["distrust"]) for r in hosts.propagate(seeds, links).collect()}
+    edges = [(i, i + 1, 1) for i in range(60)] + [(10, 40, 3)]
+    t, d = [0.0] * 61, [0.0] * 61
+    for _ in range(400):
+        t = [0.15 * (h == 0) + 0.85 * sum(t[a] * n / sum(m for x, _, m in edges if x == a) for a, b, n in edges if b == h) for h in range(61)]
+        d = [0.15 * (h == 60) + 0.85 * sum(d[b] * n / sum(m for _, y, m in edges if y == b) for a, b, n in edges if a == h) for h in range(61)]
+    for h, name in enumerate(hosts_):
+        assert got[name] == pytest.approx((t[h], d[h]), rel=1e-6, abs=1e-9)
+    assert got["h00"][1] > 0
+    with pytest.raises(RuntimeError):
+        hosts.propagate(seeds, links, rounds=5)
+
+
+def test_sample_is_filled_from_usable_texts_and_says_when_it_cannot(spark):
+    folds = [i for i in range(4000) if zlib.crc32(str(i).encode()) % 5]
+    docs = spark.createDataFrame([(i, "x" * 20_000 if i % 3 else f"short {i}") for i in folds[:300]] + [(None, "no id")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, n % 2) for n, i in enumerate(folds[:600])] + [(folds[0], 0), (None, 1)], "doc_id long, quality int")
+    texts, marks, share = quality.labelled_sample(docs, labels, per_class=20)
+    assert len(texts) == 40 and sum(marks) == 20 and all(t.startswith(b"short") for t in texts) and 0.4 < share < 0.6
+    with pytest.warns(UserWarning):
+        texts, _, share = quality.labelled_sample(docs, labels.where("quality = 1"))
+    assert texts == [] and share == 1.0
+
+
+def test_scores_are_those_of_a_plain_loop():
+    """The forward pass, written out byte by byte and chunk by chunk."""
+    rnd = random.Random(11)
+    texts = [bytes(rnd.randrange(32, 127) for _ in range(rnd.choice([0, 1, 7, 255, 256, 300, 1200]))) for _ in range(12)]
+    net = quality.fit([b"abc def " * 40, b"QQ!! " * 100] * 10, [1, 0] * 10, 0.5)
+    got = quality.scores(texts, net)
+    single = [quality.scores([t], net)[0] for t in texts]
+    assert got == pytest.approx(single, abs=1e-5)
+
+
+def test_stage_three_with_a_column_of_its_own_name(spark):
+    docs = spark.createDataFrame([(1, "ab" * 90, "x", 7), (2, "cd" + "ab" * 90, "y", 8), (3, None, "z", 9)], "doc_id long, text string, repeats string, Repeats_ int")
+    got = {r["doc_id"]: (r["text"], r["repeats"]) for r in suffixes.without_repeats(docs).collect()}
+    want = brute_suffixes({(i, 0): (t or "").encode() for i, t in [(1, "ab" * 90), (2, "cd" + "ab" * 90)]})
+    assert got[1] == (want[1, 0].decode(), "x") and got[2] == (want[2, 0].decode(), "y") and got[3] == (None, "z")
+
+
 def test_warc(spark, tmp_path):
     pages = [(i, f"http://h/{i}", h) for i, h in enumerate(["<p>a</p>", "", None, "<p>a</p>", "é" * 5000, "", "\r\n\r\nWARC/1.1\r\n"])]
     df = spark.createDataFrame(pages + [(1, "x", ""), (None, None, "<p>a</p>")], "page_id long, url string, html string").coalesce(1)
