@@ -81,8 +81,8 @@ def test_links_by_pairs_and_by_variants(spark, pairwise):
     assert {p: label.get(p, p) for p in signed} == want
 
 
-@pytest.mark.parametrize("few, pairwise", [(3, 32), (1, 12)])
-def test_near_copies_of_the_pipeline(spark, docs, few, pairwise):
+@pytest.mark.parametrize("pairwise", [32, 12])
+def test_near_copies_of_the_pipeline(spark, docs, pairwise):
     """One word of 150 replaced far from the others: similar by five-word shingles, more than two bits apart."""
     rnd = random.Random(8)
     vocabulary = [f"w{i}" for i in range(500)]
@@ -112,16 +112,16 @@ def test_near_copies_of_the_pipeline(spark, docs, few, pairwise):
     for i, t in rows(given):
         root = find(brute(t))
         least[root] = min(x for x in (least.get(root), i) if x is not None) if (least.get(root), i) != (None, None) else None
-    found = nearcopies.near_copies(given, few, pairwise).collect()
+    found = nearcopies.near_copies(given, pairwise).collect()
     assert len({r["component"] for r in found}) == len(least) and len(found) == len(rows(given))
-    if few == 3:
+    if pairwise == 32:
         import corpus_pipeline
         kept = corpus_pipeline.drop_near_duplicates(spark, given, "")
         assert sorted(str(i) for i, _ in rows(kept)) == sorted(str(i) for i in least.values())
 
 
 def test_near_copies_with_a_common_head(spark, monkeypatch):
-    """Keys that many sets share which aren't similar: split by further shingles, then hubs until nothing is open."""
+    """Keys that many sets share which aren't similar: hubs until nothing is open."""
     monkeypatch.setattr(nearcopies, "COMMON", 1 << 30)
     rnd = random.Random(9)
     head, texts = [f"h{i}" for i in range(40)], []
@@ -134,7 +134,7 @@ def test_near_copies_with_a_common_head(spark, monkeypatch):
         label = [min(label[j] for j in range(len(texts)) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])) for i in range(len(texts))]
     given = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {}
-    for r in nearcopies.near_copies(given, 1, 6).collect():
+    for r in nearcopies.near_copies(given, 6).collect():
         got.setdefault(r["component"], set()).add(r["doc_id"])
     want = {}
     for i, c in enumerate(label):
