@@ -347,6 +347,7 @@ FROM pairs""",
 
     "copy_objects": COPIES,
     "copy_multipart": COPIES,
+    "copy_parts_store": COPIES,
     "copy_plan": COPIES,
     "grid_copy": COPIES,
 

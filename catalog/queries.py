@@ -343,6 +343,16 @@ def copy_multipart(spark, sf_dir) -> DataFrame:
     return views.digests(spark, dest)
 
 
+def copy_parts_store(spark, sf_dir) -> DataFrame:
+    """Chunks become objects of their own, which are put together three at a time."""
+    root, dest = views.docs_tree(spark, sf_dir), fresh_file_root(spark, "copies")
+    objects = drayage.list_objects(spark, root)
+    plan = drayage.build_plan(objects, chunk_size=SMALL, unique_keys=True)
+    targets = drayage.map_download_targets(objects, "corpus/", "mybucket", "mirror")
+    drayage.copy_parts(plan, targets, root, dest, on_failure="fail", fan_in=3)
+    return views.digests(spark, dest)
+
+
 def copy_plan(spark, sf_dir) -> DataFrame:
     """Documents above one chunk are copied by chunk, the others whole."""
     root, dest = views.docs_tree(spark, sf_dir), fresh_file_root(spark, "copies")
@@ -441,5 +451,5 @@ QUERIES = {query.__name__: query for query in (
     plan_transfer, plan_transfer_fastq, read_ranges, slice_bodies, reassemble_blocks, copy_conflicts,
     complete_manifest, reassemble, verify_transfer, attempt_accounting, remaining_ranges, throughput, progress_ticks,
     progress_ticks_stream, incomplete_uploads, stale_uploads, read_fastq, fastq_boundaries, locate_boundaries,
-    fastq_split, pair_mates, copy_objects, copy_multipart, copy_plan, progress_of_copy, grid_copy, clean_parts, write_split,
+    fastq_split, pair_mates, copy_objects, copy_multipart, copy_parts_store, copy_plan, progress_of_copy, grid_copy, clean_parts, write_split,
     write_fastq_split, incremental_copy, copy_new)}

@@ -1,15 +1,16 @@
 """Unfinished uploads: report and clean-up."""
 
+import contextlib
 import os
 import re
-import shutil
 
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, functions as F
 
 from ..materialize import snapshot
 from ..settings import STAGING_DIR, STALE_AFTER_DAYS
-from ..sources.files import local_path
+from ..sources.files import local_path, open_root
 from ..sources.listing import list_objects
 
 
@@ -37,30 +38,32 @@ def list_uploads(spark, root_uri: str) -> DataFrame:
         "key", "upload_id", "initiated")
 
 
-def clean_parts(report: DataFrame, root_uri: str, dry_run: bool = True) -> DataFrame:
-    """Removes the unfinished bodies of reported uploads: key, upload_id, action.
+def clean_parts(report: DataFrame, root_uri: str, dry_run: bool = True, open_dest=open_root) -> DataFrame:
+    """Removes the unfinished bodies, and part objects, of reported uploads: key, upload_id, action. Also in object stores,
+    through the file system that ``open_dest`` returns for the root.
 
     ``would_remove`` in a dry run, else ``removed``, ``absent`` or ``failed``.
     """
-    root = local_path(root_uri)
-    if root is None:
-        raise ValueError("unfinished bodies live on mounted file systems")
+    def there(fs, path):
+        return fs.get_file_info(path).type == pafs.FileType.Directory
 
     def clean(batches):
+        fs, root = open_dest(root_uri)
         for rows in batches:
             actions = []
             for upload_id in rows.column("upload_id").to_pylist():
                 if not re.fullmatch(r"[0-9A-Za-z_-]+", upload_id):
                     actions.append("failed")
                     continue
-                path = os.path.join(root, STAGING_DIR, upload_id)
-                if not os.path.isdir(path):
+                path = f"{root}/{STAGING_DIR}/{upload_id}"
+                if not there(fs, path):
                     actions.append("absent")
                 elif dry_run:
                     actions.append("would_remove")
                 else:
-                    shutil.rmtree(path, ignore_errors=True)
-                    actions.append("failed" if os.path.isdir(path) else "removed")
+                    with contextlib.suppress(OSError):
+                        fs.delete_dir(path)
+                    actions.append("failed" if there(fs, path) else "removed")
             yield pa.RecordBatch.from_arrays([rows.column("key"), rows.column("upload_id"), pa.array(actions)],
                                              names=["key", "upload_id", "action"])
 

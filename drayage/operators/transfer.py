@@ -277,6 +277,24 @@ def _copy_ranges(work, source, dest_root, run_id, threads, on_failure, status_ro
         return CopyResult(parts, publish_copies(parts, dest_root, threads, on_failure))
 
 
+def upload_parts(parts: DataFrame) -> DataFrame:
+    """One row per upload of the ``parts`` of copy calls: how many of them are done or failed, their bytes and an error. A
+    part that was sent several times counts once, as done if one of them is."""
+    is_done = F.col("status") == "done"
+    upload = ["key", "target", "upload_id"]
+    one_each = parts.groupBy(*upload, "part_number").agg(
+        F.max(is_done).alias("done"), F.max(F.when(is_done, F.col("bytes"))).alias("bytes"),
+        F.max("n_parts").alias("n_parts"), F.max("target_size").alias("target_size"), F.max("error").alias("error"),
+        F.sum("responses").alias("responses"))
+    return one_each.groupBy(*upload).agg(
+        F.max("n_parts").alias("n_parts"), F.max("target_size").alias("target_size"),
+        F.coalesce(F.sum("bytes"), F.lit(0).cast("bigint")).alias("bytes"),
+        F.count(F.when(F.col("done"), 1)).cast("int").alias("done_parts"),
+        F.count(F.when(~F.col("done"), 1)).cast("int").alias("failed_parts"),
+        F.max(F.when(~F.col("done"), F.col("error"))).alias("error"),
+        F.sum("responses").cast("int").alias("responses"))
+
+
 def publish_copies(parts: DataFrame, dest_root: str, threads: int = 4, on_failure: str = "report") -> DataFrame:
     """Makes targets visible whose parts are all done, given the ``parts`` of one or more copy calls of one run.
 
@@ -301,19 +319,7 @@ def publish_copies(parts: DataFrame, dest_root: str, threads: int = 4, on_failur
             status.update(status="failed", error=str(error))
         return status
 
-    is_done = F.col("status") == "done"
-    upload = ["key", "target", "upload_id"]
-    one_each = parts.groupBy(*upload, "part_number").agg(
-        F.max(is_done).alias("done"), F.max(F.when(is_done, F.col("bytes"))).alias("bytes"),
-        F.max("n_parts").alias("n_parts"), F.max("target_size").alias("target_size"), F.max("error").alias("error"),
-        F.sum("responses").alias("responses"))
-    whole = one_each.groupBy(*upload).agg(
-        F.max("n_parts").alias("n_parts"), F.max("target_size").alias("target_size"),
-        F.coalesce(F.sum("bytes"), F.lit(0).cast("bigint")).alias("bytes"),
-        F.count(F.when(F.col("done"), 1)).cast("int").alias("done_parts"),
-        F.count(F.when(~F.col("done"), 1)).cast("int").alias("failed_parts"),
-        F.max(F.when(~F.col("done"), F.col("error"))).alias("error"),
-        F.sum("responses").cast("int").alias("responses"), F.lit(0).cast("bigint").alias("part_size"))
+    whole = upload_parts(parts).withColumn("part_size", F.lit(0).cast("bigint"))
     objects = _run(whole, publish, threads, "published")
     drop_staging(dest_root)
     objects = check_copies(objects, on_failure)
