@@ -1,7 +1,8 @@
 """Main text of pages by a tree-structured graphical model over the elements of the page.
 
-Each element is content or not. What is seen of it (its tag, names in its attributes, its own text, how much of its text is
-links) and the label of its parent bear on its label, through tables learned by counting on labelled pages. Messages go
+Each element is content or not. What is seen of it (names in its attributes, its own text, how much of its text is links) bears
+on its label, and so does the label of its parent, by a table for each tag and one for names of what stands around an
+article: a list goes with its parent, a menu doesn't. The tables are learned by counting on labelled pages. Messages go
 from the leaves up and from the root down, and give each element's marginal; text in elements that are likelier content
 than not is the main text. Pages that mark their article with an element label themselves; a few pages labelled by hand,
 with other layouts, are learned with them.
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 from .common import small_batches, table, utf8
 
 SAMPLE_PAGES, SAMPLE_BYTES = 400, 65_536    # pages to learn from, and their greatest length
-HAND_WEIGHT = 20                            # a hand-labelled page counts as so many
+HAND_WEIGHT, PRIOR = 20, 1                  # a hand-labelled page counts as so many; counts of all pairs added to those of a kind
 
 RAW = "script|style|title|textarea|noscript|iframe"
 ATTRS = r"""(?:=\s*(?:"[^"]*"|'[^']*')|[^>])*+"""     # a quote counts only after an equals sign
@@ -43,7 +44,10 @@ SCOPES = frozenset(["object", "button", "template"])     # an opening tag in one
 NEVER = HIDDEN | {"nav", "aside", "footer", "form", "head"}
 AROUND = ("nav menu header footer sidebar aside ad ads advert advertisement banner promo sponsor cookie notice consent "
           "comment comments reply respond share social related newsletter subscribe login search breadcrumb breadcrumbs widget "
-          "popup modal pagination pager toolbar masthead disqus").split()
+          "popup modal pagination pager toolbar masthead disqus "
+          "kommentar kommentare werbung anzeige hinweis seitenleiste fusszeile kopfzeile "
+          "commentaire commentaires publicite avis annonce barre pied "
+          "comentario comentarios publicidad anuncio aviso lateral").split()
 WITHIN = "article content main post entry story body text page".split()
 
 
@@ -53,6 +57,7 @@ class Page:
     def __init__(self, source: str):
         self.tags, self.names, self.parents = ["#"], [""], [-1]
         self.runs, self.closed, block, stack = [], set(), 0, [0]
+        self.open = Counter()       # open elements by tag: what isn't open needn't be looked for
         for token in TOKEN.finditer(source):
             text = token.group("text")
             if text is not None:
@@ -67,10 +72,10 @@ class Page:
             elif tag == "br":
                 self.runs.append((stack[-1], block, " "))
             if token.group("end"):
-                at = next((i for i in range(len(stack) - 1, 0, -1) if self.tags[stack[i]] == tag), 0)
-                if at:
+                if self.open[tag]:
+                    at = next(i for i in range(len(stack) - 1, 0, -1) if self.tags[stack[i]] == tag)
                     self.closed.add(stack[at])
-                    del stack[at:]
+                    self._leave(stack, at)
                 continue
             attrs = token.group("attrs")
             if tag in BLOCKS and tag != "hr":
@@ -83,12 +88,20 @@ class Page:
             self.tags.append(tag)
             self.names.append(" ".join(a or b or c for a, b, c in NAMES.findall(attrs)).lower() if attrs else "")
             stack.append(len(self.tags) - 1)
+            self.open[tag] += 1
+
+    def _leave(self, stack, at):
+        for element in stack[at:]:
+            self.open[self.tags[element]] -= 1
+        del stack[at:]
 
     def _close(self, stack, tags, limit):
+        if not any(self.open[tag] for tag in tags):
+            return
         for i in range(len(stack) - 1, 0, -1):
             tag = self.tags[stack[i]]
             if tag in tags:
-                del stack[i:]
+                self._leave(stack, i)
                 return
             if tag in limit or tag in SCOPES:
                 return
@@ -106,13 +119,17 @@ class Page:
             if i:
                 all_[self.parents[i]] += all_[i]
                 linked[self.parents[i]] += linked[i]
-        return [(("tag", tag), ("name", _kind(names)), ("own", min(8, o.bit_length())),
+        return [(("name", _kind(names)), ("own", min(8, o.bit_length())),
                  ("links", 0 if not link else 1 + min(3, 4 * link // max(1, a))))
-                for tag, names, o, a, link in zip(self.tags, self.names, own, all_, linked)]
+                for names, o, a, link in zip(self.names, own, all_, linked)]
+
+    def pair_kinds(self):
+        """Which table joins each element with its parent: that of its tag, or of what stands around an article."""
+        return ["#around" if _kind(names) == "around" else tag for tag, names in zip(self.tags, self.names)]
 
     def labels(self, label_of=None):
-        """1 inside a marked article, but for elements that never belong to one."""
-        label_of = label_of or (lambda tag, names: 0 if tag in NEVER else 1 if tag in MARKED else None)
+        """1 inside a marked article, but for elements that never belong to one, by their tag or their names."""
+        label_of = label_of or (lambda tag, names: 0 if tag in NEVER else 1 if tag in MARKED else 0 if _kind(names) == "around" else None)
         out = [0]
         for i in range(1, len(self.tags)):
             given = label_of(self.tags[i], self.names[i])
@@ -166,7 +183,17 @@ mail</p></form></main><footer data-label="0"><p>All rights reserved</p></footer>
 <html><body><article data-label="1"><header data-label="1"><h1>Title in the article</h1></header><p>What it says.</p><div
 class="share" data-label="0"><a href="/t">Share</a></div><figure><figcaption>A picture</figcaption></figure><div
 class="newsletter" data-label="0"><p>Subscribe to our letter</p></div><div class="comments" data-label="0"><p>I disagree with
-what is said here.</p></div></article><div class="banner" data-label="0"><p>A notice</p></div></body></html>"""]
+what is said here.</p></div><nav data-label="0"><a href="/n">Next</a></nav><aside data-label="0">By the way</aside><footer
+data-label="0"><p>The site, its year and its address, and what else a footer says.</p></footer></article><div class="banner" data-label="0"><p>A notice</p></div></body></html>""", """
+<html><body><ul class="menu" data-label="0"><li><a href="/1">One</a></li><li><a href="/2">Two</a></li></ul><article
+data-label="1"><h1>Shopping</h1><ul><li>milk</li><li>eggs and <a href="/b">bread</a></li></ul><ol><li><p>Go there.</p></li><li><a
+href="/c">Come back.</a></li></ol><p><a href="/d">A paragraph that is one link</a></p><dl><dt>Term</dt><dd>What it means</dd></dl><table><tr><th>Head</th><td>7</td></tr></table><div
+id="disqus_thread" data-label="0"><p>I disagree with this.</p></div><section id="comments" data-label="0"><ol><li><p>Me
+too.</p></li></ol></section><div class="cookie-banner" data-label="0"><p>We use cookies.</p></div><nav data-label="0"><a href="/p">Previous</a></nav><aside data-label="0"><p>Aside.</p></aside><form
+data-label="0"><label>Mail</label></form><footer data-label="0">All rights reserved</footer></article></body></html>""", """
+<html><body><div id="nav" data-label="0"><ul><li><a href="/1">Eins</a></li></ul></div><div class="article" data-label="1"><h1>Titel</h1><p>Ein
+Absatz.</p><ul><li>Ein Punkt</li></ul><div class="kommentare" data-label="0"><h2>Kommentare</h2><ul><li>Das sehe ich
+anders.</li></ul></div></div><div class="footer" data-label="0"><ul><li><a href="/i">Impressum</a></li></ul></div></body></html>"""]
 
 
 def _hand_labelled(source):
@@ -185,15 +212,16 @@ def _hand_labelled(source):
 
 @dataclasses.dataclass
 class Model:
-    """Logs: root[label], child[parent label][label], and seen[(kind, value)] = (label 0, label 1)."""
+    """Logs: root[label], child[pair kind][parent label][label], any for other pair kinds, seen[(kind, value)] = (label 0, label 1)."""
     root: tuple
-    child: tuple
+    child: dict
+    any: tuple
     seen: dict
     unseen: dict
 
     def marginals(self, page: Page) -> list[float]:
         """Probability of each element to be content, by sum-product messages up and down the tree."""
-        n, (c0, c1) = len(page.tags), self.child
+        n, joins = len(page.tags), [self.child.get(kind, self.any) for kind in page.pair_kinds()]
         up0, up1 = [0.0] * n, [0.0] * n
         for i, values in enumerate(page.seen()):
             for value in values:
@@ -202,6 +230,7 @@ class Model:
                 up1[i] += b
         send0, send1 = [0.0] * n, [0.0] * n
         for i in range(n - 1, 0, -1):       # a parent stands before its children
+            c0, c1 = joins[i]
             send0[i], send1[i] = _add(c0[0] + up0[i], c0[1] + up1[i]), _add(c1[0] + up0[i], c1[1] + up1[i])
             p = page.parents[i]
             up0[p] += send0[i]
@@ -209,7 +238,7 @@ class Model:
         down0, down1, out = [self.root[0]] * n, [self.root[1]] * n, []
         for i in range(n):
             if i:
-                p = page.parents[i]
+                p, (c0, c1) = page.parents[i], joins[i]
                 rest0, rest1 = down0[p] + up0[p] - send0[i], down1[p] + up1[p] - send1[i]
                 down0[i], down1[i] = _add(rest0 + c0[0], rest1 + c1[0]), _add(rest0 + c0[1], rest1 + c1[1])
             x = down0[i] + up0[i] - down1[i] - up1[i]
@@ -226,13 +255,14 @@ def _add(a, b):
 
 
 def fit(pages) -> Model:
-    """Tables by counting, one added to each; ``pages`` are (page, labels, weight)."""
-    labels, moves, seen = Counter(), Counter(), Counter()
+    """Tables by counting, one added to each, those of a pair kind on top of a few counts of all; ``pages`` are (page, labels, weight)."""
+    labels, moves, by_kind, seen = Counter(), Counter(), Counter(), Counter()
     for page, given, weight in pages:
-        for i, values in enumerate(page.seen()):
+        for i, (values, kind) in enumerate(zip(page.seen(), page.pair_kinds())):
             labels[given[i]] += weight
             if i:
                 moves[given[page.parents[i]], given[i]] += weight
+                by_kind[kind, given[page.parents[i]], given[i]] += weight
             for value in values:
                 seen[value, given[i]] += weight
     kinds = Counter(kind for kind, _ in {value for value, _ in seen})
@@ -241,11 +271,17 @@ def fit(pages) -> Model:
         return math.log((n + 1) / (of + kinds_ + 1))
     table_ = {value: tuple(log(seen[value, y], labels[y], kinds[value[0]]) for y in (0, 1)) for value, _ in seen}
     rare = {kind: tuple(log(0, labels[y], n) for y in (0, 1)) for kind, n in kinds.items()}
-    unseen = {kind: rare.get(kind, (0.0, 0.0)) for kind in ("tag", "name", "own", "links")}
+    unseen = {kind: rare.get(kind, (0.0, 0.0)) for kind in ("name", "own", "links")}
     # a value never seen says nothing by itself: the classes differ in size only
     unseen = {kind: (max(v), max(v)) for kind, v in unseen.items()}
-    child = tuple(tuple(math.log((moves[x, y] + 1) / (moves[x, 0] + moves[x, 1] + 2)) for y in (0, 1)) for x in (0, 1))
-    return Model((math.log(0.99), math.log(0.01)), child, table_, unseen)
+    share = [[(moves[x, y] + 1) / (moves[x, 0] + moves[x, 1] + 2) for y in (0, 1)] for x in (0, 1)]
+
+    def table_of(kind):
+        return tuple(tuple(math.log((by_kind[kind, x, y] + PRIOR * share[x][y]) / (by_kind[kind, x, 0] + by_kind[kind, x, 1] + PRIOR))
+                           for y in (0, 1)) for x in (0, 1))
+    child = {kind: table_of(kind) for kind in {k for k, _, _ in by_kind}}
+    any_ = tuple(tuple(math.log(v) for v in row) for row in share)
+    return Model((math.log(0.99), math.log(0.01)), child, any_, table_, unseen)
 
 
 def learn(pages: DataFrame, sample: int = SAMPLE_PAGES, max_bytes: int = SAMPLE_BYTES) -> Model:

@@ -4,6 +4,7 @@ import hashlib
 import io
 import math
 import random
+import time
 import zlib
 
 import numpy as np
@@ -448,7 +449,7 @@ def test_marginals_are_those_of_all_labellings():
         log = model.root[labels[0]]
         for i, values in enumerate(page.seen()):
             log += sum((model.seen.get(v) or model.unseen[v[0]])[labels[i]] for v in values)
-            log += model.child[labels[page.parents[i]]][labels[i]] if i else 0
+            log += model.child.get(page.pair_kinds()[i], model.any)[labels[page.parents[i]]][labels[i]] if i else 0
         totals = [t + math.exp(log) * y for t, y in zip(totals, labels)] + [0] * 0
         totals_all = locals().get("totals_all", 0.0) + math.exp(log)
     assert model.marginals(page) == pytest.approx([t / totals_all for t in totals], rel=1e-6)
@@ -564,3 +565,26 @@ def test_packing_of_one_length_is_bounded(length):
     assert all(sorted(v)[0][0] == 0 and sum(n for _, n in v) == length for v in of_doc.values()) and len(of_doc) == 500
     tails = sorted(n for n in sizes.values() if n != 2048)
     assert len(set(tails)) == len(tails) and all(n & n - 1 == 0 for n in tails)
+
+
+def test_main_text_keeps_lists_and_drops_what_stands_around():
+    pages = [f"<html><body><nav><ul><li><a href=/>Home {i}</a></li></ul></nav><article><h1>T</h1><p>Words of page {i}.</p><p>And more.</p></article>"
+             f"<footer><p>Foot</p></footer></body></html>" for i in range(200)]
+    model = maintext.fit([(p, p.labels(), 1) for p in map(maintext.Page, pages)] + [(*maintext._hand_labelled(x), maintext.HAND_WEIGHT) for x in maintext.BY_HAND])
+    text = "<p>What the article says, in a sentence of usual length.</p>"
+    for inside, wanted in [
+            ("<h1>T</h1><ul><li>milk</li><li>eggs</li></ul><p>x</p>", "T\nmilk\neggs\nx"), ("<p><a href=/x>One link only</a></p>", "One link only"),
+            ("<table><tr><td>a</td><td>b</td></tr></table>", "a\nb"), ('<div id="disqus_thread"><p>I disagree entirely with this.</p></div>', ""),
+            ('<section id="comments"><ol><li><p>First comment here.</p></li></ol></section>', ""),
+            ('<div class="cookie-banner"><p>We use cookies on this site.</p></div>', ""), ('<div class="kommentare"><p>Das sehe ich anders.</p></div>', ""),
+            ('<div class="commentaires"><p>Je ne suis pas d\'accord.</p></div>', ""), ('<div id="comentarios"><ul><li>No lo creo.</li></ul></div>', "")]:
+        for tag in ("article", "main"):
+            got = model.main_text(f"<html><body><nav><ul><li><a href=/>Home</a></li></ul></nav><{tag}>{text}{inside}{text}</{tag}><footer>foot</footer></body></html>")
+            line = "What the article says, in a sentence of usual length."
+            assert got == "\n".join(x for x in (line, wanted, line) if x), (tag, inside)
+
+
+def test_unmatched_tags_cost_little():
+    begin = time.time()
+    page = maintext.Page("<b>" * 100_000 + "</i>" * 100_000 + "<p>" + "</u>" * 1000)
+    assert len(page.tags) == 100_002 and time.time() - begin < 10
