@@ -142,6 +142,8 @@ ORACLES = {
 
     "list_objects": f"WITH {DOCS} SELECT key, size, false AS is_marker FROM docs",
 
+    "list_pages": f"WITH {DOCS} SELECT key, size, false AS is_marker FROM docs",
+
     "head_objects": f"""WITH {DOCS}
 SELECT key, size, 'found' AS status FROM docs
 UNION ALL SELECT replace(key, '.txt', '.bin'), NULL, 'not_found' FROM docs""",

@@ -30,6 +30,12 @@ def list_objects(spark, sf_dir) -> DataFrame:
     return drayage.list_objects(spark, views.docs_tree(spark, sf_dir), "corpus/").select("key", "size", "is_marker")
 
 
+def list_pages(spark, sf_dir) -> DataFrame:
+    """Documents as a flat store that lists 50 keys a page."""
+    store = views.StoredPages(spark, views.objects_docs(spark, sf_dir))
+    return drayage.list_pages(spark, store, "corpus/", page_size=50).select("key", "size", "is_marker")
+
+
 def head_objects(spark, sf_dir) -> DataFrame:
     docs = views.objects_docs(spark, sf_dir)
     wanted = docs.select("key").unionByName(docs.select(F.replace("key", F.lit(".txt"), F.lit(".bin")).alias("key")))
@@ -445,7 +451,7 @@ def _copied_once(spark, dest, copied) -> DataFrame:
 
 
 QUERIES = {query.__name__: query for query in (
-    objects_docs, objects_pages, list_objects, head_objects, path_list, parse_uri, prefix_filter, download_targets,
+    objects_docs, objects_pages, list_objects, list_pages, head_objects, path_list, parse_uri, prefix_filter, download_targets,
     upload_keys, attach_metadata, bind_targets, classify_transfer, plan_parts, build_plan, grid_assign, grid_slice,
     split_rebase, node_summary, transfer_summary, slice_summary, grid_bind_targets, head_plan, upload_plan,
     plan_transfer, plan_transfer_fastq, read_ranges, slice_bodies, reassemble_blocks, copy_conflicts,

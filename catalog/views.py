@@ -1,5 +1,8 @@
 """The given tables seen as inventories, logs and files."""
 
+import bisect
+
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, functions as F
 
 import drayage
@@ -93,3 +96,25 @@ def fastq_tree(spark, sf_dir) -> str:
 def digests(spark, root: str) -> DataFrame:
     """What is stored below a root: key, size, md5."""
     return drayage.file_digests(drayage.list_objects(spark, root, staging=False), root)
+
+
+class StoredPages:
+    """A store that lists pages: a sorted table of keys and sizes, of which a page reads the files it needs."""
+
+    def __init__(self, spark, objects: DataFrame):
+        path = fresh_file_root(spark, "store")
+        objects.select("key", "size").sort("key").write.mode("append").option("maxRecordsPerFile", 2000).parquet(path)
+        first = spark.read.parquet(path).groupBy(F.input_file_name().alias("file")).agg(F.min("key").alias("first"))
+        self.files = sorted((row["first"], row["file"].removeprefix("file://")) for row in first.collect())
+
+    def page(self, prefix, after, limit):
+        low, found = max(prefix, after), []
+        at = max(0, bisect.bisect_right([first for first, _ in self.files], low) - 1)
+        for _, file in self.files[at:]:
+            rows = pq.read_table(file)
+            keys, sizes = rows.column("key").to_pylist(), rows.column("size").to_pylist()
+            fit = [(key, size, None) for key, size in zip(keys, sizes) if key > after and key.startswith(prefix)]
+            found += fit[:limit - len(found)]
+            if len(found) == limit or keys[-1] > prefix and not keys[-1].startswith(prefix):
+                break
+        return found
