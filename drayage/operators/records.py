@@ -10,8 +10,6 @@ from ..plans.chunking import plan_parts
 from ..settings import effective_chunk_size
 from ..sources.fastq import line_positions, parse_records
 
-SPAN = 1 << 30
-
 
 def fastq_boundaries(records: DataFrame, assigned: DataFrame, chunk_size=None) -> DataFrame:
     """Byte range of each node that has chunks of a key: key, node, start, end.
@@ -88,28 +86,23 @@ def aligned_parts(boundaries: DataFrame, chunk_size=None) -> DataFrame:
 
 
 def fastq_split(records: DataFrame, boundaries: DataFrame) -> DataFrame:
-    """``records`` + node: the last node whose aligned start is at or before the record; null for files without nodes.
+    """``records`` + node: the node in whose aligned range the record starts; null for files without nodes.
 
-    A record is compared with the starts inside its own GiB of the file only. These small lists are the joined table,
-    one row per key and GiB: broadcast if they are counted to be few, else shuffled by key and GiB, which also cuts a
-    file that holds most of the records.
+    Ranges are cut at multiples of their mean size, which makes three pieces per range at most, however large the files
+    are. A record meets the pieces between its two multiples, one to three where ranges are about equal. The pieces are
+    broadcast if they are counted to be few; else both sides are shuffled by key and multiple, which also cuts a file that holds
+    most of the records.
     """
-    ordered = F.array_sort(F.collect_list(F.struct("start", "node")))
-    per_key = boundaries.groupBy("key").agg(ordered.alias("starts"), F.max("end").alias("size"))
-    spans = per_key.withColumn("span", F.explode(F.sequence(F.lit(0).cast("bigint"), int_div(F.col("size"), SPAN))))
-    low = F.col("span") * SPAN
-    inside = F.filter("starts", lambda s: (s["start"] >= low) & (s["start"] < low + SPAN))
-    lists = spans.select(
-        "key", "span",
-        F.try_element_at(F.filter("starts", lambda s: s["start"] < low), F.lit(-1))["node"].alias("entered"),
-        F.transform(inside, lambda s: s["start"]).alias("inside"),
-        F.transform(inside, lambda s: s["node"]).alias("inside_nodes"))
-    lists = broadcast_if_bounded(snapshot(lists, "record-spans"), weight=F.size("inside") + 1)
-
-    located = records.withColumn("span", int_div(F.col("start_offset"), SPAN)).join(lists, ["key", "span"], "left")
-    passed = F.size(F.filter("inside", lambda start: start <= F.col("start_offset")))
-    node = F.coalesce(F.get("inside_nodes", passed - 1), F.col("entered"))
-    return located.withColumn("node", node).drop("span", "entered", "inside", "inside_nodes")
+    ranges = snapshot(boundaries.where(F.col("end") > F.col("start")).select("key", "start", "end", "node"), "node-ranges")
+    width = F.lit(int(ranges.agg(F.avg(F.col("end") - F.col("start"))).first()[0] or 0) + 1).cast("bigint")
+    pieces = F.sequence(int_div(F.col("start"), width), int_div(F.col("end") - 1, width))
+    cut = ranges.select(F.col("key").alias("_key"), F.col("start").alias("_start"), F.col("end").alias("_end"), "node",
+                        F.explode(pieces).alias("_piece"))
+    near = broadcast_if_bounded(snapshot(cut, "node-pieces"))
+    at = F.col("start_offset")
+    inside = ((F.col("key") == F.col("_key")) & (int_div(at, width) == F.col("_piece"))
+              & (F.col("_start") <= at) & (at < F.col("_end")))
+    return records.join(near, inside, "left").drop("_key", "_piece", "_start", "_end")
 
 
 def pair_mates(records: DataFrame) -> DataFrame:

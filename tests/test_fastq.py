@@ -1,9 +1,9 @@
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-import pyarrow as pa
 import drayage
 from drayage.sources import fastq
 from drayage.materialize import snapshot
@@ -165,8 +165,7 @@ def test_boundaries_need_the_chunk_size_of_the_plan(spark, reads):
         drayage.fastq_boundaries(drayage.read_fastq_objects(objects, root), assigned, 100).collect()
 
 
-def test_split_over_several_spans(spark, monkeypatch):
-    monkeypatch.setattr("drayage.operators.records.SPAN", 10)
+def test_split_over_several_spans(spark):
     bounds = spark.createDataFrame([("k", 1, 0, 3), ("k", 2, 3, 3), ("k", 4, 3, 47), ("k", 5, 47, 60)],
                                    "key string, node int, start bigint, end bigint")
     records = spark.createDataFrame([("k", s) for s in (0, 2, 3, 9, 10, 30, 46, 47, 59)] + [("other", 60)],
@@ -175,6 +174,27 @@ def test_split_over_several_spans(spark, monkeypatch):
     assert got == {0: 1, 2: 1, 3: 4, 9: 4, 10: 4, 30: 4, 46: 4, 47: 5, 59: 5, 60: None}
 
 
+def test_split_equals_search_in_uneven_ranges(spark):
+    rng, ranges, wanted = random.Random(7), [], {}
+    for key in ("a", "b", "c"):
+        cuts = sorted(rng.choices(range(5000), k=12) + rng.choices(range(40), k=8))     # some ranges are empty, many are short
+        bounds = [0, *cuts, 5000]
+        ranges += [(key, node, low, high) for node, (low, high) in enumerate(zip(bounds, bounds[1:]), 1)]
+        for at in range(0, 5000, 7):
+            wanted[key, at] = [node for k, node, low, high in ranges if k == key and low <= at < high]
+    records = spark.createDataFrame(list(wanted), "key string, start_offset bigint").withColumn("end", F.lit("kept"))
+    bounds = spark.createDataFrame(ranges, "key string, node int, start bigint, end bigint")
+    split = drayage.fastq_split(records, bounds)
+    assert split.columns == ["key", "start_offset", "end", "node"]
+    rows = split.collect()
+    assert len(rows) == len(wanted) and {(r["key"], r["start_offset"]): [r["node"]] for r in rows} == wanted
+    assert not [field for field in split.schema if field.dataType.typeName() == "array"]
+    plan = split._jdf.queryExecution().optimizedPlan().toString()
+    assert "array" not in plan.lower() and "collect_list" not in plan
+    none = drayage.fastq_split(records, bounds.where("false")).collect()
+    assert len(none) == len(wanted) and all(r["node"] is None for r in none)
+
+
 def test_pairs(spark):
     records = spark.createDataFrame([("f", "a", "1", 0), ("f", "a", "2", 9), ("f", "b", "1", 20), ("f", "c", "2", 30),
                                      ("f", "d", None, 40), ("g", "b", "2", 0)],
