@@ -38,6 +38,16 @@ slices AS (
   SELECT parts.*, substring(hex(body), CAST(2 * input_offset + 1 AS BIGINT), CAST(2 * part_size AS BIGINT)) AS slice
   FROM parts JOIN docs USING (key))"""
 
+
+
+def tree_level(level: int) -> str:
+    """Three neighbours of the level below become one, unless they are the last."""
+    return f"""t{level} AS (
+  SELECT key, number // 3 AS number,
+         CASE WHEN max(n) = 1 THEN max(digest) ELSE md5(string_agg(digest, '' ORDER BY number)) END AS digest
+  FROM (SELECT *, count(*) OVER (PARTITION BY key) AS n FROM t{level - 1}) GROUP BY key, number // 3)"""
+
+
 RANGES = f"""WITH {SLICES}
 SELECT key, part_number, input_offset, part_size AS bytes_read,
        CASE WHEN part_size > 0 THEN 'bytes=' || CAST(input_offset AS VARCHAR) || '-'
@@ -286,6 +296,11 @@ FROM tagged GROUP BY key""",
 
     "reassemble": f"WITH {DOCS} SELECT key, size, md5(body) AS body_md5 FROM docs",
 
+    "object_digests": f"""WITH {SLICES},
+t0 AS (SELECT key, part_number - 1 AS number, md5(unhex(slice)) AS digest FROM slices), {", ".join(map(tree_level, range(1, 10)))}
+SELECT key, size, n_parts, 'complete' AS status, digest AS tree_digest
+FROM t9 JOIN docs USING (key) JOIN (SELECT key, max(n_parts) AS n_parts FROM slices GROUP BY key) USING (key)""",
+
     "verify_transfer": f"""WITH {DOCS}, copied AS (
   SELECT key, CAST(length(body) AS BIGINT) AS size FROM docs WHERE lang <> 'de'
   UNION ALL SELECT url, CAST(strlen(html) AS BIGINT) FROM pages)

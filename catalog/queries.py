@@ -224,6 +224,11 @@ def reassemble_blocks(spark, sf_dir) -> DataFrame:
                                                               F.md5(F.hex("body")).alias("hex_md5"))
 
 
+def object_digests(spark, sf_dir) -> DataFrame:
+    parts = drayage.slice_bodies(views.objects_docs(spark, sf_dir), SMALL)
+    return drayage.object_digests(parts, fan_in=3)
+
+
 def verify_transfer(spark, sf_dir) -> DataFrame:
     """Bodies counted in characters, one language not copied, pages that nobody asked for."""
     docs = views.table(spark, sf_dir, "documents")
@@ -455,7 +460,7 @@ QUERIES = {query.__name__: query for query in (
     upload_keys, attach_metadata, bind_targets, classify_transfer, plan_parts, build_plan, grid_assign, grid_slice,
     split_rebase, node_summary, transfer_summary, slice_summary, grid_bind_targets, head_plan, upload_plan,
     plan_transfer, plan_transfer_fastq, read_ranges, slice_bodies, reassemble_blocks, copy_conflicts,
-    complete_manifest, reassemble, verify_transfer, attempt_accounting, remaining_ranges, throughput, progress_ticks,
+    complete_manifest, reassemble, object_digests, verify_transfer, attempt_accounting, remaining_ranges, throughput, progress_ticks,
     progress_ticks_stream, incomplete_uploads, stale_uploads, read_fastq, fastq_boundaries, locate_boundaries,
     fastq_split, pair_mates, copy_objects, copy_multipart, copy_parts_store, copy_plan, progress_of_copy, grid_copy, clean_parts, write_split,
     write_fastq_split, incremental_copy, copy_new)}

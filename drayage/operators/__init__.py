@@ -1,4 +1,4 @@
-from .accounting import (attempt_accounting, complete_manifest, manifest_parts, node_summary, reassemble,
+from .accounting import (attempt_accounting, complete_manifest, manifest_parts, node_summary, object_digests, reassemble,
                          reassemble_blocks, throughput, transfer_summary, verify_transfer)
 from .joins import bind_targets, incomplete_uploads, remaining_ranges
 from .keys import attach_metadata, filter_prefix, map_download_targets, map_upload_keys, parse_object_uri
@@ -11,6 +11,6 @@ from .transfer import (CopyResult, TransferFailed, copy_multipart, copy_objects,
 __all__ = ["CopyResult", "TransferFailed", "attach_metadata", "attempt_accounting", "bind_targets", "clean_parts",
            "commit_parts", "complete_manifest", "copy_multipart", "copy_objects", "copy_parts", "copy_plan", "fastq_boundaries", "fastq_split",
            "filter_prefix", "finished_chunks", "incomplete_uploads", "list_uploads", "locate_boundaries",
-           "manifest_parts", "map_download_targets", "map_upload_keys", "node_summary", "pair_mates", "parse_object_uri",
+           "manifest_parts", "map_download_targets", "map_upload_keys", "node_summary", "object_digests", "pair_mates", "parse_object_uri",
            "publish_copies", "reassemble", "reassemble_blocks", "remaining_ranges", "stale_uploads", "throughput", "transfer_summary",
            "verify_transfer", "write_objects", "write_split"]

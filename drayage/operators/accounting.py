@@ -3,11 +3,13 @@
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import format_bytes, int_div
+from ..materialize import snapshot
 from ..plans.indexing import unique_objects
 from ..settings import MAX_RESPONSES_PER_TRY, MAX_TRIES, MAX_UPLOAD_PARTS
 
 MAX_REASSEMBLED_BYTES = 1 << 30
 REASSEMBLED_BLOCK = 64 << 20
+DIGEST_FAN_IN = 1_000
 
 
 def transfer_summary(plan: DataFrame) -> DataFrame:
@@ -164,6 +166,42 @@ def reassemble_blocks(parts: DataFrame, block_size: int = REASSEMBLED_BLOCK) ->
                         F.md5(body).alias("body_md5"))
 
 
+def object_digests(parts: DataFrame, fan_in: int = DIGEST_FAN_IN) -> DataFrame:
+    """Digest of objects of any size, from their parts: key, size, n_parts, status, tree_digest.
+
+    The leaves of a tree are the md5 of the bodies in part order. While an object has more than one node, each ``fan_in``
+    neighbours, and what is left at the end, become one: the md5 of their digests in hexadecimal digits, one after the other. The
+    last node is the digest, so an object of one part has the md5 of its body. It depends on the chunk size and on
+    ``fan_in``. An object with a part missing is ``incomplete`` and has none. Of a part that comes more than once one body counts,
+    the one with the greatest digest.
+
+    Bodies are hashed where they are and only digests are shuffled; a group has ``fan_in`` of them at most.
+    """
+    if fan_in < 2:
+        raise ValueError("a node of the tree has two children at least")
+    md5 = F.md5(F.coalesce(F.col("body").cast("binary"), F.lit(b"")))
+    hashed = parts.select("key", (F.col("part_number") - 1).cast("bigint").alias("number"), "n_parts", "object_size", md5.alias("digest"))
+    leaves = hashed.groupBy("key", "number").agg(F.max("digest").alias("digest"), F.max("n_parts").cast("bigint").alias("n_nodes"),
+                                                 F.max("n_parts").alias("n_parts"), F.max("object_size").alias("size"))
+    nodes = snapshot(leaves, "digests")
+    most, wide = nodes.agg(F.max("n_parts")).first()[0] or 0, F.lit(fan_in).cast("bigint")
+    while most > 1:
+        group = int_div(F.col("number"), wide)
+        ordered = F.array_sort(F.collect_list(F.struct("number", "digest")))
+        grouped = nodes.groupBy("key", group.alias("number")).agg(
+            ordered.alias("children"), F.max("n_nodes").alias("below"), F.max("n_parts").alias("n_parts"), F.max("size").alias("size"))
+        wanted = F.least(wide, F.col("below") - F.col("number") * wide)
+        known = F.filter("children", lambda child: child["digest"].isNotNull())
+        joined = F.md5(F.array_join(F.transform("children", lambda child: child["digest"]), "").cast("binary"))
+        digest = F.when(F.col("below") == 1, F.get(F.col("children"), F.lit(0))["digest"]).when(F.size(known) == wanted, joined)
+        nodes = grouped.select("key", "number", digest.alias("digest"), int_div(F.col("below") + (fan_in - 1), wide).alias("n_nodes"),
+                               "n_parts", "size")
+        most = -(-most // fan_in)
+    status = F.when(F.col("digest").isNull(), "incomplete").otherwise("complete")
+    # A lone leaf that isn't the first is of an object with parts missing, and so is without a digest by now.
+    return nodes.where("number = 0").select("key", "size", "n_parts", status.alias("status"), F.col("digest").alias("tree_digest"))
+
+
 def verify_transfer(source: DataFrame, copied: DataFrame) -> DataFrame:
     """Expected and copied bytes per key: key, expected, actual, status.
 

@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pytest
@@ -133,3 +134,47 @@ def test_nodes_without_chunks_are_reported(objects):
     got = {r["node"]: (r["n_chunks"], r["n_bytes"], r["estimated_bytes"], r["deviation"])
            for r in drayage.node_summary(plan, 4).collect()}
     assert got == {1: (1, 10, 7, 3), 2: (0, 0, 7, -7), 3: (1, 20, 7, 13), 4: (0, 0, 7, -7)}
+
+
+def tree(leaves, fan_in):
+    nodes = [hashlib.md5(body).hexdigest() for body in leaves]
+    while len(nodes) > 1:
+        nodes = [hashlib.md5("".join(nodes[i:i + fan_in]).encode()).hexdigest() for i in range(0, len(nodes), fan_in)]
+    return nodes[0]
+
+
+@pytest.mark.parametrize("fan_in", [2, 3, 10])
+def test_digest_trees(spark, fan_in):
+    rng = random.Random(fan_in)
+    bodies = {f"k{n}": [rng.randbytes(rng.randint(0, 9)) for _ in range(n)] for n in (1, 2, 3, 4, 8, 9, 10, 27, 28, 100)}
+    rows = [(key, i, len(leaves), sum(map(len, leaves)), body) for key, leaves in bodies.items() for i, body in enumerate(leaves, 1)]
+    rows += [row for row in rows if row[1] == 2]     # parts that were sent twice
+    rows += [("lacks the first", 2, 2, 5, b"x"), ("lacks the middle", 1, 30, 5, b"x"), ("lacks the middle", 30, 30, 5, b"x"),
+             ("empty", 1, 1, 0, None)]
+    parts = spark.createDataFrame(rows, "key string, part_number int, n_parts int, object_size bigint, body binary")
+    got = {r["key"]: r for r in drayage.object_digests(parts, fan_in).collect()}
+    assert {key: got[key]["tree_digest"] for key in bodies} == {key: tree(leaves, fan_in) for key, leaves in bodies.items()}
+    assert all((got[key]["n_parts"], got[key]["status"]) == (len(leaves), "complete") for key, leaves in bodies.items())
+    assert got["empty"]["tree_digest"] == hashlib.md5(b"").hexdigest() and len(got) == len(bodies) + 3
+    assert all((got[key]["status"], got[key]["tree_digest"]) == ("incomplete", None) for key in ("lacks the first", "lacks the middle"))
+
+
+def test_digest_trees_of_nothing(spark):
+    parts = spark.createDataFrame([], "key string, part_number int, n_parts int, object_size bigint, body binary")
+    assert drayage.object_digests(parts).collect() == []
+    with pytest.raises(ValueError):
+        drayage.object_digests(parts, 1)
+
+
+def test_digests_and_blocks_on_both_sides_of_the_bound(spark, monkeypatch):
+    objects = spark.createDataFrame([("small", b"abc" * 10), ("large", b"xyz" * 500)], "key string, body binary")
+    parts = drayage.slice_bodies(drayage.objects_from_table(objects, "key", "body"), 64)
+    before = {r["key"]: r["tree_digest"] for r in drayage.object_digests(parts, 4).collect()}
+    monkeypatch.setattr(accounting, "MAX_REASSEMBLED_BYTES", 100)
+    assert {r["key"]: r["tree_digest"] for r in drayage.object_digests(parts, 4).collect()} == before
+    assert {r["key"]: r["body_md5"] is None for r in drayage.reassemble(parts).collect()} == {"small": False, "large": True}
+    # Blocks of one part are the leaves of the tree.
+    blocks = drayage.reassemble_blocks(parts, 64).collect()
+    for key in before:
+        leaves = [bytes(r["body"]) for r in sorted(blocks, key=lambda r: r["block"]) if r["key"] == key]
+        assert tree(leaves, 4) == before[key]
