@@ -53,6 +53,12 @@ def test_sources_that_overwrite_each_other_are_reported(spark):
         drayage.map_upload_keys(paths, "", "other")
 
 
+def test_null_sources_are_kept(spark):
+    paths = spark.createDataFrame([("a/f",), (None,), (None,)], "source string")
+    got = sorted(map(str, (tuple(r) for r in drayage.map_upload_keys(paths, "in/", "list").collect())))
+    assert got == sorted(map(str, [("a/f", "in/f", 1), (None, None, None), (None, None, None)]))
+
+
 def test_metadata(objects):
     row = drayage.attach_metadata(objects([("k", 1)]), [("a", "1"), ("b", "2"), ("a", "3")], True).first()
     assert row["metadata"] == {"a": "3", "b": "2"} and row["storage_class"] == "REDUCED_REDUNDANCY"
