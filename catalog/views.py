@@ -106,15 +106,23 @@ class StoredPages:
         objects.select("key", "size").sort("key").write.mode("append").option("maxRecordsPerFile", 2000).parquet(path)
         first = spark.read.parquet(path).groupBy(F.input_file_name().alias("file")).agg(F.min("key").alias("first"))
         self.files = sorted((row["first"], row["file"].removeprefix("file://")) for row in first.collect())
+        self.last = None, None
+
+    def entries(self, file):
+        """Entries of a file; those of the last one are kept for the next page."""
+        if self.last[0] != file:
+            rows = pq.read_table(file)
+            self.last = file, list(zip(rows.column("key").to_pylist(), rows.column("size").to_pylist()))
+        return self.last[1]
 
     def page(self, prefix, after, limit):
         low, found = max(prefix, after), []
         at = max(0, bisect.bisect_right([first for first, _ in self.files], low) - 1)
         for _, file in self.files[at:]:
-            rows = pq.read_table(file)
-            keys, sizes = rows.column("key").to_pylist(), rows.column("size").to_pylist()
-            fit = [(key, size, None) for key, size in zip(keys, sizes) if key > after and key.startswith(prefix)]
+            entries = self.entries(file)
+            fit = [(key, size, None) for key, size in entries if key > after and key.startswith(prefix)]
             found += fit[:limit - len(found)]
-            if len(found) == limit or keys[-1] > prefix and not keys[-1].startswith(prefix):
+            end = entries[-1][0]
+            if len(found) == limit or end > prefix and not end.startswith(prefix):
                 break
         return found
