@@ -133,11 +133,27 @@ def check_copies(result: DataFrame, on_failure: str) -> DataFrame:
     return result
 
 
+def metadata_text(objects: DataFrame) -> Column:
+    """The map that ``attach_metadata`` adds, as JSON; null without one."""
+    known = dict(objects.dtypes).get("metadata") == "map<string,string>"
+    return (F.to_json("metadata") if known else F.lit(None).cast("string")).alias("metadata")
+
+
+def metadata_of(row) -> dict:
+    return {name: value for name, value in json.loads(row["metadata"] or "{}").items() if value is not None}
+
+
 def _plain_work(objects: DataFrame, targets: DataFrame) -> DataFrame:
     size = "object_size" if "object_size" in objects.columns else "size"
     if "part_number" in objects.columns:
         objects = objects.where(F.col("part_number") == 1)
     sized = unique_objects(objects.withColumn("size", F.col(size))).withColumnRenamed("size", "target_size")
+    if "metadata" in objects.columns:   # of the row that gives the size, where a key is repeated
+        order = [F.col(c) for c in ("mtime",) if c in objects.columns] + [F.col(size).cast("bigint").alias("size")]
+        sized = sized.join(objects.groupBy("key").agg(
+            F.max(F.struct(*order, metadata_text(objects))).getField("metadata").alias("metadata")), "key")
+    else:
+        sized = sized.withColumn("metadata", F.lit(None).cast("string"))
     return sized.join(_claims(targets), "key", "left").withColumns(
         {"part_size": F.col("target_size"), "upload_id": F.lit(None).cast("string")})
 
@@ -154,6 +170,8 @@ def copy_objects(objects: DataFrame, targets: DataFrame, source, dest_root: str,
     directory (``marker``), a target that is a directory keeps its content (``skipped_directory``). Wrong sizes and
     errors are tried again, six times in all, and then reported as ``failed``. Bodies are streamed in pieces and never
     enter a table. ``source`` is a root URI or a reader. ``running_copy`` follows the job by its ``status_root``.
+    The column ``metadata`` of :func:`attach_metadata`, if there is one, is handed to the store with each object; mounted
+    roots have no place for it.
     """
     reader = FileRanges(source) if isinstance(source, str) else source
     run_id = uuid.uuid4().hex[:12]
@@ -162,6 +180,7 @@ def copy_objects(objects: DataFrame, targets: DataFrame, source, dest_root: str,
         status = {**row, "tries": 0, "responses": 0, "bytes": 0, "part_number": 1, "n_parts": 1}
         status.pop("part_size")
         status.pop("is_shared")
+        status.pop("metadata")
         if _refused(row):
             status.update(status="failed", error=_refused(row))
         elif row["target_size"] is None:
@@ -191,7 +210,7 @@ def _copy_whole(reader, row, dest_root, run_id):
         return {"status": "skipped_directory"}
     for attempt in range(1, MAX_TRIES + 1):
         try:
-            with new_file(dest_root, row["target"], run_id) as out:
+            with new_file(dest_root, row["target"], run_id, metadata_of(row)) as out:
                 got = fetch(reader, row["key"], 0, row["target_size"], lambda _, piece: out.write(piece), 1, 1)
                 if got["status"] == "done" and goes_on(reader, row["key"], row["target_size"]):
                     got.update(status="interrupted", error=GROWN)

@@ -52,12 +52,12 @@ class _Unfinished:
 
 
 @contextlib.contextmanager
-def new_file(root_uri: str, relative: str, run_id: str):
+def new_file(root_uri: str, relative: str, run_id: str, metadata: dict = None):
     """A file that appears below the root, replacing what was there, only if ``keep`` is set when it is closed.
 
     Each attempt writes to a name of its own in the staging folder, so killed and speculative tasks leave nothing in
     the tree. Object stores show an object when its stream is closed, also after an error, so the name is a key of its
-    own there too, and the object is moved when it is complete.
+    own there too, and the object is moved when it is complete. ``metadata`` goes to the object there; files have none.
     """
     root = local_path(root_uri)
     if root is None:
@@ -66,7 +66,7 @@ def new_file(root_uri: str, relative: str, run_id: str):
         keep = False
         try:
             fs.create_dir(os.path.dirname(unfinished), recursive=True)
-            with fs.open_output_stream(unfinished) as stream:
+            with fs.open_output_stream(unfinished, metadata=metadata or None) as stream:
                 out = _Unfinished(stream)
                 yield out
             keep = out.keep

@@ -1,13 +1,16 @@
 """Chunked copies into targets that can't be written at offsets."""
 
+import json
 import os
 
 import pyarrow.fs as pafs
 import pytest
+from pyspark.sql import functions as F
 
 import drayage
-from drayage.operators import store_parts
+from drayage.operators import store_parts, transfer
 from drayage.settings import STAGING_DIR
+from drayage.sources import files
 from test_transfer import BODIES, Store
 
 
@@ -111,3 +114,57 @@ def test_grown_sources_and_cleaning(spark, tmp_path, plan):
 def test_tree_has_bounded_nodes():
     with pytest.raises(ValueError):
         store_parts.commit_parts(None, "x", fan_in=1)
+
+
+class Tagging(Flaky):
+    """A local file system that keeps the metadata of an object in a file beside it."""
+
+    def __init__(self):
+        super().__init__("", "\0")
+
+    def open_output_stream(self, path, metadata=None):
+        if metadata:
+            with open(f"{path}.tags", "w") as out:
+                json.dump(metadata, out)
+        return self.fs.open_output_stream(path)
+
+    def move(self, source, target):
+        self.fs.move(source, target)
+        if os.path.exists(f"{source}.tags"):
+            self.fs.move(f"{source}.tags", f"{target}.tags")
+
+    def __reduce__(self):
+        return Tagging, ()
+
+
+def tags(path):
+    with open(f"{path}.tags") as got:
+        return json.load(got)
+
+
+def test_metadata_reaches_the_objects_put_together(spark, tmp_path, plan):
+    dest = str(tmp_path / "dest")
+    os.makedirs(dest)
+    told = drayage.attach_metadata(plan, [("project", "a\u00e9"), ("Content-Type", "text/plain")])
+    drayage.copy_parts(told, targets_of(spark), Store(BODIES), dest, fan_in=2, open_dest=lambda root: (Tagging(), root), on_failure="fail")
+    assert {len(body) > 100 for body in BODIES.values()} == {True, False}
+    for key in BODIES:
+        assert tags(f"{dest}/t/{key}") == {"project": "a\u00e9", "Content-Type": "text/plain"}
+    complete(dest)
+
+
+def test_metadata_of_whole_objects(spark, objects, tmp_path, monkeypatch):
+    source, dest = {"k": b"body"}, str(tmp_path)
+    monkeypatch.setattr(files, "open_root", lambda uri: (Tagging(), dest))
+    monkeypatch.setattr(transfer, "open_root", lambda uri: (Tagging(), dest))
+    twice = drayage.attach_metadata(objects([("k", 3)]), [("n", "old")]).unionByName(
+        drayage.attach_metadata(objects([("k", 4)]), [("n", "new")]))
+    targets = spark.createDataFrame([("k", "t/k")], "key string, target string")
+    work = [row.asDict() for row in transfer._plain_work(twice, targets).collect()]
+    assert [row["metadata"] for row in work] == ['{"n":"new"}']
+    assert transfer._copy_whole(Store(source), work[0], "stand-in://dest", "run")["status"] == "done"
+    assert tags(f"{dest}/t/k") == {"n": "new"}
+    plain = [row.asDict() for row in transfer._plain_work(twice.drop("metadata"), targets).collect()]
+    assert transfer.metadata_of(plain[0]) == {}
+    odd = twice.withColumn("metadata", F.lit("text of another kind"))
+    assert [row["metadata"] for row in transfer._plain_work(odd, targets).collect()] == [None]
