@@ -55,7 +55,7 @@ class _Unfinished:
 def new_file(root_uri: str, relative: str, run_id: str, metadata: dict = None):
     """A file that appears below the root, replacing what was there, only if ``keep`` is set when it is closed.
 
-    Each attempt writes to a name of its own in the staging folder, so killed and speculative tasks leave nothing in
+    Each attempt writes to a name of its own in a staging folder of its process, so killed and speculative tasks leave nothing in
     the tree. Object stores show an object when its stream is closed, also after an error, so the name is a key of its
     own there too, and the object is moved when it is complete. ``metadata`` goes to the object there; files have none.
     """
@@ -77,27 +77,54 @@ def new_file(root_uri: str, relative: str, run_id: str, metadata: dict = None):
             elif fs.get_file_info(unfinished).type != pafs.FileType.NotFound:
                 fs.delete_file(unfinished)
         return
-    path, staging = below(root, relative), os.path.join(root, STAGING_DIR, run_id)
-    os.makedirs(staging, exist_ok=True)
-    unfinished = os.path.join(staging, uuid.uuid4().hex)
+    path, staging = below(root, relative), os.path.join(root, STAGING_DIR, run_id, _worker())
+    unfinished, moved = os.path.join(staging, uuid.uuid4().hex), False
     try:
-        with open(unfinished, "wb") as stream:
+        with _made_for(staging, lambda: open(unfinished, "wb")) as stream:
             out = _Unfinished(stream)
             yield out
         if out.keep:
-            os.makedirs(os.path.dirname(path), exist_ok=True)
-            os.replace(unfinished, path)
+            _made_for(os.path.dirname(path), lambda: os.replace(unfinished, path))
+            moved = True
     finally:
-        with contextlib.suppress(FileNotFoundError):
-            os.unlink(unfinished)
+        if not moved:
+            with contextlib.suppress(FileNotFoundError):
+                os.unlink(unfinished)
+
+
+_workers = {}
+
+
+def _worker() -> str:
+    """Name of this process. Each has a staging folder of its own: a folder takes one new name at a time, and processes that
+    share one wait for each other, the longer the more there are."""
+    return _workers.setdefault(os.getpid(), f"worker-{uuid.uuid4().hex}")
+
+
+def _made_for(folder: str, action):
+    """What ``action`` returns, with the folder it needs made only if it turns out to be missing."""
+    try:
+        return action()
+    except FileNotFoundError:
+        os.makedirs(folder, exist_ok=True)
+        return action()
 
 
 def end_run(root_uri: str, run_id: str):
     """Removes the staging folder of a run if nothing is left in it."""
     root = local_path(root_uri)
     if root is not None:
-        with contextlib.suppress(OSError):
-            os.rmdir(os.path.join(root, STAGING_DIR, run_id))
+        _drop_empty(os.path.join(root, STAGING_DIR, run_id), "worker-")
+
+
+def _drop_empty(folder: str, prefix: str):
+    """Removes a folder, and those in it whose names start so, as far as they are empty."""
+    with contextlib.suppress(OSError):
+        for name in os.listdir(folder):
+            if name.startswith(prefix):
+                with contextlib.suppress(OSError):
+                    os.rmdir(os.path.join(folder, name))
+        os.rmdir(folder)
 
 
 @contextlib.contextmanager
