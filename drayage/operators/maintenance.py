@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..materialize import snapshot
 from ..settings import STAGING_DIR, STALE_AFTER_DAYS
-from ..sources.files import local_path, open_root
+from ..sources.files import SHARD, drop_staging, local_path, open_root, upload_folder
 from ..sources.listing import list_objects
 
 
@@ -31,9 +31,10 @@ def list_uploads(spark, root_uri: str) -> DataFrame:
     local = local_path(staging)
     if local is not None and not os.path.isdir(local):
         return spark.createDataFrame([], "key string, upload_id string, initiated timestamp")
-    found = list_objects(spark, staging).where("key like '%/%'").select(
-        F.concat(F.lit(STAGING_DIR + "/"), "key").alias("key"),
-        F.substring_index("key", "/", 1).alias("upload_id"), F.col("mtime").alias("initiated"))
+    # Folders of uploads are one level down; files that a stopped job left are in one with the name of its run.
+    upload = F.element_at(F.split("key", "/"), F.when(F.col("key").rlike(f"^{SHARD}/"), 2).otherwise(1))
+    found = list_objects(spark, staging).where(F.col("key").like("%/%") & ~F.col("key").rlike(f"^{SHARD}/$")).select(
+        F.concat(F.lit(STAGING_DIR + "/"), "key").alias("key"), upload.alias("upload_id"), F.col("mtime").alias("initiated"))
     return found.groupBy("upload_id").agg(F.min("key").alias("key"), F.min("initiated").alias("initiated")).select(
         "key", "upload_id", "initiated")
 
@@ -55,8 +56,9 @@ def clean_parts(report: DataFrame, root_uri: str, dry_run: bool = True, open_des
                 if not re.fullmatch(r"[0-9A-Za-z_-]+", upload_id):
                     actions.append("failed")
                     continue
-                path = f"{root}/{STAGING_DIR}/{upload_id}"
-                if not there(fs, path):
+                places = [upload_folder(upload_id), *([] if re.fullmatch(SHARD, upload_id) else [f"{STAGING_DIR}/{upload_id}"])]
+                path = next((at for at in (f"{root}/{place}" for place in places) if there(fs, at)), None)
+                if path is None:
                     actions.append("absent")
                 elif dry_run:
                     actions.append("would_remove")
@@ -69,4 +71,7 @@ def clean_parts(report: DataFrame, root_uri: str, dry_run: bool = True, open_des
 
     work = report.select("key", F.col("upload_id").cast("string").alias("upload_id"))
     spread = work.repartition(report.sparkSession.sparkContext.defaultParallelism, "upload_id")
-    return snapshot(spread.mapInArrow(clean, "key string, upload_id string, action string"), "cleaned")
+    cleaned = snapshot(spread.mapInArrow(clean, "key string, upload_id string, action string"), "cleaned")
+    if not dry_run:
+        drop_staging(root_uri)
+    return cleaned

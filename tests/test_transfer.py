@@ -266,3 +266,20 @@ def test_a_task_that_runs_again_writes_the_same_status_files(spark, tmp_path):
         transfer._note(rows, str(tmp_path), "copied-x-000000-000000.json", "run")
     assert [n for n in os.listdir(tmp_path) if n.endswith(".json")] == ["copied-x-000000-000000.json"]
     assert spark.read.schema(transfer.STATUS_DDL).json(str(tmp_path)).select("started").distinct().first()[0] is not None
+
+
+def test_uploads_are_dealt_out_to_folders(spark, objects, tmp_path):
+    """All uploads in one folder made tasks wait for each other; a folder has a 256th of them now, and cleaning knows where."""
+    plan = drayage.build_plan(objects([(f"k{i}", 20) for i in range(40)]), chunk_size=10).where("part_number = 1")
+    targets = plan.selectExpr("key", "concat('t/', key) target")
+    drayage.copy_multipart(plan, targets, Store({f"k{i}": bytes(20) for i in range(40)}), str(tmp_path), "r")
+    assert len(os.listdir(tmp_path / ".uploads")) > 20
+    (tmp_path / ".uploads/0123456789ab/worker-x").mkdir(parents=True)      # of a stopped job
+    (tmp_path / ".uploads/0123456789ab/worker-x/left").write_bytes(b"1")
+    uploads = drayage.list_uploads(spark, str(tmp_path))
+    assert uploads.count() == 41 and uploads.where("initiated is null or length(upload_id) not in (12, 32)").count() == 0
+    shard = sorted(os.listdir(tmp_path / ".uploads"))[-1]
+    report = uploads.select("key", "upload_id").unionByName(spark.createDataFrame([("x", shard)], "key string, upload_id string"))
+    done = drayage.clean_parts(report, str(tmp_path), dry_run=False)
+    assert {(r["action"], r["count"]) for r in done.groupBy("action").count().collect()} == {("removed", 41), ("absent", 1)}
+    assert not (tmp_path / ".uploads").exists()
