@@ -168,3 +168,19 @@ def test_metadata_of_whole_objects(spark, objects, tmp_path, monkeypatch):
     assert transfer.metadata_of(plain[0]) == {}
     odd = twice.withColumn("metadata", F.lit("text of another kind"))
     assert [row["metadata"] for row in transfer._plain_work(odd, targets).collect()] == [None]
+
+
+def test_a_part_appears_by_three_calls_of_the_store(tmp_path):
+    calls = []
+
+    class Counted:
+        def __getattr__(self, name):
+            return lambda *args, **names: (calls.append(name), getattr(pafs.LocalFileSystem(), name)(*args, **names))[1]
+
+    with store_parts._appearing(Counted(), str(tmp_path), "up/00") as (out, keep):
+        out.write(b"x")
+        keep()
+    assert calls == ["create_dir", "open_output_stream", "move"] and (tmp_path / "up/00").read_bytes() == b"x"
+    with store_parts._appearing(Counted(), str(tmp_path), "up/01") as (out, keep):
+        out.write(b"x")
+    assert os.listdir(tmp_path / "up") == ["00"]
