@@ -22,6 +22,16 @@ PAIRWISE = 64       # fingerprints of a key that are compared pair by pair; more
 PIECE = 1 << 16     # shingles hashed at once, bounds the memory of a long text
 
 
+def ones(hashes: np.ndarray) -> np.ndarray:
+    """How many of some 64-bit hashes have each bit set."""
+    return np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+
+
+def majority(counts: np.ndarray, n: int) -> int:
+    """The bits that are set in over half of ``n`` hashes."""
+    return int(np.packbits(2 * counts > n, bitorder="little").view(np.uint64)[0])
+
+
 def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     """Majority of the XXH64 bits over all shingles of ``shingle`` words, repeats included; zero without words."""
     words = text.lower().split()
@@ -32,12 +42,12 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     starts = np.concatenate(([0], ends[:-1] + 1))
     last = max(0, len(words) - shingle)
     heads, tails = starts[:last + 1].tolist(), ends[min(shingle, len(words)) - 1:].tolist()
-    ones, one_hash = np.zeros(64, np.int64), xxhash.xxh64_intdigest
+    counts, one_hash = np.zeros(64, np.int64), xxhash.xxh64_intdigest
     for begin in range(0, last + 1, PIECE):
         hashes = np.array([one_hash(joined[a:b], SEED) for a, b in
                            zip(heads[begin:begin + PIECE], tails[begin:begin + PIECE])], np.uint64)
-        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(2 * ones > last + 1, bitorder="little").view(np.uint64)[0])
+        counts += ones(hashes)
+    return majority(counts, last + 1)
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:

@@ -121,6 +121,40 @@ def test_near_copies_of_the_pipeline(spark, docs, pairwise):
         assert sorted(str(i) for i, _ in rows(kept)) == sorted(str(i) for i in least.values())
 
 
+def test_fingerprints_of_the_pipeline(spark):
+    """Sets at two or fewer bits are linked by their fingerprints if they are similar, and only then."""
+    from drayage.llm.common import row_key, utf8
+    from drayage.materialize import Scratch
+    rnd = random.Random(11)
+    texts = {}
+    for i in range(6):
+        words = [f"w{rnd.randrange(900)}" for _ in range(1500)]
+        for j in range(5):
+            texts[10 * i + j] = " ".join(words + [f"tail{j}"] * (j > 0))
+    texts[100], texts[101] = "", "few words"
+    given = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    given = given.select("doc_id", utf8("text").alias("t"), *row_key(given))
+    scratch = Scratch(spark)
+    _, sets = nearcopies.distinct_sets(scratch, given)
+    found = {nearcopies._set_id(x): x for x in (nearcopies.shingles(t.encode()) for t in texts.values())}
+    prints = {r["set_id"]: r["fp"] & (2 ** 64 - 1) for r in sets.collect()}
+    assert prints == {k: sum(1 << b for b in range(64) if 2 * sum(int(h) >> b & 1 for h in x) > len(x)) for k, x in found.items()}
+
+    def parts(links):
+        label = {k: k for k in found}
+        for _ in found:
+            for a, b in links:
+                label[a] = label[b] = min(label[a], label[b])
+        return label
+    near = [(a, b) for a in found for b in found if a != b and bin(prints[a] ^ prints[b]).count("1") <= 2]
+    assert near and all(nearcopies.similar(found[a], found[b]) for a, b in near)
+    links = [(r["a"], r["b"]) for r in nearcopies.fingerprint_links(scratch, sets, given).collect()]
+    assert parts(links) == parts(near)
+    first = min(found)
+    alike = {(first, k) for k in found if k != first and nearcopies.similar(found[first], found[k])}
+    assert {(r["a"], r["b"]) for r in nearcopies.fingerprint_links(scratch, sets.withColumn("fp", F.lit(5).cast("long")), given).collect()} == alike
+
+
 def test_near_copies_with_a_common_head(spark, monkeypatch):
     """Keys that many sets share which aren't similar: hubs until nothing is open."""
     monkeypatch.setattr(nearcopies, "COMMON", 1 << 30)
