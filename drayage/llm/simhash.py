@@ -13,8 +13,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from ..materialize import snapshot
-from .common import matching, row_key, small_batches, table, utf8
+from ..materialize import broadcast_if_bounded, snapshot
+from .common import bit_table, has_bit, row_key, small_batches, table, utf8
 from .components import components
 
 SEED, SHINGLE, MAX_BITS, BLOCKS = 42, 3, 2, 5
@@ -132,14 +132,23 @@ def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
     key = F.struct(F.col("doc_id").isNull().alias("missing"), "key_id", "key_hash")
     kept = snapshot(found.groupBy("component").agg(F.min(F.struct(key.alias("key"), "component")).alias("one")).select(
         "one.key.key_id", "one.key.key_hash"), "representatives")
-    stays = matching(docs, kept, "semi")
-    rows = found.groupBy("key_id", "key_hash").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
-    if not rows:
-        return stays
-    # rows that repeat in id and text: one of each stays
-    key_id, key_hash = row_key(stays)
-    names = [c for c in ("_key_id", "_key_hash")]
-    return stays.withColumns(dict(zip(names, (key_id, key_hash)))).dropDuplicates(names).drop(*names)
+    # what isn't kept, and rows that repeat in id and text, of which one stays; all other texts are left where they are
+    rows = found.groupBy("key_id", "key_hash").agg(F.count("*").alias("n")).join(
+        kept.distinct().withColumn("stays", F.lit(True)), ["key_id", "key_hash"], "left")
+    asked = snapshot(rows.where("n > 1 or stays is null").select("key_id", "key_hash", F.col("stays").isNotNull().alias("stays")), "asked-rows")
+    n_asked = asked.count()
+    if not n_asked:
+        return docs
+    bits = bit_table(asked.select(F.xxhash64("key_id", "key_hash").alias("mark")), "mark", n_asked)
+
+    @F.arrow_udf("boolean")
+    def may_be_asked(marks: pa.Array) -> pa.Array:
+        return pa.array(has_bit(bits, marks.to_numpy()))
+    names = ["_key_id", "_key_hash"]
+    marked = docs.withColumns(dict(zip(names, row_key(docs)))).withColumn("_asked", may_be_asked(F.xxhash64(*names)))
+    rest = marked.where("_asked").join(broadcast_if_bounded(asked.toDF(*names, "_stays")), names, "left").where(
+        F.coalesce("_stays", F.lit(True))).dropDuplicates(names)
+    return marked.where("not _asked").drop(*names, "_asked").unionByName(rest.drop(*names, "_asked", "_stays"))
 
 
 def op10_simhash(spark, sf_dir):

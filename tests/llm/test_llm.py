@@ -155,6 +155,43 @@ def test_fingerprints_of_the_pipeline(spark):
     assert {(r["a"], r["b"]) for r in nearcopies.fingerprint_links(scratch, sets.withColumn("fp", F.lit(5).cast("long")), given).collect()} == alike
 
 
+def test_parities_of_long_sets(spark, monkeypatch):
+    """Long sets that aren't similar don't pass the bound, and sets whose parities have unlike lengths can be held together."""
+    from drayage import materialize
+    rnd = random.Random(12)
+    words = [[f"w{rnd.randrange(3000)}" for _ in range(1040)] for _ in range(8)]
+    texts = dict(enumerate([" ".join(w) for w in words] + [" ".join(w[:1010]) for w in words[:4]]))
+    given = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    from drayage.llm.common import row_key, utf8
+    given = given.select("doc_id", utf8("text").alias("t"), *row_key(given))
+    scratch, sizes, keep = materialize.Scratch(spark), {}, materialize.Scratch.keep
+
+    def counted(self, df, label):
+        kept = keep(self, df, label)
+        sizes[label] = kept.count()
+        return kept
+    monkeypatch.setattr(materialize.Scratch, "keep", counted)
+    _, sets = nearcopies.distinct_sets(scratch, given)
+    found = {i: nearcopies.shingles(t.encode()) for i, t in texts.items()}
+    of = {i: nearcopies._set_id(x) for i, x in found.items()}
+    assert {len(nearcopies.parity(x, nearcopies.parity_longs(len(x)))) for x in found.values()} == {16, 32}
+    pairs = spark.createDataFrame([(of[i], of[j]) for i in found for j in found if i < j], "a long, b long")
+    got = {(r["a"], r["b"]) for r in nearcopies._verified(scratch, pairs, sets, given).collect()}
+    assert got == {(of[i], of[i + 8]) for i in range(4)} and sizes["close-pairs"] == 4
+
+
+def test_texts_of_kept_rows_are_not_shuffled(docs):
+    """Only rows that go or repeat, and what shares their bits, are dealt out by key."""
+    whole = docs.unionByName(docs.where("doc_id in (3, 5)"))
+    kept = simhash.representatives(whole)
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    stay = [line for line in plan.splitlines() if line.startswith(":")]
+    assert plan.startswith("Union") and stay and not any("Aggregate" in line or "Join" in line for line in stay)
+    got = [tuple(r) for r in kept.collect()]
+    assert len(got) == len(set(got)) == len(set(r["component"] for r in simhash.near_duplicates(whole).collect()))
+    assert set(got) <= {tuple(r) for r in docs.collect()} and kept.columns == docs.columns
+
+
 def test_near_copies_with_a_common_head(spark, monkeypatch):
     """Keys that many sets share which aren't similar: hubs until nothing is open."""
     monkeypatch.setattr(nearcopies, "COMMON", 1 << 30)
