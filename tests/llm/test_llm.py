@@ -214,6 +214,37 @@ def test_near_copies_with_a_common_head(spark, monkeypatch):
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values())) and 1 < len(want) < len(texts)
 
 
+def test_large_groups_of_near_copies_are_not_held_all_against_all(spark, monkeypatch):
+    """Up to six words of 150 replaced, each in another place: many pairs of the group aren't similar, the hubs still join it."""
+    from drayage import materialize
+    rnd, keep, asked = random.Random(13), materialize.Scratch.keep, []
+    base, edits = [f"w{i}" for i in range(150)], [1] * 10 + [2] * 7 + [3] * 5 + [4] * 4 + [5] * 2 + [6]
+
+    def counted(self, df, label):
+        kept = keep(self, df, label)
+        if label == "candidates":
+            asked.append(kept.count())
+        return kept
+    monkeypatch.setattr(materialize.Scratch, "keep", counted)
+    many = 600
+    texts = []
+    for i in range(many):
+        words = list(base)
+        for j in rnd.sample(range(150), rnd.choice(edits)):
+            words[j] = f"new{i}x{j}"
+        texts.append(" ".join(words))
+    parts = [frozenset(nearcopies.shingles(t.encode()).tolist()) for t in texts]
+    label, old = list(range(many)), None
+    alike = [[j for j in range(many) if 9 * len(parts[i] & parts[j]) >= 4 * (len(parts[i]) + len(parts[j]))] for i in range(many)]
+    while label != old:
+        label, old = [min(label[j] for j in alike[i]) for i in range(many)], label
+    got = {}
+    for r in nearcopies.near_copies(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 8).collect():
+        got.setdefault(r["component"], []).append(r["doc_id"])
+    assert sorted(min(x) for x in got.values()) == sorted(set(label))
+    assert many < sum(asked) <= 6 * many
+
+
 def test_parity_is_a_lower_bound():
     rnd = np.random.default_rng(10)
     for _ in range(50):
