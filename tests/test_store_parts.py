@@ -184,3 +184,87 @@ def test_a_part_appears_by_three_calls_of_the_store(tmp_path):
     with store_parts._appearing(Counted(), str(tmp_path), "up/01") as (out, keep):
         out.write(b"x")
     assert os.listdir(tmp_path / "up") == ["00"]
+
+
+class Watched(Flaky):
+    """A local file system that notes, before each move, the files of unfinished uploads by their folders."""
+
+    def __init__(self, dest):
+        super().__init__("", "\0")
+        self.dest = dest
+
+    def move(self, source, target):
+        staged = [(folder, n) for folder, _, names in os.walk(f"{self.dest}/{STAGING_DIR}") for n in names if not n.startswith("shared-")]
+        with open(f"{self.dest}.seen", "a") as seen:
+            seen.write(json.dumps(staged) + "\n")
+        self.fs.move(source, target)
+
+    def __reduce__(self):
+        return Watched, (self.dest,)
+
+
+def many_bodies():
+    return {f"m/{i:02d}": bytes([i]) * (100 * (i % 7) + 50) for i in range(40)}
+
+
+def test_staged_files_are_those_of_one_wave(spark, objects, tmp_path, monkeypatch):
+    monkeypatch.setattr(store_parts, "WAVE_FILES", 60)
+    bodies, dest = many_bodies(), str(tmp_path / "dest")
+    os.makedirs(dest)
+    plan = drayage.build_plan(objects([(k, len(v)) for k, v in bodies.items()]), chunk_size=100, unique_keys=True)
+    targets = spark.createDataFrame([(k, f"t/{k}") for k in bodies], "key string, target string")
+    got = drayage.copy_parts(plan, targets, Store(bodies), dest, fan_in=2, open_dest=lambda root: (Watched(dest), root), on_failure="fail")
+    for key, body in bodies.items():
+        with open(f"{dest}/t/{key}", "rb") as copied:
+            assert copied.read() == body
+    uploads = [len({folder for folder, _ in json.loads(line)}) for line in open(f"{dest}.seen")]
+    assert 1 < max(uploads) < len(bodies) / 2
+    assert got.parts.count() == got.parts.select("target", "part_number").distinct().count() == plan.count()
+    assert sorted((r["target"], r["status"]) for r in got.objects.collect()) == sorted((f"t/{k}", "done") for k in bodies)
+    assert not os.path.exists(f"{dest}/{STAGING_DIR}")
+
+
+def test_waves_report_failures_at_the_end_and_go_on(spark, objects, tmp_path, monkeypatch):
+    monkeypatch.setattr(store_parts, "WAVE_FILES", 60)
+    bodies, dest = many_bodies(), str(tmp_path / "dest")
+    os.makedirs(dest)
+    plan = drayage.build_plan(objects([(k, len(v)) for k, v in bodies.items()]), chunk_size=100, unique_keys=True)
+    targets = spark.createDataFrame([(k, f"t/{k}") for k in bodies if k != "m/03"], "key string, target string")
+    with pytest.raises(transfer.TransferFailed):
+        drayage.copy_parts(plan, targets, Store(bodies, fail_key="m/20"), dest, "r", open_dest=opened(), on_failure="fail")
+    assert sorted(os.listdir(f"{dest}/t/m")) == sorted(k[2:] for k in bodies if k not in ("m/03", "m/20"))
+    plan = plan.where("key = 'm/20'")
+    got = drayage.copy_parts(plan, targets, Store(bodies), dest, "r", open_dest=opened(), on_failure="fail")
+    assert [(r["target"], r["bytes"], r["status"]) for r in got.objects.collect()] == [("t/m/20", 650, "done")]
+
+
+def test_what_is_put_together_is_removed(tmp_path):
+    fs, root, upload = pafs.LocalFileSystem(), str(tmp_path), "ab" + "0" * 30
+    row = {"key": "k", "target": "t/k", "upload_id": upload, "n_parts": 7, "target_size": 65, "input_offset": 0, "at_end": False}
+    body = bytes(range(65))
+
+    def put(again=True):
+        return [store_parts._put_part(fs, root, Store({"k": body}), {
+            **row, "part_number": n + 1, "input_offset": 10 * n, "part_size": min(10, 65 - 10 * n)}, 2, again)["tries"] for n in range(7)]
+
+    def join(level, number):
+        size = min(10 * 2 ** level, 65 - number * 10 * 2 ** level)
+        below = -(-7 // 2 ** (level - 1))
+        return store_parts._join_node(fs, root, {**row, "level": level, "number": number, "height": 3, "part_size": size,
+                                                 "n_children": min(2, below - 2 * number)}, 2)
+
+    def names():
+        return sorted(n for n in os.listdir(f"{root}/{STAGING_DIR}/ab/{upload}") if n != transfer.INITIATED)
+    assert put() == [1] * 7 and len(names()) == 7
+    with open(f"{root}/{STAGING_DIR}/ab/{upload}/{transfer.INITIATED}", "w") as out:
+        out.write("{}")
+    for level, many in ((1, 4), (2, 2), (3, 1)):
+        for number in range(many):
+            assert join(level, number) == {"status": "done", "bytes": min(10 * 2 ** level, 65 - number * 10 * 2 ** level)}
+        assert names() == [f"{level:02d}-{n:08d}" for n in range(many)]
+        assert put() == [0] * 7 and len(names()) == many       # a later call finds them in the nodes
+        assert all(join(lower, n)["status"] == "done" for lower in range(1, level) for n in range(-(-7 // 2 ** lower)))
+    with open(f"{root}/{store_parts.place_of(upload, 3, 0)}", "rb") as whole:
+        assert whole.read() == body
+    os.unlink(f"{root}/{store_parts.place_of(upload, 3, 0)}")
+    assert put() == [1] * 7 and join(1, 0)["status"] == "done" and put() == [0] * 7
